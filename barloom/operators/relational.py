@@ -205,9 +205,9 @@ def date_spine(spark: SparkSession, datepart: str, start, end) -> DataFrame:
     rows = spark.range(1).select(first.alias("_a"), last.alias("_b"))
     return (
         rows.filter("_a < _b")
-        .select(F.explode(F.sequence("_a", "_b", step)).cast(kind).alias(name), "_b")
+        .select(F.explode(F.sequence("_a", "_b", step)).alias(name), "_b")
         .filter(F.col(name) < F.col("_b"))
-        .select(name)
+        .select(F.col(name).cast(kind).alias(name))
     )
 
 
