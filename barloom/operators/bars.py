@@ -9,9 +9,13 @@ from ..functions import period_start
 from ..schema import PERIODS
 
 
-def period_bars(daily: DataFrame, period: str, stamp: bool = True) -> DataFrame:
+def period_bars(
+    daily: DataFrame, period: str, stamp: bool = True, keep_start: bool = False
+) -> DataFrame:
     """One bar per ticker and period, named by its last trading day.
 
+    ``keep_start`` adds the first calendar day of the period, ``period_start``.
+
     The first and last rows travel as structs through one aggregation, so the
     shuffle carries one partial bar per (task, ticker, period) and a ticker
     with very many rows costs its task no more than any other.
@@ -19,7 +23,7 @@ def period_bars(daily: DataFrame, period: str, stamp: bool = True) -> DataFrame:
     unit, key = PERIODS[period]
     last = F.max_by(F.struct("short_name", "close", "adj_close"), "date")
     out = (
-        daily.groupBy("ticker", period_start("date", unit).alias("_start"))
+        daily.groupBy("ticker", period_start("date", unit).alias("period_start"))
         .agg(
             last.alias("_last"),
             F.max("date").alias(key),
@@ -39,6 +43,7 @@ def period_bars(daily: DataFrame, period: str, stamp: bool = True) -> DataFrame:
             F.col("_last.adj_close").alias("adj_close"),
             "volume",
             F.col(key).alias("source_max_date"),
+            *(["period_start"] if keep_start else []),
         )
     )
     return out.withColumn("built_at", F.current_timestamp()) if stamp else out

@@ -18,13 +18,16 @@ from ..functions import as_date_col, ratio, round_half_even
 MAX_FOCAL = 500
 
 
-def log_returns(daily: DataFrame, tickers: list[str], as_of, months: int = 12) -> DataFrame:
+def log_returns(
+    daily: DataFrame, tickers: list[str] | None, as_of, months: int = 12
+) -> DataFrame:
     """Daily log returns in the last ``months``; one more month is read for the first base."""
+    if tickers is not None:
+        daily = daily.filter(F.col("ticker").isin(list(tickers)))
     day = as_date_col(as_of)
     w = Window.partitionBy("ticker").orderBy("date")
     return (
-        daily.filter(F.col("ticker").isin(list(tickers)))
-        .filter((F.col("adj_close") > 0) & (F.col("date") >= F.add_months(day, -(months + 1))))
+        daily.filter((F.col("adj_close") > 0) & (F.col("date") >= F.add_months(day, -(months + 1))))
         .select("ticker", "date", "adj_close")
         .withColumn("ret", F.ln(ratio("adj_close", F.lag("adj_close").over(w))))
         .filter((F.col("date") >= F.add_months(day, -months)) & F.col("ret").isNotNull())
@@ -40,9 +43,16 @@ def _corr(x: str, y: str) -> Column:
 
 
 def correlation_pairs(
-    daily: DataFrame, focal: list[str], universe: list[str], as_of=None, min_obs: int = 150
+    daily: DataFrame,
+    focal: list[str],
+    universe: list[str] | None,
+    as_of=None,
+    min_obs: int = 150,
 ) -> DataFrame:
-    """(ticker_a, ticker_b, corr_1y, n_obs) for focal x universe with enough common days."""
+    """(ticker_a, ticker_b, corr_1y, n_obs) for focal x universe with enough common days.
+
+    ``universe=None`` compares with every ticker of the table.
+    """
     if len(focal) > MAX_FOCAL:
         raise ValueError(f"at most {MAX_FOCAL} focal tickers, got {len(focal)}")
     names = {t: f"f{i}_{re.sub(r'[^A-Za-z0-9]', '_', t)}" for i, t in enumerate(focal)}

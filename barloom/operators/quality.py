@@ -195,34 +195,37 @@ def mutually_exclusive_ranges(
     )
     no_start = rows.filter("lower_bound IS NULL")
     started = rows.filter("lower_bound IS NOT NULL")
-    starts = started.groupBy(*group, "lower_bound").agg(
-        F.max("upper_bound").alias("_longest")
+    starts = started.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("_longest"))
+    starts = with_neighbour(
+        starts, "lower_bound", group, following=True, name="_next", rows_per_range=rows_per_range
     )
-    starts = with_neighbour(starts, "lower_bound", group, following=True, name="_next", rows_per_range=rows_per_range)
     keys = starts.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
         F.col("lower_bound").alias("_k"),
         "_longest",
-        "_next",
+        F.struct(F.col("_next").alias("value")).alias("_next"),
     )
+    # Both bounds are part of the join key, so it is unique on either side: no start is hot.
     match = F.col("lower_bound") == F.col("_k")
+    match = match & F.col("upper_bound").eqNullSafe(F.col("_longest"))
     for i, c in enumerate(group):
         match = match & F.col(c).eqNullSafe(F.col(f"_k{i}"))
 
     # Of n equal longest ranges one meets the next start and n - 1 meet their own.
-    longest = F.col("upper_bound").eqNullSafe(F.col("_longest"))
+    longest = F.col("_next").isNotNull()
+    once = F.when(longest, 1).otherwise(0).cast("bigint")
     last = F.struct(
-        F.col("_next").alias("next_lower_bound"),
-        F.col("_next").isNull().alias("is_last_record"),
-        F.when(longest, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("n_rows"),
+        F.col("_next.value").alias("next_lower_bound"),
+        F.col("_next.value").isNull().alias("is_last_record"),
+        once.alias("n_rows"),
     )
     again = F.struct(
         F.col("lower_bound").alias("next_lower_bound"),
         F.lit(False).alias("is_last_record"),
-        F.when(longest, F.col("n_rows") - 1).otherwise(F.col("n_rows")).alias("n_rows"),
+        (F.col("n_rows") - once).alias("n_rows"),
     )
     met = (
-        started.join(keys, match)
+        started.join(keys, match, "left")
         .select(*group, "lower_bound", "upper_bound", F.inline(F.array(last, again)))
         .filter("n_rows > 0")
     )

@@ -299,7 +299,8 @@ def realised_vol_rank(
         .withColumn("last_date", F.max("date").over(per_ticker))
         .filter(F.col("date") >= add_years("last_date", -1))
     )
-    not_above = F.coalesce(F.col(vol) <= F.col("_current"), F.lit(False))
+    # Equal frames may differ in the last bits by the order of their sums.
+    not_above = F.coalesce(F.col(vol) <= F.col("_current") * (1 + 1e-12), F.lit(False))
     rank = ratio(F.lit(100) * F.count_if(not_above), F.count("*"))
     snap = rows.groupBy("ticker").agg(
         _at(1, "short_name").alias("name"),

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import bars, ingest
+from ..operators import ingest
 from ..operators import quality as dq
 from ..operators.fundamentals import latest_restatement
 from ..schema import PERIODS, STATEMENTS
@@ -26,11 +26,11 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def rebuild_bars(spark: SparkSession, store: Warehouse) -> None:
-    """Weekly, monthly and quarterly tables from the whole daily table."""
+def rebuild_bars(spark: SparkSession, store: Warehouse, touched: list[str] | None = None) -> None:
+    """Weekly, monthly and quarterly tables: all of them, or what the touched months reach."""
     daily = tables.daily_prices(spark, store.table("daily_prices"))
     for period in PERIODS:
-        tables.write_bars(bars.period_bars(daily, period), period, store.table(f"{period}_prices"))
+        tables.write_bars(spark, daily, period, store.table(f"{period}ly_prices"), touched)
 
 
 def refresh_market(
@@ -43,7 +43,7 @@ def refresh_market(
     source: str = ingest.DEFAULT_SOURCE,
     ingested_at=None,
 ) -> list[str]:
-    """Reload the overlap window of all tickers at once, then rebuild the bars.
+    """Reload the overlap window of all tickers at once, then the bars they reach.
 
     ``tickers`` names those to refresh (default: the ones in ``raw``). A listed
     ticker without new rows still has its window cleared.
@@ -57,7 +57,7 @@ def refresh_market(
         "left_semi",
     )
     touched = tables.upsert_daily(spark, store.table("daily_prices"), bounded, windows)
-    rebuild_bars(spark, store)
+    rebuild_bars(spark, store, touched)
     return touched
 
 

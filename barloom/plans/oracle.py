@@ -54,9 +54,9 @@ BAR_COLUMNS = "ticker, short_name, date, open, high, low, close, adj_close, volu
 
 
 def oracle(name: str, sql: str, doubles: str = "") -> None:
-    """Registers a query; ``doubles`` are shown with six decimals and no negative zero."""
+    """Registers a query; ``doubles`` are shown with six decimals."""
     if doubles:
-        cells = ", ".join(f'round("{c}", 6) + 0.0 as "{c}"' for c in doubles.split())
+        cells = ", ".join(f'floor("{c}" * 1e6 + 0.5) / 1e6 as "{c}"' for c in doubles.split())
         sql = f"select * replace ({cells}) from ({sql}) as q"
     ORACLE[name] = sql
 
@@ -246,7 +246,7 @@ v as (
 ),
 c as (select ticker, max(date) as last_date, arg_max(struct_pack(x := rv), date).x as cur from v group by ticker)
 select v.ticker, arg_max(short_name, date) as name, max(cur) as rv30,
-       100.0 * count(*) filter (rv <= cur) / count(*) as rv30_rank_1y
+       100.0 * count(*) filter (rv <= cur * (1 + 1e-12)) / count(*) as rv30_rank_1y
 from v join c using (ticker), (select max(date) as newest from daily)
 where date >= newest - interval 1 year and last_date = newest
 group by v.ticker order by rv30_rank_1y desc nulls last, v.ticker limit 100""",

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import year_month
-from ..operators.bars import latest_load
+from ..functions import period_start, year_month
+from ..operators.bars import latest_load, period_bars
 from ..operators.ingest import overlap_reload
 from ..schema import DAILY_COLUMNS, DAILY_SCHEMA, PERIODS, STATEMENT_SCHEMA
 from ..session import scratch_path
@@ -110,11 +110,49 @@ def _months(new: DataFrame, windows: DataFrame) -> list[str]:
     return sorted(r.ym for r in both.distinct().collect())
 
 
-def write_bars(bars: DataFrame, period: str, path: str) -> None:
-    """Full rebuild of a bar table, one folder per year."""
+def write_bars(
+    spark: SparkSession, daily: DataFrame, period: str, path: str, touched: list[str] | None = None
+) -> None:
+    """Bars of a period as a table, one folder per year of the period's first day.
+
+    Without ``touched`` all of it is rebuilt. Given the months (yyyyMM) whose
+    daily rows changed, only the years of the periods that reach into them are
+    read and replaced. A week may start in the year before its last day, so the
+    folder goes by the first day, which does not move when rows arrive.
+    """
     key = PERIODS[period][1]
-    rows = bars.withColumn("year", F.year(key))
-    _laid_out(rows, "year", "ticker", key).mode("overwrite").parquet(path)
+    if touched is None or not exists(spark, path):
+        bars = _bars_by_year(daily, period)
+        _laid_out(bars, "year", "ticker", key).mode("overwrite").parquet(path)
+        return
+    years = sorted({y for m in touched for y in _start_years(m, period)})
+    if not years:
+        return
+    # The last week of a year ends in the January after it.
+    months = [f"{y}{m:02d}" for y in years for m in range(1, 13)] + [f"{y + 1}01" for y in years]
+    rows = daily.filter(F.col("ym").isin(months)) if "ym" in daily.columns else daily
+    bars = _bars_by_year(rows, period).filter(F.col("year").isin(years))
+    writer = _laid_out(bars, "year", "ticker", key).mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+    present = {r.y for r in rows.select(F.year(_first_day(period)).alias("y")).distinct().collect()}
+    for year in years:
+        if year not in present:
+            _remove(spark, f"{path.rstrip('/')}/year={year}")
+
+
+def _first_day(period: str) -> Column:
+    return period_start("date", PERIODS[period][0])
+
+
+def _bars_by_year(daily: DataFrame, period: str) -> DataFrame:
+    bars = period_bars(daily, period, keep_start=True)
+    return bars.withColumn("year", F.year("period_start")).drop("period_start")
+
+
+def _start_years(month: str, period: str) -> set[int]:
+    """Years in which periods start that reach into a month."""
+    year = int(month[:4])
+    return {year - 1, year} if period == "week" and month.endswith("01") else {year}
 
 
 def read_bars(spark: SparkSession, path: str) -> DataFrame:
