@@ -59,7 +59,8 @@ def with_neighbour(
     """
     group = list(group_by)
     edges = range_edges(df, column, group, rows_per_range)
-    if not edges and group:
+    if not edges:
+        # No group holds more than one range of rows, so a plain window is small enough.
         w = Window.partitionBy(*group).orderBy(column)
         step = F.lead(column) if following else F.lag(column)
         return df.withColumn(name, step.over(w))

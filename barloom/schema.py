@@ -66,3 +66,14 @@ PERIODS = {
     "month": ("month", "month_ending"),
     "quarter": ("quarter", "quarter_ending"),
 }
+
+
+def bar_schema(period: str) -> T.StructType:
+    """Contract of a bar table: the daily columns with the period's last trading day as key."""
+    key = PERIODS[period][1]
+    names = ["ticker", "short_name", key, "open", "high", "low", "close", "adj_close", "volume"]
+    kinds = {f.name: f.dataType for f in DAILY_SCHEMA.fields} | {key: T.DateType()}
+    fields = [T.StructField(n, kinds[n]) for n in names]
+    fields.append(T.StructField("source_max_date", T.DateType()))
+    fields.append(T.StructField("built_at", T.TimestampType()))
+    return T.StructType(fields)

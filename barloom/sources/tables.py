@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from ..functions import period_start, year_month
 from ..operators.bars import latest_load, period_bars
 from ..operators.ingest import overlap_reload
-from ..schema import DAILY_COLUMNS, DAILY_SCHEMA, PERIODS, STATEMENT_SCHEMA
+from ..schema import DAILY_COLUMNS, DAILY_SCHEMA, PERIODS, STATEMENT_SCHEMA, bar_schema
 from ..session import scratch_path
 
 
@@ -155,8 +155,9 @@ def _start_years(month: str, period: str) -> set[int]:
     return {year - 1, year} if period == "week" and month.endswith("01") else {year}
 
 
-def read_bars(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop("year")
+def read_bars(spark: SparkSession, path: str, period: str) -> DataFrame:
+    schema = bar_schema(period)
+    return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
 
 def statements(spark: SparkSession, path: str, period: str | None = None) -> DataFrame:
