@@ -6,6 +6,7 @@ from .numeric import (
     haversine,
     ln_positive,
     null_blank,
+    or_zero,
     pct_change,
     ratio,
     round_half_even,
@@ -27,6 +28,7 @@ __all__ = [
     "ln_positive",
     "normalise_label",
     "null_blank",
+    "or_zero",
     "pct_change",
     "period_start",
     "ratio",

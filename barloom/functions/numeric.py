@@ -82,3 +82,10 @@ def haversine(lat1, lon1, lat2, lon2, unit: str = "mi") -> Column:
 def null_blank(c: ColumnOrName) -> Column:
     """Empty string to NULL."""
     return F.nullif(_col(c), F.lit(""))
+
+
+def or_zero(c: ColumnOrName, missing: str) -> Column:
+    """The value as it is (``'null'``) or with 0 in place of NULL (``'zero'``)."""
+    if missing not in ("null", "zero"):
+        raise ValueError("missing must be 'null' or 'zero'")
+    return F.coalesce(_col(c), F.lit(0.0)) if missing == "zero" else _col(c)

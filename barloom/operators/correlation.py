@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_date_col, ratio, round_half_even
+from ..functions import as_date_col, or_zero, ratio, round_half_even
 
 MAX_FOCAL = 500
 
@@ -88,11 +88,15 @@ def correlation_matrix(
     as_of=None,
     min_obs: int = 150,
     digits: int | None = 3,
+    missing: str = "null",
 ) -> DataFrame:
-    """One row per focal ticker, one column per ticker in ``columns`` (default: the universe)."""
+    """One row per focal ticker, one column per ticker in ``columns`` (default: the universe).
+
+    A pair without enough common days is NULL, or 0 with ``missing='zero'``.
+    """
     pairs = correlation_pairs(daily, focal, universe, as_of, min_obs)
-    cells = [
-        round_half_even(F.max(F.when(F.col("ticker_b") == t, F.col("corr_1y"))), digits).alias(t)
-        for t in (columns or universe)
-    ]
+    cells = []
+    for t in columns or universe:
+        cell = round_half_even(F.max(F.when(F.col("ticker_b") == t, F.col("corr_1y"))), digits)
+        cells.append(or_zero(cell, missing).alias(t))
     return pairs.groupBy("ticker_a").agg(*cells)

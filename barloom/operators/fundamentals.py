@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ratio
+from ..functions import or_zero, ratio
 from ..schema import STATEMENT_KEY
 
 LONG_COLUMNS = [
@@ -76,9 +76,13 @@ def fundamentals_long(
     return tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
 
 
-def fundamentals_wide(long: DataFrame, metrics: dict[str, dict[str, str]] | None = None) -> DataFrame:
+def fundamentals_wide(
+    long: DataFrame, metrics: dict[str, dict[str, str]] | None = None, missing: str = "null"
+) -> DataFrame:
     """One row per (ticker, fiscal_date) with the named metrics as columns.
 
+    A metric without a line is NULL, or 0 with ``missing='zero'``.
+
     A single pass: each metric is the value loaded last among its lines, so
     restatements need no separate de-duplication and the statements no joins.
     """
@@ -88,7 +92,7 @@ def fundamentals_wide(long: DataFrame, metrics: dict[str, dict[str, str]] | None
         for column, label in labels.items():
             mine = (F.col("statement") == statement) & (F.col("metric") == label)
             newest = F.max(F.when(mine, F.struct("loaded_at", "value")))
-            cells.append(newest.getField("value").alias(column))
+            cells.append(or_zero(newest.getField("value"), missing).alias(column))
     currency = F.max(F.struct("loaded_at", "currency")).getField("currency")
     return long.groupBy("ticker", "fiscal_date").agg(currency.alias("currency"), *cells)
 

@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_date_col, ratio, recent, round_half_even, trailing_mean, trailing_std
+from ..functions import (
+    as_date_col,
+    lag_value,
+    ratio,
+    recent,
+    round_half_even,
+    trailing_mean,
+    trailing_std,
+)
 from .bars import latest_load
 
 # The regime labels (the dash is U+2013).
@@ -20,7 +28,7 @@ def regime_label(ret: Column, std: Column, z: Column) -> Column:
 
     A zero spread or a zero return with a large |z| counts as typical.
     """
-    size = F.when(F.abs(z) < 1, F.lit(None)).when(F.abs(z) < 2, VOLATILE).when(F.abs(z) >= 2, OUTLIER)
+    size = F.when((F.abs(z) >= 1) & (F.abs(z) < 2), VOLATILE).when(F.abs(z) >= 2, OUTLIER)
     side = F.when(ret > 0, "Bull").when(ret < 0, "Bear")
     return F.when(ret.isNull() | std.isNull(), NOT_AVAILABLE).otherwise(
         F.coalesce(F.concat(side, F.lit(" "), size), F.lit(TYPICAL))
@@ -37,11 +45,13 @@ def regime(
     after=None,
     dedupe: bool = False,
     digits: int | None = 2,
+    missing: str = "null",
 ) -> DataFrame:
     """Last ``keep`` rows per ticker with return, z-score over the prior n, label.
 
     Only the newest keep + n + 1 valid rows of a ticker can matter, so older
-    history is dropped before the shuffle.
+    history is dropped before the shuffle. ``missing='zero'`` shows 0 as the
+    close before a ticker's first row.
     """
     rows = latest_load(prices, ["adj_close"]) if dedupe else prices
     rows = rows.filter(F.col("adj_close") > 0)
@@ -53,7 +63,7 @@ def regime(
     w = Window.partitionBy("ticker").orderBy(key)
     mean, std, z = f"mean_{suffix}", f"std_{suffix}", f"zscore_{suffix}"
     rows = (
-        rows.withColumn("prev_close", F.lag("close_price").over(w))
+        rows.withColumn("prev_close", lag_value("close_price", 1, w, missing))
         .withColumn("pct_change", ratio("close_price", "prev_close") - 1)
         .withColumn(mean, trailing_mean("pct_change", n, w, include_current=False))
         .withColumn(std, trailing_std("pct_change", n, w, include_current=False))

@@ -13,11 +13,21 @@ from ..functions import as_date_col, null_blank
 from ..functions.numeric import ColumnOrName, _col
 
 
-def star(df: DataFrame, exclude: list[str] = (), prefix: str = "", suffix: str = "") -> list[Column]:
-    """All columns but some (case-insensitive), renamed with a prefix and suffix."""
+def star(
+    df: DataFrame,
+    exclude: list[str] = (),
+    prefix: str = "",
+    suffix: str = "",
+    alias: str | None = None,
+) -> list[Column]:
+    """All columns but some (case-insensitive), renamed with a prefix and suffix.
+
+    ``alias`` qualifies them where the frame was aliased for a join.
+    """
     dropped = {c.lower() for c in exclude}
     kept = [c for c in df.columns if c.lower() not in dropped]
-    return [F.col(f"`{c}`").alias(f"{prefix}{c}{suffix}") for c in kept]
+    of = f"{alias}." if alias else ""
+    return [F.col(f"{of}`{c}`").alias(f"{prefix}{c}{suffix}") for c in kept]
 
 
 def blank_to_null(df: DataFrame) -> DataFrame:
@@ -70,6 +80,18 @@ def column_values(
     return out if max_records is None else out.limit(max_records)
 
 
+def pivot_values(df: DataFrame, column: str, most: int = 1000) -> list:
+    """The values of a column as a list, for use as pivot columns.
+
+    A table cannot have very many columns, so more than ``most`` values are an
+    error; none are left out.
+    """
+    found = [r.value for r in column_values(df, column, max_records=most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values")
+    return found
+
+
 # The comparisons a pivot cell may use.
 COMPARISONS = {
     "=": operator.eq,

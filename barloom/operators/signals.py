@@ -16,6 +16,7 @@ from ..functions import (
     finite,
     lag_value,
     ln_positive,
+    or_zero,
     pct_change,
     period_start,
     ratio,
@@ -140,8 +141,11 @@ def volume_surge(daily: DataFrame, days: int = 20, k: int | None = 50, digits: i
     return top_k(out, "vol_surge", k)
 
 
-def gap_scan(daily: DataFrame, k: int = 50):
-    """Newest open against the close before it."""
+def gap_scan(daily: DataFrame, k: int = 50, missing: str = "null"):
+    """Newest open against the close before it.
+
+    ``missing='zero'`` shows 0 as the close before a ticker's only bar.
+    """
     snap = (
         recent(daily, 2)
         .groupBy("ticker")
@@ -149,7 +153,7 @@ def gap_scan(daily: DataFrame, k: int = 50):
             _at(1, "short_name").alias("name"),
             _at(1, "date").alias("last_date"),
             _at(1, "open").alias("open_today"),
-            _at(2, "close").alias("prev_close"),
+            or_zero(_at(2, "close"), missing).alias("prev_close"),
         )
         .withColumn("gap_pct", pct_change("open_today", "prev_close"))
     )
@@ -312,9 +316,16 @@ def realised_vol_rank(
 
 
 def vix_weekly(
-    daily: DataFrame, ticker: str = "^VIX", weeks: int = 22, digits: int | None = 2
+    daily: DataFrame,
+    ticker: str = "^VIX",
+    weeks: int = 22,
+    digits: int | None = 2,
+    missing: str = "null",
 ):
-    """Weekly closes of a volatility index with week-on-week changes and a level name."""
+    """Weekly closes of a volatility index with week-on-week changes and a level name.
+
+    ``missing='zero'`` takes 0 as the close before the first week.
+    """
     weekly = (
         daily.filter(F.col("ticker") == ticker)
         .groupBy("ticker", period_start("date", "week").alias("week_start"))
@@ -328,7 +339,7 @@ def vix_weekly(
     newest = F.max("week_start").over(Window.partitionBy("ticker"))
     rows = weekly.withColumn("_newest", newest)
     for kind in ("raw", "adj"):
-        now, prev = F.col(kind), F.lag(kind).over(w)
+        now, prev = F.col(kind), lag_value(kind, 1, w, missing)
         known = finite(prev) & finite(now)
         rows = rows.withColumn(f"_net_{kind}", F.when(known, now - prev))
         moved = F.when(known & (now != 0), F.lit(100) * (ratio(now, prev) - 1))

@@ -1013,34 +1013,47 @@ oracle(
         for t in ["orders", "lineitem", "customer", "part", "supplier", "events"]
     ),
 )
+KNOWN = """('N/A', 'Neutral – Typical', 'Bull – Volatile', 'Bear – Volatile', 'Bull – Outlier',
+'Bear – Outlier')"""
+
+
+def _nulls(name: str, source: str, columns: list[str]) -> str:
+    total = " + ".join(f"count(*) filter ({c} is null)" for c in columns)
+    return f"select '{name}: not null ({', '.join(columns)})', {total} from {source}"
+
+
+def _copies(name: str, source: str, key: list[str]) -> str:
+    k = ", ".join(key)
+    return f"""select '{name}: unique ({k})', count(*) from (
+  select {k} from {source} group by {k} having count(*) > 1)"""
+
+
+def _unknown(name: str, source: str) -> str:
+    return f"select '{name}: known regime', count(*) filter (regime not in {KNOWN}) from {source}"
+
+
+REPORT = " union all ".join(
+    [
+        _nulls("weekly_prices", "weekly", ["ticker", "week_ending"]),
+        _nulls("monthly_prices", "monthly", ["ticker", "month_ending"]),
+        _nulls("regime_daily", "rd", ["ticker", "trade_date"]),
+        _nulls("regime_weekly", "rw", ["ticker", "week_end"]),
+        "select 'daily_prices: not null (ticker, short_name, date, ingested_at)', "
+        "count(*) filter (ticker is null or short_name is null or date is null) from daily",
+        _copies("daily_prices", "daily", ["ticker", "date"]),
+        _copies("weekly_prices", "weekly", ["ticker", "week_ending"]),
+        _copies("monthly_prices", "monthly", ["ticker", "month_ending"]),
+        _unknown("regime_daily", "rd"),
+        _unknown("regime_weekly", "rw"),
+        "select 'daily_prices: volume >= 0', count(*) filter (volume < 0) from daily",
+    ]
+)
 oracle(
     "check_report",
     f"""with {WEEKLY},{_bars('month', 'month_ending')},
-c(check_name, failures) as (
-  select 'weekly_prices: not null (ticker, week_ending)',
-         count(*) filter (ticker is null) + count(*) filter (week_ending is null) from weekly
-  union all
-  select 'monthly_prices: not null (ticker, month_ending)',
-         count(*) filter (ticker is null) + count(*) filter (month_ending is null) from monthly
-  union all
-  select 'regime_daily: not null (ticker, trade_date)', count(*) filter (ticker is null) from daily
-  union all
-  select 'regime_weekly: not null (ticker, week_end)', count(*) filter (ticker is null) from weekly
-  union all
-  select 'daily_prices: not null (ticker, short_name, date, ingested_at)',
-         count(*) filter (ticker is null) + count(*) filter (date is null) from daily
-  union all
-  select 'daily_prices: unique (ticker, date)', count(*) - count(distinct (ticker, date)) from daily
-  union all
-  select 'weekly_prices: unique (ticker, week_ending)',
-         count(*) - count(distinct (ticker, week_ending)) from weekly
-  union all
-  select 'monthly_prices: unique (ticker, month_ending)',
-         count(*) - count(distinct (ticker, month_ending)) from monthly
-  union all select 'regime_daily: known regime', 0
-  union all select 'regime_weekly: known regime', 0
-  union all select 'daily_prices: volume >= 0', count(*) filter (volume < 0) from daily
-)
+rd as (with {_regime('daily', 'date', 'trade_date', 20, 120, '20d')}),
+rw as (with {_regime('weekly', 'week_ending', 'week_end', 12, 100, '12w')}),
+c(check_name, failures) as ({REPORT})
 select check_name, cast(failures as bigint) as failures,
        case when failures > 0 then 'error' else 'pass' end as status
 from c""",
@@ -1060,9 +1073,35 @@ with w as (
 select * from w where week_start + 7 <= (select max(ts) from events) - interval 7 day""",
     "open high low close",
 )
+REFRESHED = BAR_COLUMNS.replace(
+    "adj_close", "adj_close + case when date >= d - 21 then 2 else 0 end as adj_close"
+)
+for _name in ("stream_ingest", "market_refresh"):
+    oracle(
+        _name,
+        f"with {DAILY}, e as (select max(date) as d from daily) select {REFRESHED} from daily, e",
+    )
+
+# --- stored tables --------------------------------------------------------------------------
+
 oracle(
-    "stream_ingest",
-    f"""with {DAILY}, e as (select max(date) as d from daily)
-select {BAR_COLUMNS.replace("adj_close", "adj_close + case when date >= d - 21 then 2 else 0 end as adj_close")}
-from daily, e""",
+    "stored_daily_since",
+    f"with {DAILY} select {BAR_COLUMNS} from daily where date >= date '2000-03-15'",
+)
+oracle("stored_weekly_bars", f"with {WEEKLY} select * from weekly")
+oracle("published_view", f"with {WEEKLY} select ticker, count(*) as n_weeks from weekly group by 1")
+oracle(
+    "stored_statements",
+    f"with {LONG} select * exclude (statement) from ledger where statement = 'balance_sheet'",
+    "value",
+)
+oracle("csv_seed", "select * from supplier", "s_acctbal")
+oracle(
+    "fundamentals_refresh",
+    f"""with {ANNUAL}
+select ticker, fiscal_date, 'USD' as currency,
+       max(value) filter (metric = 'Total Revenue') as total_revenue,
+       max(value) filter (metric = 'Cost Of Revenue') as cost_of_revenue
+from annual group by 1, 2""",
+    "total_revenue cost_of_revenue",
 )

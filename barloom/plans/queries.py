@@ -25,11 +25,10 @@ from ..operators import (
     signals,
 )
 from ..session import scratch_path
-from ..sources import samples
+from ..sources import samples, tables
 from ..sources.samples import table
-from ..sources.tables import daily_prices as stored_daily
 from ..streaming import start_ingest, weekly_bars_stream
-from . import registry
+from . import jobs, registry
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -897,19 +896,98 @@ def stream_weekly_bars(spark, d):
     return spark.read.parquet(out)
 
 
+def _vendor_rows(daily: DataFrame) -> DataFrame:
+    names = {"ticker": "Symbol", "date": "Date", "adj_close": "Adj Close", "short_name": "ShortName"}
+    return daily.select(*DAILY_SHOWN).withColumnsRenamed(names)
+
+
+def _last_days_again(daily: DataFrame) -> DataFrame:
+    """The last 21 days as a vendor would deliver them anew, two higher."""
+    again = daily.filter(F.col("date") >= F.date_sub(_newest(daily), 21))
+    return _vendor_rows(again.withColumn("adj_close", F.col("adj_close") + 2))
+
+
 @query
 def stream_ingest(spark, d):
-    """The daily table landed as files, then its last 21 days again, two higher."""
+    """The daily table landed as files, then its last 21 days again."""
     base = scratch_path(spark, "ingest-stream")
     landing, store, state = f"{base}/landing", f"{base}/daily", f"{base}/state"
     daily = samples.daily_prices(spark, d)
-    names = {"ticker": "Symbol", "date": "Date", "adj_close": "Adj Close", "short_name": "ShortName"}
-    raw = daily.select(*DAILY_SHOWN).withColumnsRenamed(names)
-    raw.write.mode("append").parquet(landing)
+    _vendor_rows(daily).write.mode("append").parquet(landing)
     schema = spark.read.parquet(landing).schema
     start_ingest(spark, landing, schema, store, state).awaitTermination()
-    again = raw.filter(F.col("Date") >= F.date_sub(_newest(daily), 21))
-    again = again.withColumn("Adj Close", F.col("Adj Close") + 2)
-    again.write.mode("append").parquet(landing)
+    _last_days_again(daily).write.mode("append").parquet(landing)
     start_ingest(spark, landing, schema, store, state).awaitTermination()
-    return stored_daily(spark, store).select(*DAILY_SHOWN)
+    return tables.daily_prices(spark, store).select(*DAILY_SHOWN)
+
+
+# --- stored tables and jobs ---------------------------------------------------------
+
+
+def _stored_daily(spark, d) -> str:
+    path = scratch_path(spark, "daily")
+    tables.append_daily(samples.daily_prices(spark, d), path)
+    return path
+
+
+@query
+def market_refresh(spark, d):
+    """Backfill of the whole history, then a refresh of the last 21 days."""
+    store = jobs.Warehouse(scratch_path(spark, "warehouse"))
+    daily = samples.daily_prices(spark, d)
+    jobs.backfill_market(spark, _vendor_rows(daily), store, start="1995-01-01")
+    today = tables.daily_prices(spark, store.table("daily_prices")).agg(F.max("date")).first()[0]
+    jobs.refresh_market(spark, _last_days_again(daily), store, today=today)
+    return tables.daily_prices(spark, store.table("daily_prices")).select(*DAILY_SHOWN)
+
+
+@query
+def fundamentals_refresh(spark, d):
+    """Two loads of the same statements, the first with doubled values."""
+    store = jobs.Warehouse(scratch_path(spark, "warehouse"))
+    frame = _annual_frame(spark, d)
+    doubled = frame.select(
+        "ticker", "metric", "currency", *[(F.col(f"`{e}`") * 2).alias(e) for e in YEAR_ENDS]
+    )
+    for wide, at in [(doubled, "2002-01-01 00:00:00"), (frame, "2002-02-01 00:00:00")]:
+        frames = {"income_statement": {"Q": wide}}
+        empty = {s: {"Q": wide.limit(0)} for s in ("balance_sheet", "cashflow_statement")}
+        out = jobs.refresh_fundamentals(spark, frames | empty, store, None, LABELS, loaded_at=at)
+    columns = ["ticker", "fiscal_date", "currency", "total_revenue", "cost_of_revenue"]
+    return out["fundamentals_wide"].select(*columns)
+
+
+@query
+def stored_daily_since(spark, d):
+    """The stored daily table from a day on; older month folders are not read."""
+    stored = tables.daily_prices(spark, _stored_daily(spark, d))
+    return tables.since(stored, "2000-03-15").select(*DAILY_SHOWN)
+
+
+@query
+def stored_weekly_bars(spark, d):
+    path = scratch_path(spark, "weekly")
+    tables.write_bars(spark, samples.daily_prices(spark, d), "week", path)
+    return tables.read_bars(spark, path, "week").drop("built_at")
+
+
+@query
+def published_view(spark, d):
+    tables.publish_views({"sample_weekly": _weekly(spark, d)})
+    return spark.sql("select ticker, count(*) as n_weeks from sample_weekly group by ticker")
+
+
+@query
+def stored_statements(spark, d):
+    path = scratch_path(spark, "balance")
+    tables.append_statements(samples.statement(spark, d, "balance_sheet"), path, "b1")
+    stored = tables.statements(spark, path, "Q")
+    return stored.drop("loaded_at", "batch_id", "fiscal_ym")
+
+
+@query
+def csv_seed(spark, d):
+    path = scratch_path(spark, "seed")
+    supplier = table(spark, d, "supplier")
+    supplier.write.option("header", True).csv(path)
+    return tables.read_csv(spark, path, supplier.schema)

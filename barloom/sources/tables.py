@@ -179,6 +179,17 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> Data
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
+def save_bucketed(df: DataFrame, name: str, buckets: int, key: str = "date") -> None:
+    """A catalog table bucketed by ticker: windows and bars by ticker then need no shuffle."""
+    (
+        df.repartition(buckets, "ticker")
+        .write.mode("overwrite")
+        .bucketBy(buckets, "ticker")
+        .sortBy("ticker", key)
+        .saveAsTable(name)
+    )
+
+
 def publish_views(frames: dict[str, DataFrame]) -> None:
     """Register frames as temp views; they stay lazy and are computed on read."""
     for name, df in frames.items():

@@ -8,7 +8,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from barloom.operators import bars, correlation, metrics, regimes, signals
+from barloom.operators import bars, correlation, fundamentals, metrics, regimes, signals
 
 D0 = dt.date(2023, 1, 2)
 
@@ -286,3 +286,23 @@ def test_correlation(make_daily):
     assert (matrix["B"], matrix["FEW"]) == (-1.0, None)
     with pytest.raises(ValueError):
         correlation.correlation_pairs(daily, [str(i) for i in range(501)], None)
+
+
+def test_zero_in_place_of_what_is_missing(spark, make_daily):
+    one = make_daily([("A", "2024-01-02", 5.0)])
+    gap = signals.gap_scan(one, missing="zero").first()
+    assert (gap.prev_close, gap.gap_pct) == (0.0, None)
+    row = regimes.regime(one, missing="zero").first()
+    assert (row.prev_close, row.net_change, row.pct_change, row.regime) == (0.0, 5.0, None, "N/A")
+    vix = signals.vix_weekly(one, "A", missing="zero").first()
+    assert (vix.vix_net_change_raw, vix.vix_pct_change_raw_pct) == (5.0, None)
+    two = make_daily([("A", "2024-01-02", 5.0), ("A", "2024-01-03", 6.0)])
+    matrix = correlation.correlation_matrix(two, ["A"], ["A", "B"], as_of="2024-01-03", min_obs=1, missing="zero")
+    assert matrix.first()["B"] == 0.0
+    ledger = spark.createDataFrame(
+        [("T", "2023-12-31", "Q", "Net Income", 3.0, "USD", "s", "2024-01-01")],
+        "ticker string, fiscal_date string, period string, metric string, value double, currency string, source string, loaded_at string",
+    )
+    long = fundamentals.fundamentals_long(ledger, ledger.limit(0), ledger.limit(0))
+    assert fundamentals.fundamentals_wide(long, missing="zero").first().total_revenue == 0.0
+    assert fundamentals.fundamentals_wide(long).first().total_revenue is None

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from barloom.operators import bars, correlation, regimes, signals
 from barloom.plans.queries import QUERIES
-from barloom.sources import samples
+from barloom.sources import samples, tables
 
-EAGER = {"check_report", "stream_weekly_bars", "stream_ingest"}
+EAGER = {"check_report", "stream_weekly_bars", "stream_ingest", "market_refresh", "fundamentals_refresh"}
 
 
 def plan(df):
@@ -100,3 +100,11 @@ def test_copies_of_one_key_are_merged_before_the_shuffle(spark, make_daily):
     text = plan(out)
     assert "partial_max" in text
     assert out.first().adj_close == 1999.0
+
+
+def test_bucketed_table_needs_no_shuffle(spark, make_daily):
+    tables.save_bucketed(make_daily([("A", "2024-01-02", 1.0), ("B", "2024-01-03", 2.0)]), "daily_by_ticker", 4)
+    df = spark.table("daily_by_ticker")
+    for out in (bars.weekly_bars(df), signals.realised_vol(df), regimes.regime(df)):
+        assert "Exchange" not in plan(out)
+    spark.sql("drop table daily_by_ticker")

@@ -19,6 +19,20 @@ def test_star(spark):
     assert df.select(*relational.star(df, ["A"], "p_", "_s")).columns == ["p_B_s", "p_c_s"]
 
 
+def test_star_of_an_aliased_frame(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    both = df.alias("l").join(df.alias("r"), F.col("l.a") == F.col("r.a"))
+    out = both.select(*relational.star(df, ["a"], alias="l"), *relational.star(df, ["b"], "r_", alias="r"))
+    assert out.columns == ["b", "r_a"]
+
+
+def test_pivot_values(spark):
+    df = spark.createDataFrame([(v,) for v in "abb"], "v string")
+    assert relational.pivot_values(df, "v") == ["b", "a"]
+    with pytest.raises(ValueError):
+        relational.pivot_values(df, "v", most=1)
+
+
 def test_blank_to_null(spark):
     df = spark.createDataFrame([("", 0, " "), ("x", 1, "")], "a string, n int, b string")
     assert {tuple(r) for r in relational.blank_to_null(df).collect()} == {(None, 0, " "), ("x", 1, None)}
