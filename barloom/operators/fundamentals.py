@@ -44,7 +44,14 @@ METRICS = {
     },
 }
 
-RATIOS = ["gross_margin", "operating_margin", "net_margin", "current_ratio", "debt_to_equity", "fcf"]
+RATIOS = [
+    "gross_margin",
+    "operating_margin",
+    "net_margin",
+    "current_ratio",
+    "debt_to_equity",
+    "fcf",
+]
 
 
 def latest_restatement(ledger: DataFrame, key: list[str] | None = None) -> DataFrame:

@@ -127,8 +127,9 @@ def normalise_bars(
     if not {"ticker", "date"} <= have:
         raise ValueError("raw bars need a ticker and a date column")
 
-    day = df.schema["date"].dataType
-    date = F.col("date") if isinstance(day, T.DateType) else trading_date(F.col("date"), exchange_tz)
+    date = F.col("date")
+    if not isinstance(df.schema["date"].dataType, T.DateType):
+        date = trading_date(date, exchange_tz)
     prices = [
         (F.col(c).try_cast("double") if c in have else F.lit(None).cast("double")).alias(c)
         for c in PRICE_COLUMNS
@@ -225,7 +226,7 @@ def combine_statements(annual: DataFrame | None, quarterly: DataFrame | None) ->
 
 def split_rejects(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good, rejected) ledger rows, so that one bad ticker does not stop the rest."""
-    good = F.col("ticker").isNotNull() & F.col("fiscal_date").isNotNull() & F.col("metric").isNotNull()
+    good = F.expr("ticker IS NOT NULL AND fiscal_date IS NOT NULL AND metric IS NOT NULL")
     return ledger.filter(good), ledger.filter(~good)
 
 
@@ -237,7 +238,8 @@ def ticker_universe(listings: DataFrame) -> DataFrame:
     """
     first = F.min(F.struct("priority", "pos", "exchange"))
     found = listings.groupBy("ticker").agg(first.alias("_f"))
-    return found.select("ticker", *[F.col(f"_f.{c}").alias(c) for c in ("exchange", "priority", "pos")])
+    parts = ("exchange", "priority", "pos")
+    return found.select("ticker", *[F.col(f"_f.{c}").alias(c) for c in parts])
 
 
 def tail(df: DataFrame, n: int = 10, key: str = "date", ticker: str | None = None) -> DataFrame:

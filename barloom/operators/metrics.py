@@ -19,7 +19,11 @@ BUCKETS = {
 
 
 def return_metrics(
-    bars: DataFrame, key: str = "week_ending", keep: int = 260, unit: str = "weeks", short: str = "wk"
+    bars: DataFrame,
+    key: str = "week_ending",
+    keep: int = 260,
+    unit: str = "weeks",
+    short: str = "wk",
 ) -> DataFrame:
     """One row per ticker: counts, log-return moments, buckets, payoff, expectancy.
 

@@ -190,9 +190,8 @@ def mutually_exclusive_ranges(
     if gaps not in GAP_RULES:
         raise ValueError(f"gaps must be one of {GAP_RULES}, got {gaps!r}")
     group = list(partition_by)
-    rows = df.groupBy(*group, F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")).agg(
-        F.count("*").alias("n_rows")
-    )
+    bounds = [F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")]
+    rows = df.groupBy(*group, *bounds).agg(F.count("*").alias("n_rows"))
     no_start = rows.filter("lower_bound IS NULL")
     started = rows.filter("lower_bound IS NOT NULL")
     starts = started.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("_longest"))
@@ -352,13 +351,15 @@ def exchange_mismatches(
     CASE expression, so only the two tables are joined.
     """
     label = F.when(F.col("full_exchange_name") != "", F.col("full_exchange_name"))
-    shown = vendor.select("ticker", normalise_label(F.coalesce(label, "exchange_code")).alias("actual"))
-    rows = listings.select("ticker", F.col("exchange").alias("expected")).join(shown, "ticker", "left")
+    actual = normalise_label(F.coalesce(label, "exchange_code")).alias("actual")
+    listed = listings.select("ticker", F.col("exchange").alias("expected"))
+    rows = listed.join(vendor.select("ticker", actual), "ticker", "left")
     rows = rows.withColumn("actual", F.coalesce("actual", F.lit("")))
 
     matches = F.lit(False)
     for group, words in keywords.items():
-        hit = reduce(lambda a, b: a | b, [F.contains("actual", F.lit(w)) for w in words], F.lit(False))
+        hits = [F.contains("actual", F.lit(w)) for w in words]
+        hit = reduce(lambda a, b: a | b, hits, F.lit(False))
         matches = matches | ((F.col("expected") == group) & hit)
     for ticker, (group, text) in (exceptions or {}).items():
         matches = matches | (
@@ -371,7 +372,10 @@ def exchange_mismatches(
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, n_rows) for each table."""
-    parts = [df.agg(F.count("*").alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows") for n, df in tables.items()]
+    parts = [
+        df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, parts)
 
 

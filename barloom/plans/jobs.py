@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import as_date_col
 from ..operators import ingest
 from ..operators import quality as dq
 from ..operators.fundamentals import latest_restatement
@@ -49,14 +50,12 @@ def refresh_market(
     ticker without new rows still has its window cleared.
     """
     new = ingest.normalise_bars(raw, str(uuid.uuid4()), source, ingested_at)
+    if tickers is not None:
+        new = new.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
     windows = ingest.reload_windows(new if tickers is None else tickers, today, lookback_days)
-    inside = windows.select(F.col("ticker").alias("_t"), "start_date", "end_date")
-    bounded = new.join(
-        inside,
-        (F.col("ticker") == F.col("_t")) & F.col("date").between(F.col("start_date"), F.col("end_date")),
-        "left_semi",
-    )
-    touched = tables.upsert_daily(spark, store.table("daily_prices"), bounded, windows)
+    day = as_date_col(today)
+    new = ingest.clip(new, F.date_sub(day, lookback_days), F.date_add(day, 1))
+    touched = tables.upsert_daily(spark, store.table("daily_prices"), new, windows)
     rebuild_bars(spark, store, touched)
     return touched
 
@@ -72,8 +71,7 @@ def backfill_market(
     """Reload whole histories from ``start``, then rebuild the bars."""
     new = ingest.normalise_bars(raw, str(uuid.uuid4()), source, ingested_at)
     new = ingest.clip(new, start)
-    windows = ingest.batch_windows(new)
-    touched = tables.upsert_daily(spark, store.table("daily_prices"), new, windows)
+    touched = tables.upsert_daily(spark, store.table("daily_prices"), new)
     rebuild_bars(spark, store)
     return touched
 

@@ -807,7 +807,8 @@ def dq_relationships(spark, d):
 @query
 def dq_sequential_values(spark, d):
     """Line numbers of an order that skip or repeat."""
-    return quality.sequential_values(table(spark, d, "lineitem"), "l_linenumber", group_by=["l_orderkey"])
+    items = table(spark, d, "lineitem")
+    return quality.sequential_values(items, "l_linenumber", group_by=["l_orderkey"])
 
 
 @query

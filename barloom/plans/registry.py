@@ -59,7 +59,9 @@ DATASETS: dict[str, Dataset] = {
     "breadth": Dataset(signals.breadth, DAILY, ("pct_above_50d", "pct_above_200d")),
     "scanner_52w": Dataset(signals.scanner_52w, DAILY, ("ticker", "last_close")),
     "atr_pct": Dataset(signals.atr_pct, DAILY, ("ticker", "date", "last_close")),
-    "inside_outside_day": Dataset(signals.inside_outside_day, DAILY, ("ticker", "date", "day_type")),
+    "inside_outside_day": Dataset(
+        signals.inside_outside_day, DAILY, ("ticker", "date", "day_type")
+    ),
     "realised_vol_rank": Dataset(signals.realised_vol_rank, DAILY, ON_TICKER),
     "vix_weekly": Dataset(signals.vix_weekly, DAILY, ("week_start", "last_trading_date")),
     "regime_daily": Dataset(regimes.regime_daily, DAILY, ("ticker", "trade_date")),

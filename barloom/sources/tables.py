@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions import period_start, year_month
 from ..operators.bars import latest_load, period_bars
-from ..operators.ingest import overlap_reload
+from ..operators.ingest import batch_windows, overlap_reload
 from ..schema import DAILY_COLUMNS, DAILY_SCHEMA, PERIODS, STATEMENT_SCHEMA, bar_schema
 from ..session import scratch_path
 
@@ -61,9 +61,13 @@ def append_daily(df: DataFrame, path: str) -> None:
     _laid_out(rows, "ym", "ticker", "date").mode("append").parquet(path)
 
 
-def upsert_daily(spark: SparkSession, path: str, new: DataFrame, windows: DataFrame) -> list[str]:
+def upsert_daily(
+    spark: SparkSession, path: str, new: DataFrame, windows: DataFrame | None = None
+) -> list[str]:
     """Clear the windows and insert the new rows; only the months they touch are rewritten.
 
+    Without windows, each ticker's is what its new rows cover.
+
     The result is written to the shared folder first, so the months being
     replaced are never read while they are overwritten, and a lost executor
     finds the staged files. Months left without rows are removed, because a
@@ -74,8 +78,9 @@ def upsert_daily(spark: SparkSession, path: str, new: DataFrame, windows: DataFr
     stage = scratch_path(spark, "daily-stage")
     fresh, span = f"{stage}/new", f"{stage}/windows"
     new.select(*DAILY_COLUMNS).write.parquet(fresh)
-    windows.write.parquet(span)
-    new, windows = latest_load(spark.read.parquet(fresh)), spark.read.parquet(span)
+    new = latest_load(spark.read.parquet(fresh)).select(*DAILY_COLUMNS)
+    (batch_windows(new) if windows is None else windows).write.parquet(span)
+    windows = spark.read.parquet(span)
 
     touched = _months(new, windows)
     if not touched:
@@ -83,7 +88,7 @@ def upsert_daily(spark: SparkSession, path: str, new: DataFrame, windows: DataFr
     if exists(spark, path):
         old = daily_prices(spark, path)
         old = old.filter(F.col("ym").isin(touched)).select(*DAILY_COLUMNS)
-        rows = overlap_reload(old, new.select(*DAILY_COLUMNS), windows)
+        rows = overlap_reload(old, new, windows)
     else:
         rows = new
     append_daily(rows, f"{stage}/rows")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.ingest import DEFAULT_SOURCE, batch_windows, normalise_bars
+from ..operators.ingest import DEFAULT_SOURCE, normalise_bars
 from ..sources.tables import upsert_daily
 
 
@@ -30,7 +30,7 @@ def start_ingest(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         new = normalise_bars(batch, f"stream-{batch_id}", source)
-        upsert_daily(batch.sparkSession, table, new, batch_windows(new))
+        upsert_daily(batch.sparkSession, table, new)
 
     return (
         reader.parquet(landing)
