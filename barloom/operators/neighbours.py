@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
 
@@ -55,9 +57,14 @@ def with_neighbour(
 ) -> DataFrame:
     """Adds the previous (or following) value of ``column`` within the group.
 
-    ``column`` must be distinct within the group and not NULL.
+    ``column`` must be distinct within the group and not NULL. The input is
+    computed once and written to the shared folder: sizes, borders and rows
+    then come from the written table, not from three runs of what is before it.
     """
     group = list(group_by)
+    path = scratch_path(df.sparkSession, "values")
+    df.write.parquet(path)
+    df = df.sparkSession.read.parquet(path)
     edges = range_edges(df, column, group, rows_per_range)
     if not edges:
         # No group holds more than one range of rows, so a plain window is small enough.

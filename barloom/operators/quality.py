@@ -192,9 +192,8 @@ def mutually_exclusive_ranges(
     group = list(partition_by)
     bounds = [F.col(lower).alias("lower_bound"), F.col(upper).alias("upper_bound")]
     rows = df.groupBy(*group, *bounds).agg(F.count("*").alias("n_rows"))
-    no_start = rows.filter("lower_bound IS NULL")
-    started = rows.filter("lower_bound IS NOT NULL")
-    starts = started.groupBy(*group, "lower_bound").agg(F.max("upper_bound").alias("_longest"))
+    starts = df.filter(F.col(lower).isNotNull()).groupBy(*group, bounds[0])
+    starts = starts.agg(F.max(upper).alias("_longest"))
     starts = with_neighbour(
         starts, "lower_bound", group, following=True, name="_next", rows_per_range=rows_per_range
     )
@@ -224,7 +223,7 @@ def mutually_exclusive_ranges(
         (F.col("n_rows") - once).alias("n_rows"),
     )
     met = (
-        started.join(keys, match, "left")
+        rows.join(keys, match, "left")
         .select(*group, "lower_bound", "upper_bound", F.inline(F.array(last, again)))
         .filter("n_rows > 0")
     )
@@ -233,11 +232,7 @@ def mutually_exclusive_ranges(
     fit = {"allowed": high <= nxt, "not_allowed": high == nxt, "required": high < nxt}[gaps]
     fits = F.coalesce(fit, F.col("is_last_record"))
     columns = [*group, "lower_bound", "upper_bound", "next_lower_bound", "n_rows"]
-    bad = met.filter(~(ordered & fits)).select(*columns)
-    kind = df.schema[lower].dataType
-    return bad.unionByName(
-        no_start.withColumn("next_lower_bound", F.lit(None).cast(kind)).select(*columns)
-    )
+    return met.filter(~(ordered & fits)).select(*columns)
 
 
 def sequential_values(
