@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import bars, correlation, fundamentals, metrics, regimes, signals
+from barloom.sources import listings
 
 D0 = dt.date(2023, 1, 2)
 
@@ -306,3 +307,45 @@ def test_zero_in_place_of_what_is_missing(spark, make_daily):
     long = fundamentals.fundamentals_long(ledger, ledger.limit(0), ledger.limit(0))
     assert fundamentals.fundamentals_wide(long, missing="zero").first().total_revenue == 0.0
     assert fundamentals.fundamentals_wide(long).first().total_revenue is None
+
+
+def test_default_matrix_against_direct_sums(spark, make_daily):
+    """All 26 rows and 25 columns of the default lists, with gaps in the series."""
+    rng = random.Random(17)
+    tickers = sorted(set(listings.CORRELATION_FOCAL) | set(listings.CORRELATION_UNIVERSE))
+    rows, rets = [], {}
+    for t in tickers:
+        price, mine, last = 100.0, {}, None
+        for i, d in enumerate(days(45)):
+            price *= math.exp(rng.gauss(0, 0.02))
+            if rng.random() < 0.05:
+                continue
+            rows.append((t, d, price))
+            if last is not None:
+                mine[i] = math.log(price / last)
+            last = price
+        rets[t] = mine
+    daily = make_daily(rows)
+    out = correlation.correlation_matrix(
+        daily,
+        listings.CORRELATION_FOCAL,
+        listings.CORRELATION_UNIVERSE,
+        listings.CORRELATION_COLUMNS,
+        as_of=days(45)[-1],
+        min_obs=38,
+        digits=None,
+    )
+    got = {r.ticker_a: r.asDict() for r in out.collect()}
+    assert out.columns == ["ticker_a", *listings.CORRELATION_COLUMNS]
+    seen = 0
+    for a in listings.CORRELATION_FOCAL:
+        for b in listings.CORRELATION_COLUMNS:
+            both = sorted(set(rets[a]) & set(rets[b]))
+            value = got[a][b] if a in got else None
+            if len(both) < 38:
+                assert value is None
+                continue
+            x, y = [rets[a][i] for i in both], [rets[b][i] for i in both]
+            assert value == pytest.approx(statistics.correlation(x, y))
+            seen += 1
+    assert seen > 200
