@@ -24,7 +24,7 @@ from ..operators import (
     relational,
     signals,
 )
-from ..session import scratch_path
+from ..session import scratch_path, stream_session
 from ..sources import samples, tables
 from ..sources.samples import table
 from ..streaming import start_ingest, weekly_bars_stream
@@ -877,7 +877,9 @@ def stream_weekly_bars(spark, d):
     schema = table(spark, d, "events").schema
     value = F.col("value")
     rows = (
-        spark.readStream.schema(schema).parquet(source + "*")
+        stream_session(spark)
+        .readStream.schema(schema)
+        .parquet(source + "*")
         .select(
             F.col("event_type").alias("ticker"),
             F.col("ts").cast("timestamp").alias("ts"),

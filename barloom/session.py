@@ -43,6 +43,19 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def stream_session(spark: SparkSession) -> SparkSession:
+    """A session on the same cluster with one state partition per core.
+
+    A stream keeps the number of its state partitions for life and visits all
+    of them in every batch, so it follows the cores, not the batch default.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    cores = spark.sparkContext.defaultParallelism
+    session.conf.set("spark.sql.shuffle.partitions", str(cores))
+    return session
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
