@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,19 +27,9 @@ def local_session(app: str = "barloom", cpus: int | str = "*", **conf: str) -> S
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder: on a cluster such
-    a folder would be visible to one machine and lost with it.
-    """
+    """The folder all executors see: ``spark.checkpoint.dir``, else the warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="barloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return named or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
