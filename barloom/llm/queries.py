@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from .chat import ORACLE_OP6, op6_chat_formatting
+from .decontam import ORACLE_OP2, op2_decontamination
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op6_chat_formatting": op6_chat_formatting,
 }
 ORACLE = {
+    "op2_decontamination": ORACLE_OP2,
     "op6_chat_formatting": ORACLE_OP6,
 }
