@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .chat import ORACLE_OP6, op6_chat_formatting
 from .decontam import ORACLE_OP2, op2_decontamination
+from .quality import op5_quality
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
 }
 ORACLE = {
