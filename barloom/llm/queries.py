@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .bpe import op8_bpe
 from .chat import ORACLE_OP6, op6_chat_formatting
 from .decontam import ORACLE_OP2, op2_decontamination
 from .quality import op5_quality
@@ -10,6 +11,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
+    "op8_bpe": op8_bpe,
 }
 ORACLE = {
     "op2_decontamination": ORACLE_OP2,
