@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op8_bpe
 from .chat import ORACLE_OP6, op6_chat_formatting
 from .decontam import ORACLE_OP2, op2_decontamination
+from .html import op10_html
 from .quality import op5_quality
 
 QUERIES = {
@@ -12,6 +13,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
     "op8_bpe": op8_bpe,
+    "op10_html": op10_html,
 }
 ORACLE = {
     "op2_decontamination": ORACLE_OP2,
