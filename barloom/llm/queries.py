@@ -6,10 +6,12 @@ from .bpe import op8_bpe
 from .chat import ORACLE_OP6, op6_chat_formatting
 from .decontam import ORACLE_OP2, op2_decontamination
 from .html import op10_html
+from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_near_duplicates": op3_near_duplicates,
     "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
     "op8_bpe": op8_bpe,
@@ -17,5 +19,6 @@ QUERIES = {
 }
 ORACLE = {
     "op2_decontamination": ORACLE_OP2,
+    "op3_near_duplicates": ORACLE_OP3,
     "op6_chat_formatting": ORACLE_OP6,
 }
