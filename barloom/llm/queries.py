@@ -8,6 +8,7 @@ from .decontam import ORACLE_OP2, op2_decontamination
 from .html import op10_html
 from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
+from .repeats import op7_repeats
 from .toxicity import op9_toxicity
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_repeats": op7_repeats,
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
