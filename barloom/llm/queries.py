@@ -10,10 +10,12 @@ from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
 from .repeats import op7_repeats
 from .toxicity import op9_toxicity
+from .warc import ORACLE_OP4, op4_warc
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
+    "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_repeats": op7_repeats,
@@ -24,5 +26,6 @@ QUERIES = {
 ORACLE = {
     "op2_decontamination": ORACLE_OP2,
     "op3_near_duplicates": ORACLE_OP3,
+    "op4_warc": ORACLE_OP4,
     "op6_chat_formatting": ORACLE_OP6,
 }
