@@ -6,6 +6,7 @@ from .bpe import op8_bpe
 from .chat import ORACLE_OP6, op6_chat_formatting
 from .decontam import ORACLE_OP2, op2_decontamination
 from .html import op10_html
+from .katz import op1_katz
 from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
 from .repeats import op7_repeats
@@ -13,6 +14,7 @@ from .toxicity import op9_toxicity
 from .warc import ORACLE_OP4, op4_warc
 
 QUERIES = {
+    "op1_katz": op1_katz,
     "op2_decontamination": op2_decontamination,
     "op3_near_duplicates": op3_near_duplicates,
     "op4_warc": op4_warc,

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from ..session import scratch_path
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once and read back: later plans start here, whatever is lost."""
+def stored(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """``df`` written once, in folders ``by``, and read back: later plans start here, whatever is lost."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
