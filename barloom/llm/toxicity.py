@@ -316,11 +316,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS, ma
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("_t_label")).filter(
         F.col("_t_label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= max_fit_bytes).join(known.distinct(), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     found = []
     for label in (0, 1):
-        one = rows.filter(F.col("_t_label") == label).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_fit_rows)
-        found.append([r.text.encode() for r in one.select("text").toLocalIterator()])
+        chosen = known.filter(F.col("_t_label") == label).select("doc_id").distinct().orderBy(*order).limit(max_fit_rows)
+        # the sample is bounded by max_fit_rows, so it can be broadcast
+        rows = docs.select("doc_id", "text").filter(F.octet_length("text") <= max_fit_bytes).join(F.broadcast(chosen), "doc_id")
+        rows = rows.orderBy(*order, "text").limit(max_fit_rows)
+        found.append([r.text.encode() for r in rows.select("text").toLocalIterator()])
     if not found[0] or not found[1]:
         return float(bool(found[1]))
     # both classes spread evenly, so that any fifth has both
