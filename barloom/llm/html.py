@@ -4,7 +4,7 @@ A page is read once by a tag pattern into a flat tree (parents before children).
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are cut by element, role and class. Every block with text of its own
 passes points for its length and its commas, discounted by the share of link text,
-to its parent, half of them to the grandparent, and less further up. The container
+to the container around it, half of them to the next, and less further up. The container
 with the most points after its own link discount is kept, with those siblings that
 score like text; of it all blocks stay, whatever their length.
 
@@ -60,6 +60,8 @@ CLOSES = {
     "thead": frozenset(["tr", "td", "th", "thead", "tbody"]),
     "tbody": frozenset(["tr", "td", "th", "thead", "tbody"]),
 }
+#: Elements that can hold an article; points go to the nearest of them.
+CONTAINERS = frozenset("#root html body main article section div td center fieldset details".split())
 #: Elements out of which an implied end never reaches.
 FENCES = frozenset("ul ol dl table html body article section div main aside nav header footer form blockquote".split())
 
@@ -198,6 +200,11 @@ def main_text(html: str) -> str:
     for i in range(1, n):
         block[i] = i if tag[i] in BLOCK else block[parent[i]]
         linked[i] = tag[i] == "a" or linked[parent[i]]
+    # the nearest container above each node
+    holder = [0] * n
+    for i in range(1, n):
+        up = parent[i]
+        holder[i] = up if tag[up] in CONTAINERS else holder[up]
     size, links, commas = [0] * n, [0] * n, [0] * n
     last_text = [""] * n
     for node, text in page.flow:
@@ -217,16 +224,16 @@ def main_text(html: str) -> str:
     for i in range(1, n):
         if size[i]:
             own[i] = (1 + commas[i] + min(size[i] / 100, 3)) * (1 - links[i] / size[i])
-            node, level = parent[i], 1
-            while node and level < 6:
-                points[node] += own[i] / (1, 2, 6, 12, 24)[level - 1]
-                node, level = parent[node], level + 1
-            if not node and parent[i] == 0:
-                points[i] += own[i]
+            node = i
+            for share in (1, 2, 6, 12, 24):
+                if node == 0:
+                    break
+                node = holder[node]
+                points[node] += own[i] / share
     density = [all_links[i] / all_size[i] if all_size[i] else 0.0 for i in range(n)]
     score = [points[i] * (1 - density[i]) for i in range(n)]
     # among equals the last one, which is the deeper or the later
-    best = max(range(n), key=lambda i: (score[i], i)) if n > 1 else 0
+    best = max(range(n), key=lambda i: (score[i], i))
     if best == 0 or score[best] <= 0:
         chosen = {0}
     else:
@@ -235,7 +242,7 @@ def main_text(html: str) -> str:
             node = parent[node]
         best = node or best
         chosen = {best}
-        if parent[best]:
+        if best:
             enough = max(10.0, 0.2 * score[best])
             for i in range(1, n):
                 if parent[i] == parent[best] and i != best:
