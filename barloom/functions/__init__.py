@@ -1,6 +1,6 @@
 """Column expressions. Everything here stays inside the JVM; there are no UDFs."""
 
-from .dates import add_years, as_date_col, iso_week, iso_year, period_start, year_month
+from .dates import add_years, as_date_col, iso_week, iso_year, newest_date, period_start, since, year_month
 from .numeric import (
     finite,
     haversine,
@@ -26,6 +26,7 @@ __all__ = [
     "iso_year",
     "lag_value",
     "ln_positive",
+    "newest_date",
     "normalise_label",
     "null_blank",
     "or_zero",
@@ -36,6 +37,7 @@ __all__ = [
     "round_half_even",
     "safe_add",
     "safe_subtract",
+    "since",
     "surrogate_key",
     "trailing_mean",
     "trailing_std",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .numeric import ColumnOrName, _col
@@ -39,6 +39,25 @@ def iso_week(c: ColumnOrName) -> Column:
     return F.weekofyear(_col(c))
 
 
+def since(df: DataFrame, start, column: str = "date") -> DataFrame:
+    """Rows from a day on (a Column, ``date`` or text).
+
+    Where the table is stored by month (a column ``ym`` stands beside the date), older months
+    are not read; a bound that is only known at run time prunes at run time.
+    """
+    day = as_date_col(start)
+    if "ym" in df.columns and column == "date":
+        df = df.filter(F.col("ym") >= year_month(day))
+    return df.filter(F.col(column) >= day)
+
+
+def newest_date(daily: DataFrame) -> Column:
+    """max(date) as a scalar subquery; in a table stored by month only the newest month is read."""
+    if "ym" in daily.columns:
+        daily = daily.filter(F.col("ym") == daily.agg(F.max("ym")).scalar())
+    return daily.agg(F.max("date")).scalar()
+
+
 def year_month(c: ColumnOrName) -> Column:
     """yyyyMM, the partition key of the stored tables."""
     return F.date_format(_col(c), "yyyyMM")

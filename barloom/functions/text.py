@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,33 +20,24 @@ def surrogate_key(cols: list[ColumnOrName], nulls_as_empty: bool = False) -> Col
     return F.md5(F.concat_ws("-", *parts))
 
 
-def _strip(c: Column, schemes: list[str]) -> Column:
-    for scheme in schemes:
-        c = F.replace(c, F.lit(scheme), F.lit(""))
-    return c
-
-
-def _part(c: Column, delimiter: str, n: int) -> Column:
-    return F.split_part(c, F.lit(delimiter), F.lit(n))
+# scheme (or none), host, path: the host ends at the first slash or question mark
+_HOST = r"^(?:android-app://|https?://)?([^/?]*)"
+_PATH = r"^(?:https?://)?[^/?]*(?:/([^?]*))?"
 
 
 def url_host(c: ColumnOrName) -> Column:
     """Host part. Works for scheme-less and app links, which ``parse_url`` rejects."""
-    bare = _strip(_col(c), ["android-app://", "http://", "https://"])
-    return _part(_part(bare, "/", 1), "?", 1)
+    return F.regexp_extract(_col(c), _HOST, 1)
 
 
 def url_path(c: ColumnOrName) -> Column:
-    """Text between the host and '?'; without any '/', what comes from '?' on counts as empty."""
-    bare = _strip(_col(c), ["http://", "https://"])
-    cut = F.coalesce(F.nullif(F.instr(bare, "/"), F.lit(0)), F.instr(bare, "?") - 1)
-    rest = F.right(bare, F.length(bare) - cut)
-    return _part(rest, "?", 1)
+    """Text between the slash after the host and the question mark; '' without one."""
+    return F.regexp_extract(_col(c), _PATH, 1)
 
 
 def url_parameter(c: ColumnOrName, name: str) -> Column:
     """Value after ``name=`` up to '&'; blank or absent gives NULL."""
-    return F.nullif(_part(_part(_col(c), f"{name}=", 2), "&", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(_col(c), re.escape(name) + "=([^&]*)", 1), F.lit(""))
 
 
 def normalise_label(c: ColumnOrName) -> Column:

@@ -9,13 +9,15 @@ rows is ever emitted. The universe is aggregated where it is read.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import as_date_col, or_zero, ratio, round_half_even
+from ..functions import as_date_col, or_zero, ratio, round_half_even, since
 
-MAX_FOCAL = 500
+#: Focal tickers a pass: its table has a column for each of them and a row a day.
+FOCAL_BLOCK = 100
 
 
 def log_returns(
@@ -27,7 +29,8 @@ def log_returns(
     day = as_date_col(as_of)
     w = Window.partitionBy("ticker").orderBy("date")
     return (
-        daily.filter((F.col("adj_close") > 0) & (F.col("date") >= F.add_months(day, -(months + 1))))
+        since(daily, F.add_months(day, -(months + 1)))
+        .filter(F.col("adj_close") > 0)
         .select("ticker", "date", "adj_close")
         .withColumn("ret", F.ln(ratio("adj_close", F.lag("adj_close").over(w))))
         .filter((F.col("date") >= F.add_months(day, -months)) & F.col("ret").isNotNull())
@@ -51,10 +54,18 @@ def correlation_pairs(
 ) -> DataFrame:
     """(ticker_a, ticker_b, corr_1y, n_obs) for focal x universe with enough common days.
 
-    ``universe=None`` compares with every ticker of the table.
+    ``universe=None`` compares with every ticker of the table. Long focal lists
+    are taken block by block, each of which reads the year's rows once.
     """
-    if len(focal) > MAX_FOCAL:
-        raise ValueError(f"at most {MAX_FOCAL} focal tickers, got {len(focal)}")
+    focal = list(dict.fromkeys(focal))
+    blocks = [focal[i : i + FOCAL_BLOCK] for i in range(0, len(focal), FOCAL_BLOCK)] or [[]]
+    pairs = [_block_pairs(daily, block, universe, as_of) for block in blocks]
+    return reduce(DataFrame.union, pairs).filter(F.col("n_obs") >= min_obs)
+
+
+def _block_pairs(
+    daily: DataFrame, focal: list[str], universe: list[str] | None, as_of
+) -> DataFrame:
     names = {t: f"f{i}_{re.sub(r'[^A-Za-z0-9]', '_', t)}" for i, t in enumerate(focal)}
     cells = [
         F.max(F.when(F.col("ticker") == t, F.col("ret"))).alias(names[t]) for t in focal
@@ -73,10 +84,8 @@ def correlation_pairs(
             ]
         ).alias("pairs")
     )
-    return (
-        stats.select("ticker_b", F.inline("pairs"))
-        .filter(F.col("n_obs") >= min_obs)
-        .select("ticker_a", "ticker_b", "corr_1y", "n_obs")
+    return stats.select("ticker_b", F.inline("pairs")).select(
+        "ticker_a", "ticker_b", "corr_1y", "n_obs"
     )
 
 

@@ -116,13 +116,17 @@ def normalise_bars(
     source: str = DEFAULT_SOURCE,
     ingested_at=None,
     exchange_tz: str | None = None,
+    landed: str | None = None,
 ) -> DataFrame:
     """Raw bars of all tickers to the daily contract, in one projection and one filter.
 
-    Unreadable prices become NULL and an unreadable volume 0; rows without a
+    The load time is ``ingested_at`` (default: now), or row by row the raw column
+    ``landed``. Unreadable prices become NULL and an unreadable volume 0; rows without a
     ticker, without a date or without any price are dropped.
     """
-    df = canonical_columns(raw)
+    if landed:
+        raw = raw.withColumnRenamed(landed, "_landed")
+    df = canonical_columns(raw, VENDOR_NAMES | ({"landed": "_landed"} if landed else {}))
     have = set(df.columns)
     if not {"ticker", "date"} <= have:
         raise ValueError("raw bars need a ticker and a date column")
@@ -142,9 +146,13 @@ def normalise_bars(
         date.alias("date"),
         *[F.when(~F.isnan(p), p).alias(c) for p, c in zip(prices, PRICE_COLUMNS)],
         F.coalesce(F.when(~F.isnan(volume), volume), F.lit(0.0)).cast("bigint").alias("volume"),
+        *([F.col("_landed").cast("timestamp").alias("_landed")] if landed else []),
     )
     out = out.filter("ticker IS NOT NULL AND date IS NOT NULL").dropna("all", subset=PRICE_COLUMNS)
-    return stamp(out, batch_id, source, ingested_at).select(*DAILY_COLUMNS)
+    stamped = stamp(out, batch_id, source, ingested_at)
+    if landed:
+        stamped = stamped.withColumn("ingested_at", F.col("_landed"))
+    return stamped.select(*DAILY_COLUMNS)
 
 
 def reload_windows(tickers: DataFrame, today=None, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
@@ -193,25 +201,45 @@ def melt_statement(
     loaded_at=None,
     ids: tuple[str, ...] = ("ticker", "metric", "currency"),
 ) -> DataFrame:
-    """Statement frames (a row per metric, a column per fiscal date) to ledger rows."""
+    """Statement frames (a row per metric, a column per fiscal date) to ledger rows.
+
+    Cells that cannot be read are left out here; ``statement_cells`` keeps them.
+    """
+    cells = statement_cells(wide, period, labels, source, loaded_at, ids)
+    return split_rejects(cells)[0].drop("raw")
+
+
+def statement_cells(
+    wide: DataFrame,
+    period: str,
+    labels: dict[str, str] | None = None,
+    source: str = DEFAULT_SOURCE,
+    loaded_at=None,
+    ids: tuple[str, ...] = ("ticker", "metric", "currency"),
+) -> DataFrame:
+    """All cells of statement frames that hold something, as ledger rows with the text they held.
+
+    An unreadable value or date is NULL beside its text in ``raw`` ("date: value").
+    """
     dates = [c for c in wide.columns if c not in ids]
-    cells = wide.select(*ids, *[F.col(f"`{c}`").cast("double").alias(c) for c in dates])
+    cells = wide.select(*ids, *[F.col(f"`{c}`").cast("string").alias(c) for c in dates])
     metric = F.col("metric")
     for old_label, new_label in (labels or {}).items():
         metric = F.when(F.col("metric") == old_label, new_label).otherwise(metric)
     now = F.current_timestamp() if loaded_at is None else F.lit(loaded_at).cast("timestamp")
     return (
         cells.unpivot(list(ids), dates, "fiscal_date", "value")
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        .filter("trim(value) <> '' AND lower(trim(value)) <> 'nan'")
         .select(
             "ticker",
-            F.col("fiscal_date").cast("date").alias("fiscal_date"),
+            F.col("fiscal_date").try_cast("date").alias("fiscal_date"),
             F.lit(period).alias("period"),
             metric.alias("metric"),
-            "value",
+            F.col("value").try_cast("double").alias("value"),
             F.coalesce("currency", F.lit("")).alias("currency"),
             F.lit(source).alias("source"),
             now.alias("loaded_at"),
+            F.concat_ws(": ", "fiscal_date", "value").alias("raw"),
         )
     )
 
@@ -225,8 +253,10 @@ def combine_statements(annual: DataFrame | None, quarterly: DataFrame | None) ->
 
 
 def split_rejects(ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected) ledger rows, so that one bad ticker does not stop the rest."""
-    good = F.expr("ticker IS NOT NULL AND fiscal_date IS NOT NULL AND metric IS NOT NULL")
+    """(good, rejected) ledger rows, so that one bad ticker or cell does not stop the rest."""
+    good = F.expr(
+        "ticker IS NOT NULL AND fiscal_date IS NOT NULL AND metric IS NOT NULL AND value IS NOT NULL"
+    )
     return ledger.filter(good), ledger.filter(~good)
 
 

@@ -1,51 +1,19 @@
 """Previous and next value in an order, without one task holding the whole order.
 
 ``lag`` over an unpartitioned window sorts everything in a single task, and a
-window by group does the same to a hot group. Here the ordered column is cut
-into ranges of about equal size; each (group, range) is its own window, and the
-value at each range border is carried over by a small second step that sees one
-row per (group, range).
+window by group does the same to a hot group. Here the rows are dealt out by
+ranges of (group, value), so a hot group spans as many ranges as its size
+needs. Each range is its own window, and the value at each border is carried
+over by a small second step that sees one row per range.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 1024
-
-
-def range_edges(
-    df: DataFrame, column: str, group_by: list[str] = (), rows_per_range: int = ROWS_PER_RANGE
-) -> list:
-    """Quantiles that cut the largest group into ranges; empty when it fits one.
-
-    At most ``MAX_RANGES`` - 1 values reach the driver. They are read once and
-    used as constants, so every branch of the plan, and every retry of a lost
-    task, cuts the data in the same places.
-    """
-    sizes = df.groupBy(*group_by).agg(F.count("*").alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    n = min(-(-largest // rows_per_range), MAX_RANGES)
-    if n <= 1:
-        return []
-    points = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(column, points, 10_000).alias("e")).first()
-    return sorted(set(row["e"] or []))
-
-
-def range_number(c: Column, edges: list, first: int = 0) -> Column:
-    """Index of the range a value falls in, as a balanced tree of comparisons."""
-    if not edges:
-        return F.lit(first)
-    mid = len(edges) // 2
-    below = range_number(c, edges[:mid], first)
-    above = range_number(c, edges[mid + 1 :], first + mid + 1)
-    return F.when(c < F.lit(edges[mid]), below).otherwise(above)
-
 
 def with_neighbour(
     df: DataFrame,
@@ -53,47 +21,36 @@ def with_neighbour(
     group_by: list[str] = (),
     following: bool = False,
     name: str = "neighbour",
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Adds the previous (or following) value of ``column`` within the group.
 
-    ``column`` must be distinct within the group and not NULL. The input is
-    computed once and written to the shared folder: sizes, borders and rows
-    then come from the written table, not from three runs of what is before it.
+    ``column`` must be distinct within the group and not NULL; any type with an
+    order will do. The rows are written to the shared folder with the number of
+    their range (``ranges`` of them, by default as many as a shuffle makes), so
+    every later step, and every retry of a lost task, sees the same ranges.
     """
     group = list(group_by)
-    path = scratch_path(df.sparkSession, "values")
-    df.write.parquet(path)
-    df = df.sparkSession.read.parquet(path)
-    edges = range_edges(df, column, group, rows_per_range)
-    if not edges:
-        # No group holds more than one range of rows, so a plain window is small enough.
-        w = Window.partitionBy(*group).orderBy(column)
-        step = F.lead(column) if following else F.lag(column)
-        return df.withColumn(name, step.over(w))
-    rows = df.withColumn("_range", range_number(F.col(column), edges))
-    inside = Window.partitionBy(*group, "_range").orderBy(column)
-    border = Window.partitionBy(*group).orderBy("_range")
-    if following:
-        edge_value, step, beyond = F.min(column), F.lead(column), F.lead("_edge")
-    else:
-        edge_value, step, beyond = F.max(column), F.lag(column), F.lag("_edge")
-    borders = (
-        rows.groupBy(*group, "_range")
-        .agg(edge_value.alias("_edge"))
-        .withColumn("_carry", beyond.over(border))
-        .select(
-            *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)],
-            F.col("_range").alias("_r"),
-            "_carry",
-        )
-    )
-    rows = rows.withColumn("_near", step.over(inside))
-    match = F.col("_range") == F.col("_r")
-    for i, c in enumerate(group):
-        match = match & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "values")
+    order = [*group, column]
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *order)
+    dealt.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+
+    key = F.struct(*order)
+    step = F.lead if following else F.lag
+    inside = Window.partitionBy("_range").orderBy(*order)
+    borders = rows.groupBy("_range").agg((F.min(key) if following else F.max(key)).alias("_edge"))
+    across = Window.partitionBy().orderBy("_range")  # one row per range
+    carried = borders.select(F.col("_range").alias("_r"), step("_edge").over(across).alias("_carry"))
+    near = F.coalesce(F.col("_near"), F.col("_carry"))
+    same = F.lit(True)
+    for c in group:
+        same = same & near[c].eqNullSafe(F.col(c))
     return (
-        rows.join(borders, match, "left")
-        .withColumn(name, F.coalesce("_near", "_carry"))
+        rows.withColumn("_near", step(key).over(inside))
+        .join(carried, F.col("_range") == F.col("_r"))
+        .withColumn(name, F.when(same, near[column]))
         .select(*df.columns, name)
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import normalise_label
-from .neighbours import ROWS_PER_RANGE, with_neighbour
+from .neighbours import with_neighbour
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -128,7 +128,9 @@ def equality(
             numeric = isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))
             c = F.col(f"`{f.name}`")
             if precision is not None and numeric:
-                c = F.round(c.cast("decimal(38,18)"), precision)
+                # A value too large to have digits behind the point stays as it is.
+                small = F.abs(c) < F.lit(10.0 ** (15 - precision))
+                c = F.when(small, F.round(c.try_cast("decimal(38,18)"), precision).cast("double")).otherwise(c.cast("double"))
             cells.append(c.alias(f.name))
         return side.select(*cells)
 
@@ -178,7 +180,7 @@ def mutually_exclusive_ranges(
     partition_by: list[str] = (),
     gaps: str = "allowed",
     zero_length_range_allowed: bool = False,
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Ranges that are empty, inverted, or do not fit in front of the next one.
 
@@ -195,7 +197,7 @@ def mutually_exclusive_ranges(
     starts = df.filter(F.col(lower).isNotNull()).groupBy(*group, bounds[0])
     starts = starts.agg(F.max(upper).alias("_longest"))
     starts = with_neighbour(
-        starts, "lower_bound", group, following=True, name="_next", rows_per_range=rows_per_range
+        starts, "lower_bound", group, following=True, name="_next", ranges=ranges
     )
     keys = starts.select(
         *[F.col(c).alias(f"_k{i}") for i, c in enumerate(group)],
@@ -241,7 +243,7 @@ def sequential_values(
     interval: int = 1,
     datepart: str | None = None,
     group_by: list[str] = (),
-    rows_per_range: int = ROWS_PER_RANGE,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Values that do not follow their predecessor by exactly the interval.
 
@@ -252,7 +254,7 @@ def sequential_values(
     prev = f"previous_{column}"
     values = df.filter(F.col(column).isNotNull()).groupBy(*group, column)
     values = values.agg(F.count("*").alias("n"))
-    values = with_neighbour(values, column, group, name="_prev", rows_per_range=rows_per_range)
+    values = with_neighbour(values, column, group, name="_prev", ranges=ranges)
     head = F.struct(F.col("_prev").alias(prev), F.lit(1).cast("bigint").alias("n_rows"))
     copies = F.struct(F.col(column).alias(prev), (F.col("n") - 1).alias("n_rows"))
     pairs = values.select(*group, column, F.inline(F.array(head, copies)))

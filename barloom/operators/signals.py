@@ -16,13 +16,16 @@ from ..functions import (
     finite,
     lag_value,
     ln_positive,
+    newest_date,
     or_zero,
     pct_change,
     period_start,
     ratio,
     recent,
     round_half_even,
+    since,
     trailing_std,
+    year_month,
 )
 
 # Trading days in a year, volatility-index bands and their names.
@@ -31,24 +34,21 @@ CALM_BELOW = 15
 NORMAL_BELOW = 20
 
 
-def _latest_date(daily: DataFrame) -> Column:
-    """max(date) as a scalar subquery: a scan of one column, no join."""
-    return daily.agg(F.max("date")).scalar()
-
-
 def top_k(df: DataFrame, metric: str, k: int | None) -> DataFrame:
     """Largest k by metric, NaN and NULL last, ties by ticker."""
     rank = F.when(~F.isnan(metric), F.col(metric))
     return df if k is None else df.orderBy(rank.desc_nulls_last(), "ticker").limit(k)
 
 
-def _on_latest(snapshot: DataFrame, order: list[Column], k: int) -> DataFrame:
-    """First k rows, in the given order, among tickers trading on the newest date.
+def _on_latest(snapshot: DataFrame, order: list[Column], k: int | None) -> DataFrame:
+    """First k rows (None: all), in the given order, among tickers trading on the newest date.
 
     Ordering by last date first puts exactly those rows on top, so the top-k
     itself finds the newest date. The window that then drops older tickers sees
     at most k rows, and the base table is not read a second time for its max.
     """
+    if k is None:
+        return snapshot.filter(F.col("last_date") == snapshot.agg(F.max("last_date")).scalar())
     top = snapshot.orderBy(F.col("last_date").desc(), *order).limit(k)
     newest = F.max("last_date").over(Window.partitionBy())
     return top.withColumn("_newest", newest).filter("last_date = _newest").drop("_newest")
@@ -65,7 +65,7 @@ def _at(n: int, c) -> Column:
 
 def _range_52w(daily: DataFrame, cutoff: Column, digits: int | None) -> DataFrame:
     bars = (
-        daily.filter(F.col("date") >= cutoff)
+        since(daily, cutoff)
         .groupBy("ticker")
         .agg(
             F.max_by("short_name", "date").alias("name"),
@@ -88,7 +88,7 @@ def perf_52w(daily: DataFrame, as_of=None, k: int | None = 20, digits: int | Non
 
 def scanner_52w(daily: DataFrame, k: int | None = 100, digits: int | None = 2):
     """As ``perf_52w``, with the year counted back from the newest date in the data."""
-    cutoff = add_years(_latest_date(daily), -1)
+    cutoff = add_years(newest_date(daily), -1)
     columns = ["ticker", "name", "high_52w", "low_52w", "last_close"]
     out = _range_52w(daily, cutoff, digits).select(*columns, "pct_from_low", "pct_from_high")
     return top_k(out, "pct_from_low", k)
@@ -96,8 +96,13 @@ def scanner_52w(daily: DataFrame, k: int | None = 100, digits: int | None = 2):
 
 def top_movers_1d(daily: DataFrame, k: int | None = 50, digits: int | None = 2):
     """Change between the two newest dates of the whole market."""
-    last_two = daily.select("date").distinct().orderBy(F.col("date").desc()).limit(2)
-    days = last_two.agg(
+    newest = newest_date(daily)
+    # The day before the newest one is looked for in what comes before it.
+    earlier = daily.filter(F.col("date") < newest)
+    if "ym" in daily.columns:
+        earlier = earlier.filter(F.col("ym") <= year_month(newest))
+    both = earlier.agg(F.max("date").alias("date")).union(daily.agg(newest.alias("date")))
+    days = both.filter("date IS NOT NULL").agg(
         F.struct(
             F.max("date").alias("last"),
             F.when(F.count("*") == 2, F.min("date")).alias("prev"),
@@ -105,7 +110,8 @@ def top_movers_1d(daily: DataFrame, k: int | None = 50, digits: int | None = 2):
     ).scalar()
     last, prev = days.getField("last"), days.getField("prev")
     moves = (
-        daily.filter((F.col("date") == last) | (F.col("date") == prev))
+        since(daily, F.coalesce(prev, last))
+        .filter((F.col("date") == last) | (F.col("date") == prev))
         .groupBy("ticker")
         .agg(
             F.max_by("short_name", "date").alias("name"),
@@ -124,10 +130,10 @@ def top_movers_1d(daily: DataFrame, k: int | None = 50, digits: int | None = 2):
 
 def volume_surge(daily: DataFrame, days: int = 20, k: int | None = 50, digits: int | None = 2):
     """Volume on the newest date over the mean of the calendar days up to it."""
-    last = _latest_date(daily)
+    last = newest_date(daily)
     on_last = F.col("date") == last
     out = (
-        daily.filter(F.col("date") >= F.date_sub(last, days))
+        since(daily, F.date_sub(last, days))
         .groupBy("ticker")
         .agg(
             F.max_by("short_name", "date").alias("name"),
@@ -290,18 +296,25 @@ def realised_vol_rank(
 ):
     """Newest volatility and its percentile among the last year's.
 
-    The year ends at the ticker's own last date. For the tickers that are kept
-    this is the market's newest date. With at most one row a day, the year and
-    the n+1 rows before it fit into 367 + n + 1 rows.
+    The year ends on the market's newest date, which is the last date of every
+    ticker that is kept. Its rows are taken by date, and each ticker's n+1 rows
+    before it by number, which Spark limits below the exchange.
     """
-    bars = recent(daily.select("ticker", "short_name", "date", "close"), 367 + n + 1)
+    first = add_years(newest_date(daily), -1)
+    shown = ["ticker", "short_name", "date", "close"]
+    before = daily.filter(F.col("date") < first).select(*shown)
+    before = recent(before, n + 1).withColumn("rn", F.lit(0))
+    year = since(daily, first).select(*shown)
+    newest_first = Window.partitionBy("ticker").orderBy(F.col("date").desc())
+    year = year.withColumn("rn", F.row_number().over(newest_first))
+    bars = year.unionByName(before)
     vol = f"rv{n}"
     per_ticker = Window.partitionBy("ticker")
     rows = (
         realised_vol(bars, n, ann)
         .withColumn("_current", F.max(F.when(F.col("rn") == 1, F.col(vol))).over(per_ticker))
         .withColumn("last_date", F.max("date").over(per_ticker))
-        .filter(F.col("date") >= add_years("last_date", -1))
+        .filter("rn > 0")
     )
     # Equal frames may differ in the last bits by the order of their sums.
     not_above = F.coalesce(F.col(vol) <= F.col("_current") * (1 + 1e-12), F.lit(False))
@@ -326,8 +339,13 @@ def vix_weekly(
 
     ``missing='zero'`` takes 0 as the close before the first week.
     """
+    series = daily.filter(F.col("ticker") == ticker)
+    newest_week = period_start(newest_date(series), "week")
+    first = F.date_sub(newest_week, 7 * (weeks - 1))
+    # The first week shown is compared with the last one before it, however long ago.
+    base = series.filter(F.col("date") < first).agg(F.max("date")).scalar()
     weekly = (
-        daily.filter(F.col("ticker") == ticker)
+        since(series, F.coalesce(period_start(base, "week"), first))
         .groupBy("ticker", period_start("date", "week").alias("week_start"))
         .agg(
             F.max("date").alias("last_trading_date"),
@@ -336,8 +354,7 @@ def vix_weekly(
         )
     )
     w = Window.partitionBy("ticker").orderBy("week_start")
-    newest = F.max("week_start").over(Window.partitionBy("ticker"))
-    rows = weekly.withColumn("_newest", newest)
+    rows = weekly
     for kind in ("raw", "adj"):
         now, prev = F.col(kind), lag_value(kind, 1, w, missing)
         known = finite(prev) & finite(now)
@@ -356,7 +373,6 @@ def vix_weekly(
             round_half_even(f"_net_{kind}", digits).alias(f"vix_net_change_{kind}"),
             round_half_even(f"_pct_{kind}", digits).alias(f"vix_pct_change_{kind}_pct"),
         ]
-    first = F.date_sub(F.col("_newest"), 7 * (weeks - 1))
     return rows.filter(F.col("week_start") >= first).select(
         "week_start", "last_trading_date", level.alias("vix_regime"), *shown
     )

@@ -127,3 +127,20 @@ def test_recent_numbers_newest_first(spark):
     df = spark.createDataFrame([("a", i) for i in range(5)] + [("b", 9)], "ticker string, date int")
     rows = {(r.ticker, r.date, r.rn) for r in fn.recent(df, 2).collect()}
     assert rows == {("a", 4, 1), ("a", 3, 2), ("b", 9, 1)}
+
+
+def test_six_decimals_stay_double(spark):
+    from barloom.plans.queries import six
+
+    values = [3.0e13, -3.0e13, float("inf"), float("-inf"), 1e300, 0.1234565, -0.0, 1.5]
+    got = [r.v for r in six(spark.createDataFrame([(v,) for v in values], "v double")).collect()]
+    assert got == [3.0e13, -3.0e13, float("inf"), float("-inf"), 1e300, 0.123456, -0.0, 1.5]
+    assert str(got[6]) == "-0.0"
+    nan = six(spark.createDataFrame([(float("nan"),)], "v double")).first().v
+    assert nan != nan
+
+
+def test_url_paths_of_all_kinds(spark):
+    df = column(spark, ["a.org", "a.org/x/y?z", "http://a.org/", "a.org?x=/y", "https://a.org/p?q=/r", "", None])
+    assert apply(df, fn.url_path("c")) == ["", "x/y", "", "", "p", "", None]
+    assert apply(df, fn.url_host("c")) == ["a.org", "a.org", "a.org", "a.org", "a.org", "", None]

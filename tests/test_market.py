@@ -285,8 +285,6 @@ def test_correlation(make_daily):
     assert ("A", "FEW") not in pairs and ("FLAT", "B") in pairs
     matrix = correlation.correlation_matrix(daily, ["A"], ["B", "FEW"], as_of=last, min_obs=30).first()
     assert (matrix["B"], matrix["FEW"]) == (-1.0, None)
-    with pytest.raises(ValueError):
-        correlation.correlation_pairs(daily, [str(i) for i in range(501)], None)
 
 
 def test_zero_in_place_of_what_is_missing(spark, make_daily):
@@ -349,3 +347,30 @@ def test_default_matrix_against_direct_sums(spark, make_daily):
             assert value == pytest.approx(statistics.correlation(x, y))
             seen += 1
     assert seen > 200
+
+
+def test_long_focal_lists_go_block_by_block(make_daily):
+    rng = random.Random(3)
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(8)]
+    rows = [("A", str(d), rng.uniform(9, 11)) for d in days] + [("B", str(d), rng.uniform(9, 11)) for d in days]
+    focal = [f"T{i}" for i in range(499)] + ["A", "B"]
+    out = correlation.correlation_pairs(make_daily(rows), focal, ["A", "B"], "2024-01-08", min_obs=3)
+    assert sorted((r.ticker_a, r.ticker_b) for r in out.collect()) == [("A", "A"), ("A", "B"), ("B", "A"), ("B", "B")]
+
+
+def test_vol_rank_takes_the_year_by_date(make_daily):
+    """Two loads of each day: the year is whole all the same."""
+    rng = random.Random(8)
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=i) for i in range(700)]
+    rows = [("A", str(d), rng.uniform(9, 11)) for d in days]
+    once = signals.realised_vol_rank(make_daily(rows), digits=None).first()
+    bars = make_daily(rows)
+    year = bars.filter(F.col("date") >= F.lit(str(days[-1].replace(year=days[-1].year - 1))))
+    assert year.count() == 366 and once.rv30_rank_1y is not None
+    doubled = signals.realised_vol_rank(bars.union(bars), digits=None).first()
+    assert doubled is not None and 0 <= doubled.rv30_rank_1y <= 100
+
+
+def test_screens_without_a_limit(make_daily):
+    rows = [(t, "2024-01-02", 1.0) for t in "ABC"] + [("D", "2024-01-01", 1.0)]
+    assert signals.gap_scan(make_daily(rows), k=None).count() == 3

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom.operators import quality as dq
-from barloom.operators.neighbours import range_edges, with_neighbour
+from barloom.operators.neighbours import with_neighbour
 
 
 def frame(spark, values, kind="int"):
@@ -140,11 +140,42 @@ def test_exchange_mismatches(spark):
 # --- ordered checks against brute force, with ranges of a few rows -----------------
 
 
-def test_edges_are_few_and_sorted(spark):
-    df = spark.range(1000).select(F.col("id").alias("v"))
-    edges = range_edges(df, "v", rows_per_range=100)
-    assert len(edges) == 9 and edges == sorted(edges)
-    assert range_edges(df, "v") == []
+def test_ranges_split_a_hot_group(spark, tmp_path):
+    """Two thirds of the rows in one group: no range holds much more than its share."""
+    hot = spark.range(4000).select(F.lit("hot").alias("g"), F.format_string("k%08d", "id").alias("v"))
+    cold = spark.range(2000).select(F.concat(F.lit("g"), F.col("id") % 100).alias("g"), F.format_string("c%08d", "id").alias("v"))
+    out = with_neighbour(hot.union(cold), "v", ["g"], ranges=12)
+    sizes = {}
+    folder = next(f for f in out.inputFiles()).rsplit("/", 1)[0]
+    for r in spark.read.parquet(folder).groupBy("_range").count().collect():
+        sizes[r["_range"]] = r["count"]
+    assert sum(sizes.values()) == 6000 and max(sizes.values()) < 1200
+    got = {(r.g, r.v): r.neighbour for r in out.collect()}
+    assert got["hot", "k00000000"] is None
+    assert all(got["hot", f"k{i:08d}"] == f"k{i - 1:08d}" for i in range(1, 4000))
+
+
+def test_text_bounds(spark):
+    rows = [(f"k{i:05d}", f"k{i + 1:05d}") for i in range(0, 3000)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert dq.mutually_exclusive_ranges(df, "a", "b", gaps="not_allowed", ranges=9).count() == 0
+    bad = df.union(spark.createDataFrame([("k00500", "k09999")], "a string, b string"))
+    assert dq.mutually_exclusive_ranges(bad, "a", "b", ranges=9).count() > 0
+
+
+def test_no_single_task_over_the_rows(spark):
+    """Only the borders, one row a range, meet in one task."""
+    df = spark.range(5000).select(F.col("id").alias("v"))
+    text = with_neighbour(df, "v", ranges=4)._jdf.queryExecution().executedPlan().toString().splitlines()
+    single = [i for i, line in enumerate(text) if "SinglePartition" in line]
+    assert len(single) == 1 and "_edge" in "".join(text[single[0] : single[0] + 3])
+
+
+def test_precision_of_large_values(spark):
+    a = spark.createDataFrame([(1e21,), (1.23456,)], "v double")
+    b = spark.createDataFrame([(1e21,), (1.23451,)], "v double")
+    assert dq.equality(a, b, precision=4).count() == 2
+    assert dq.equality(a, b, precision=3).count() == 0
 
 
 @pytest.mark.parametrize("following", [False, True])
@@ -155,7 +186,7 @@ def test_neighbours_over_ranges(spark, following, grouped):
     if not grouped:
         data = {("a", v) for _, v in data}
     df = spark.createDataFrame(sorted(data), "g string, v int")
-    out = with_neighbour(df, "v", ["g"] if grouped else [], following, "n", rows_per_range=7)
+    out = with_neighbour(df, "v", ["g"] if grouped else [], following, "n", ranges=5)
     got = {(r.g, r.v): r.n for r in out.collect()}
     want = {}
     for g in "ab":
@@ -177,16 +208,16 @@ def brute_sequence(rows, interval):
     return bad
 
 
-@pytest.mark.parametrize("per_range", [5, 1_000_000])
-def test_sequential_values(spark, per_range):
+@pytest.mark.parametrize("ranges", [None, 1, 9])
+def test_sequential_values(spark, ranges):
     rng = random.Random(9)
     rows = [(rng.choice("aab"), rng.choice([None, *range(0, 120, 2)])) for _ in range(150)]
     rows += [("hot", 7)] * 100 + [("hot", 9)]
     df = spark.createDataFrame(rows, "g string, v int")
-    out = dq.sequential_values(df, "v", 2, group_by=["g"], rows_per_range=per_range)
+    out = dq.sequential_values(df, "v", 2, group_by=["g"], ranges=ranges)
     assert Counter({(r.g, r.v, r.previous_v): r.n_rows for r in out.collect()}) == brute_sequence(rows, 2)
     flat = [("x", v) for _, v in rows]
-    whole = dq.sequential_values(df, "v", 2, rows_per_range=per_range)
+    whole = dq.sequential_values(df, "v", 2, ranges=ranges)
     assert Counter({("x", r.v, r.previous_v): r.n_rows for r in whole.collect()}) == brute_sequence(flat, 2)
 
 
@@ -236,11 +267,11 @@ def test_exclusive_ranges(spark, gaps, zero):
             rows.append((g, at, at + rng.choice([0, 1, 1, 2, 2, 3])))
     rows += [("a", 5, 6)] * 4 + [("a", None, 3), ("b", 7, None), ("hot", 1, 2), ("hot", 1, 9), ("hot", 1, 9)]
     df = spark.createDataFrame(rows, "g string, a int, b int")
-    out = dq.mutually_exclusive_ranges(df, "a", "b", ["g"], gaps, zero, rows_per_range=6)
+    out = dq.mutually_exclusive_ranges(df, "a", "b", ["g"], gaps, zero, ranges=7)
     got = Counter({(r.g, r.lower_bound, r.upper_bound, r.next_lower_bound): r.n_rows for r in out.collect()})
     assert got == brute_ranges(rows, gaps, zero)
     flat = [("x", a, b) for _, a, b in rows]
-    whole = dq.mutually_exclusive_ranges(df, "a", "b", (), gaps, zero, rows_per_range=6)
+    whole = dq.mutually_exclusive_ranges(df, "a", "b", (), gaps, zero, ranges=7)
     got = Counter({("x", r.lower_bound, r.upper_bound, r.next_lower_bound): r.n_rows for r in whole.collect()})
     assert got == brute_ranges(flat, gaps, zero)
 

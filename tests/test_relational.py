@@ -29,8 +29,17 @@ def test_star_of_an_aliased_frame(spark):
 def test_pivot_values(spark):
     df = spark.createDataFrame([(v,) for v in "abb"], "v string")
     assert relational.pivot_values(df, "v") == ["b", "a"]
-    with pytest.raises(ValueError):
-        relational.pivot_values(df, "v", most=1)
+    many = spark.range(1001).select(F.concat(F.lit("v"), "id").alias("v"))
+    assert len(relational.pivot_values(many, "v")) == 1001
+
+
+def test_date_spine_is_made_in_parallel(spark):
+    df = relational.date_spine(spark, "day", "2000-01-01", "2060-01-01")
+    assert df.count() == 21915 and df.rdd.getNumPartitions() > 1
+    assert [str(r.date_month) for r in relational.date_spine(spark, "month", "2020-01-31", "2020-05-01").collect()] == [
+        "2020-01-31", "2020-02-29", "2020-03-31", "2020-04-30",
+    ]
+    assert relational.date_spine(spark, "year", "2020-01-01", "2020-01-01").count() == 0
 
 
 def test_blank_to_null(spark):
