@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..operators import ingest
 from ..operators import quality as dq
 from ..operators.fundamentals import latest_restatement
 from ..schema import PERIODS, STATEMENTS
+from ..session import path_exists
 from ..sources import tables
 from . import registry
 
@@ -64,11 +66,11 @@ def backfill_market(
     spark: SparkSession,
     raw: DataFrame,
     store: Warehouse,
-    start: str = ingest.BACKFILL_START,
+    start: str | None = ingest.BACKFILL_START,
     source: str = ingest.DEFAULT_SOURCE,
     ingested_at=None,
 ) -> list[str]:
-    """Reload whole histories from ``start``, then rebuild the bars."""
+    """Reload whole histories from ``start`` (None: all there is), then rebuild the bars."""
     new = ingest.normalise_bars(raw, str(uuid.uuid4()), source, ingested_at)
     new = ingest.clip(new, start)
     touched = tables.upsert_daily(spark, store.table("daily_prices"), new)
@@ -88,7 +90,8 @@ def refresh_fundamentals(
     """Melt and append the statements, then return long, wide and ratio frames.
 
     ``frames`` maps a statement to its ``A`` (annual) and ``Q`` (quarterly) wide
-    frames. Rows without key go to ``rejects`` and stop nothing.
+    frames. Rows without key and cells that cannot be read go to the table
+    ``statement_rejects``, with their text, and stop nothing.
     """
     batch_id = str(uuid.uuid4())
     for statement in STATEMENTS:
@@ -99,36 +102,70 @@ def refresh_fundamentals(
                 continue
             if tickers is not None:
                 wide = wide.filter(F.col("ticker").isin(list(tickers)))
-            sides.append(ingest.melt_statement(wide, period, labels, source, loaded_at))
+            sides.append(ingest.statement_cells(wide, period, labels, source, loaded_at))
         if not sides:
             continue
         ledger = ingest.combine_statements(*(sides + [None])[:2])
         good, rejected = ingest.split_rejects(ledger)
-        tables.append_statements(good, store.table(statement), batch_id)
+        tables.append_statements(good.drop("raw"), store.table(statement), batch_id)
         rejected.withColumn("statement", F.lit(statement)).write.mode("append").parquet(
             store.table("statement_rejects")
         )
     ledgers = {
         s: latest_restatement(tables.statements(spark, store.table(s), "Q").drop("fiscal_ym"))
         for s in STATEMENTS
-        if tables.exists(spark, store.table(s))
+        if path_exists(spark, store.table(s))
     }
     return registry.build(ledgers)
 
 
+def stored_frames(spark: SparkSession, store: Warehouse) -> dict[str, DataFrame]:
+    """The stored tables of a warehouse: daily prices, bars of all periods, statement ledgers."""
+    frames = {"daily_prices": tables.daily_prices(spark, store.table("daily_prices"))}
+    for period in PERIODS:
+        path = store.table(f"{period}ly_prices")
+        if path_exists(spark, path):
+            frames[f"{period}ly_prices"] = tables.read_bars(spark, path, period)
+    for statement in STATEMENTS:
+        path = store.table(statement)
+        if path_exists(spark, path):
+            quarterly = tables.statements(spark, path, "Q").drop("fiscal_ym")
+            frames[statement] = latest_restatement(quarterly)
+    return frames
+
+
 def build_analytics(
-    daily: DataFrame, ledgers: dict[str, DataFrame] | None = None, publish: bool = False
+    daily: DataFrame | dict[str, DataFrame],
+    ledgers: dict[str, DataFrame] | None = None,
+    publish: bool = False,
 ) -> dict[str, DataFrame]:
-    """Every dataset as a lazy frame over the stored daily table.
+    """Every dataset as a lazy frame over stored tables (``stored_frames``, or the daily table alone).
 
-    Nothing is cached: each dataset reads only its own columns of the table.
+    What is stored is read and not computed again. Nothing is cached: each
+    dataset reads only its own columns.
     """
-    frames = registry.build({"daily_prices": daily, **(ledgers or {})})
+    given = daily if isinstance(daily, dict) else {"daily_prices": daily}
+    frames = registry.build({**given, **(ledgers or {})})
     if publish:
         tables.publish_views(frames)
     return frames
 
 
-def check_report(frames: dict[str, DataFrame]) -> DataFrame:
-    """(check_name, failures, status) for every check that applies to the frames."""
-    return dq.run_checks(registry.checks(frames))
+def check_report(frames: dict[str, DataFrame], as_of=None) -> DataFrame:
+    """(check_name, failures, status) for every check that applies to the frames.
+
+    All row checks of a dataset are counted in one pass over it, keys in another;
+    the age of the newest load of daily prices (against ``as_of``, default now) is a check too.
+    """
+    counted = list(registry.row_checks(frames)) + list(registry.key_checks(frames))
+    failures = F.col("failures")
+    status = F.when(failures > 0, "error").otherwise("pass")
+    report = reduce(DataFrame.unionByName, counted).select("check_name", "failures", status.alias("status"))
+    if "daily_prices" not in frames:
+        return report
+    fresh = dq.freshness(frames["daily_prices"], as_of=as_of).select(
+        F.lit("daily_prices: fresh").alias("check_name"),
+        F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint").alias("failures"),
+        "status",
+    )
+    return report.unionByName(fresh)

@@ -56,7 +56,7 @@ BAR_COLUMNS = "ticker, short_name, date, open, high, low, close, adj_close, volu
 def oracle(name: str, sql: str, doubles: str = "") -> None:
     """Registers a query; ``doubles`` are shown with six decimals."""
     if doubles:
-        cells = ", ".join(f'floor("{c}" * 1e6 + 0.5) / 1e6 as "{c}"' for c in doubles.split())
+        cells = ", ".join(f'round_even("{c}" * 1e6, 0) / 1e6 as "{c}"' for c in doubles.split())
         sql = f"select * replace ({cells}) from ({sql}) as q"
     ORACLE[name] = sql
 
@@ -617,7 +617,6 @@ annual as (
          cast(sum(cast(round(l_extendedprice * 100) as bigint)) as bigint) / 100 as value,
          'USD' as currency
   from lineitem join part on l_partkey = p_partkey
-  where l_linenumber <> 2 and year(l_shipdate) between 1995 and 2001
   group by 1, 2, 3, 4
 )"""
 oracle("melt_statement", f"with {ANNUAL} select *, 'feed' as source from annual", "value")
@@ -1032,28 +1031,55 @@ def _unknown(name: str, source: str) -> str:
     return f"select '{name}: known regime', count(*) filter (regime not in {KNOWN}) from {source}"
 
 
+REQUIRED = {
+    "weekly_prices": ["ticker", "week_ending"],
+    "monthly_prices": ["ticker", "month_ending"],
+    "quarterly_prices": ["ticker", "quarter_ending"],
+    "perf_52w": ["ticker", "last_date", "last_close"],
+    "top_movers_1d": ["ticker", "last_date", "close_last"],
+    "volume_surge": ["ticker", "last_date", "volume_today"],
+    "gap_scan": ["ticker", "date", "open_today"],
+    "momentum": ["ticker", "last_close"],
+    "distance_from_sma": ["ticker", "last_close"],
+    "breadth": ["pct_above_50d", "pct_above_200d"],
+    "scanner_52w": ["ticker", "last_close"],
+    "atr_pct": ["ticker", "date", "last_close"],
+    "inside_outside_day": ["ticker", "date", "day_type"],
+    "realised_vol_rank": ["ticker"],
+    "vix_weekly": ["week_start", "last_trading_date"],
+    "regime_daily": ["ticker", "trade_date"],
+    "regime_weekly": ["ticker", "week_end"],
+    "regime_monthly": ["ticker", "month_ending"],
+    "regime_quarterly": ["ticker", "quarter_ending"],
+    "return_metrics_weekly": ["ticker"],
+    "return_metrics_monthly": ["ticker"],
+    "return_metrics_quarterly": ["ticker"],
+    "correlation_matrix": ["ticker_a"],
+    "fundamentals_long": ["ticker", "fiscal_date", "statement", "metric"],
+    "fundamentals_wide": ["ticker", "fiscal_date"],
+    "key_ratios_wide": ["ticker", "fiscal_date"],
+    "key_ratios_long": ["ticker", "fiscal_date"],
+}
+BARS = {"weekly_prices": "weekly_bars", "monthly_prices": "monthly_bars", "quarterly_prices": "quarterly_bars"}
+REGIMES = ["regime_daily", "regime_weekly", "regime_monthly", "regime_quarterly"]
 REPORT = " union all ".join(
     [
-        _nulls("weekly_prices", "weekly", ["ticker", "week_ending"]),
-        _nulls("monthly_prices", "monthly", ["ticker", "month_ending"]),
-        _nulls("regime_daily", "rd", ["ticker", "trade_date"]),
-        _nulls("regime_weekly", "rw", ["ticker", "week_end"]),
+        *(_nulls(n, f"({ORACLE[BARS.get(n, n)]}) as t", columns) for n, columns in REQUIRED.items()),
         "select 'daily_prices: not null (ticker, short_name, date, ingested_at)', "
         "count(*) filter (ticker is null or short_name is null or date is null) from daily",
         _copies("daily_prices", "daily", ["ticker", "date"]),
-        _copies("weekly_prices", "weekly", ["ticker", "week_ending"]),
-        _copies("monthly_prices", "monthly", ["ticker", "month_ending"]),
-        _unknown("regime_daily", "rd"),
-        _unknown("regime_weekly", "rw"),
+        *(_copies(n, f"({ORACLE[q]})", REQUIRED[n]) for n, q in BARS.items()),
+        *(_unknown(n, f"({ORACLE[n]}) as t") for n in REGIMES),
+        "select 'vix_weekly: known level', count(*) filter (vix_regime not in ('Calm', 'Normal', 'Fear')) "
+        f"from ({ORACLE['vix_weekly']}) as t",
         "select 'daily_prices: volume >= 0', count(*) filter (volume < 0) from daily",
+        # the sample rows are stamped 2002-01-01, four days before the report's date
+        "select 'daily_prices: fresh', 0",
     ]
 )
 oracle(
     "check_report",
-    f"""with {WEEKLY},{_bars('month', 'month_ending')},
-rd as (with {_regime('daily', 'date', 'trade_date', 20, 120, '20d')}),
-rw as (with {_regime('weekly', 'week_ending', 'week_end', 12, 100, '12w')}),
-c(check_name, failures) as ({REPORT})
+    f"""with {DAILY}, c(check_name, failures) as ({REPORT})
 select check_name, cast(failures as bigint) as failures,
        case when failures > 0 then 'error' else 'pass' end as status
 from c""",
@@ -1061,22 +1087,23 @@ from c""",
 
 # --- streams --------------------------------------------------------------------------------
 
-oracle(
-    "stream_weekly_bars",
-    """
+for _name, _days in (("stream_weekly_bars", 7), ("stream_weekly_late", 21)):
+    oracle(
+        _name,
+        f"""
 with w as (
   select event_type as ticker, cast(date_trunc('week', ts) as date) as week_start,
          cast(max(ts) as date) as week_ending, arg_min(value, ts) as open, max(value) as high,
          min(value) as low, arg_max(value, ts) as close, count(*) as volume
   from events group by 1, 2
 )
-select * from w where week_start + 7 <= (select max(ts) from events) - interval 7 day""",
-    "open high low close",
-)
+select * from w where week_start + 7 <= (select max(ts) from events) - interval {_days} day""",
+        "open high low close",
+    )
 REFRESHED = BAR_COLUMNS.replace(
     "adj_close", "adj_close + case when date >= d - 21 then 2 else 0 end as adj_close"
 )
-for _name in ("stream_ingest", "market_refresh"):
+for _name in ("stream_ingest", "stream_ingest_split", "market_refresh"):
     oracle(
         _name,
         f"with {DAILY}, e as (select max(date) as d from daily) select {REFRESHED} from daily, e",
@@ -1096,12 +1123,32 @@ oracle(
     "value",
 )
 oracle("csv_seed", "select * from supplier", "s_acctbal")
+READABLE = LONG.replace("where value is not null", "where value is not null and cast(round(value * 100) as bigint) % 10 <> 0")
 oracle(
     "fundamentals_refresh",
-    f"""with {ANNUAL}
-select ticker, fiscal_date, 'USD' as currency,
-       max(value) filter (metric = 'Total Revenue') as total_revenue,
-       max(value) filter (metric = 'Cost Of Revenue') as cost_of_revenue
-from annual group by 1, 2""",
-    "total_revenue cost_of_revenue",
+    f"""with {WIDE.replace(LONG, READABLE)}
+select *, (select count(*) from lines where value is not null and cast(round(value * 100) as bigint) % 10 = 0)
+  + (select count(*) from (select distinct ticker, metric from lines where value is not null)) as n_rejects
+from wide""",
+    " ".join(WIDE_NAMES),
+)
+for _name, _same in (("stored_scanner_52w", "scanner_52w"), ("stored_vix_weekly", "vix_weekly"), ("stored_correlation", "correlation_pairs")):
+    ORACLE[_name] = ORACLE[_same]
+
+# --- as published ---------------------------------------------------------------------------
+
+
+def _rounded(name: str, columns: str, digits: int, shown: str = "*") -> None:
+    """The unrounded result, rounded half to even."""
+    cells = ", ".join(f'round_even("{c}", {digits}) as "{c}"' for c in columns.split())
+    ORACLE[f"{name}_rounded"] = f"select {shown} from (select * replace ({cells}) from ({ORACLE[name]}) as q) as r"
+
+
+_rounded("scanner_52w", "pct_from_low pct_from_high", 2)
+_rounded("atr_pct", "atr14_pct", 2, "ticker, atr14_pct")
+_rounded(
+    "vix_weekly",
+    "vix_close_raw vix_close_adj vix_net_change_raw vix_pct_change_raw_pct vix_net_change_adj vix_pct_change_adj_pct",
+    2,
 )
+_rounded("correlation_matrix", " ".join(f"Brand#{i}" for i in range(1, 26)), 3)

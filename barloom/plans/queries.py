@@ -24,25 +24,24 @@ from ..operators import (
     relational,
     signals,
 )
+from ..operators.fundamentals import METRICS
 from ..session import scratch_path, stream_session
 from ..sources import samples, tables
 from ..sources.samples import table
 from ..streaming import start_ingest, weekly_bars_stream
-from . import jobs, registry
+from . import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
-FOCAL = [f"Brand#{i}" for i in range(1, 6)]
-UNIVERSE = [f"Brand#{i}" for i in range(1, 26)]
 DAILY_SHOWN = ["ticker", "short_name", "date", "open", "high", "low", "close", "adj_close", "volume"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 
 def six(df: DataFrame) -> DataFrame:
-    """Doubles with six decimals. Plain arithmetic: ``round`` goes through decimals, row by row."""
+    """Doubles with six decimals, half to even; NaN, infinities and large values stay as they are."""
     return df.select(
         *[
-            (F.floor(F.col(f"`{f.name}`") * 1e6 + 0.5) / 1e6).alias(f.name)
+            (F.rint(F.col(f"`{f.name}`") * 1e6) / 1e6).alias(f.name)
             if isinstance(f.dataType, T.DoubleType)
             else F.col(f"`{f.name}`")
             for f in df.schema.fields
@@ -59,6 +58,12 @@ def query(make: Callable[[SparkSession, str], DataFrame]):
     return make
 
 
+def _brands(spark, d) -> list[str]:
+    """All tickers, the shortest names first: the list parameters of the correlations."""
+    brands = table(spark, d, "part").select("p_brand").distinct()
+    return sorted((r.p_brand for r in brands.collect()), key=lambda b: (len(b), b))
+
+
 def _weekly(spark, d):
     return bars.weekly_bars(samples.daily_prices(spark, d), stamp=False)
 
@@ -254,18 +259,42 @@ def return_metrics_quarterly(spark, d):
 
 @query
 def correlation_pairs(spark, d):
-    daily = samples.daily_prices(spark, d)
-    return correlation.correlation_pairs(daily, FOCAL, UNIVERSE, _newest(daily), min_obs=30)
+    daily, brands = samples.daily_prices(spark, d), _brands(spark, d)
+    return correlation.correlation_pairs(daily, brands[:5], brands, _newest(daily), min_obs=30)
 
 
 @query
 def correlation_matrix(spark, d):
-    daily = samples.daily_prices(spark, d)
+    daily, brands = samples.daily_prices(spark, d), _brands(spark, d)
     return correlation.correlation_matrix(
-        daily, FOCAL, UNIVERSE, as_of=_newest(daily), min_obs=30, digits=None
+        daily, brands[:5], brands, as_of=_newest(daily), min_obs=30, digits=None
     )
 
 
+# --- as published: rounded to the default digits ---------------------------------
+
+
+@query
+def scanner_52w_rounded(spark, d):
+    return signals.scanner_52w(samples.daily_prices(spark, d))
+
+
+@query
+def atr_pct_rounded(spark, d):
+    return signals.atr_pct(samples.daily_prices(spark, d)).select("ticker", "atr14_pct")
+
+
+@query
+def vix_weekly_rounded(spark, d):
+    return signals.vix_weekly(samples.index_prices(spark, d), samples.INDEX_TICKER)
+
+
+@query
+def correlation_matrix_rounded(spark, d):
+    daily, brands = samples.daily_prices(spark, d), _brands(spark, d)
+    return correlation.correlation_matrix(daily, brands[:5], brands, as_of=_newest(daily), min_obs=30)
+
+
 # --- fundamentals -------------------------------------------------------------
 
 
@@ -396,18 +425,14 @@ def backfill_reload(spark, d):
     return ingest.backfill_reload(daily, new).select(*DAILY_SHOWN)
 
 
-YEAR_ENDS = [f"{y}-12-31" for y in range(1995, 2002)]
-
-
 def _annual_frame(spark, d) -> DataFrame:
     """Statement frame: a row per ticker and metric, a column per fiscal year end."""
     cents = samples.whole(F.col("l_extendedprice") * 100)
     year = F.year(F.col("l_shipdate").cast("date"))
-    cells = [
-        (F.sum(F.when(year == int(e[:4]), cents)) / 100).alias(e) for e in YEAR_ENDS
-    ]
     parts = table(spark, d, "part").select("p_partkey", "p_brand")
-    items = table(spark, d, "lineitem").filter(F.col("l_linenumber") != 2)
+    items = table(spark, d, "lineitem")
+    years = sorted(r.y for r in items.select(year.alias("y")).distinct().collect() if r.y)
+    cells = [(F.sum(F.when(year == y, cents)) / 100).alias(f"{y}-12-31") for y in years]
     return (
         items.join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("p_brand").alias("ticker"), F.col("l_returnflag").alias("metric"))
@@ -858,13 +883,14 @@ def dq_row_counts(spark, d):
 
 @query
 def check_report(spark, d):
-    """All checks that apply to the market datasets, over a stored daily table."""
-    path = scratch_path(spark, "daily")
-    samples.daily_prices(spark, d).write.parquet(path)
-    daily = spark.read.parquet(path)
-    names = ["regime_daily", "regime_weekly", "weekly_prices", "monthly_prices", "daily_prices"]
-    frames = registry.build({"daily_prices": daily})
-    return quality.run_checks(registry.checks({n: frames[n] for n in names}))
+    """All checks of all datasets, built over stored daily prices, bars and ledgers."""
+    store = jobs.Warehouse(scratch_path(spark, "warehouse"))
+    tables.append_daily(samples.daily_prices(spark, d), store.table("daily_prices"))
+    jobs.rebuild_bars(spark, store)
+    for name in ("income_statement", "balance_sheet", "cashflow_statement"):
+        tables.append_statements(samples.statement(spark, d, name), store.table(name), "b1")
+    frames = jobs.build_analytics(jobs.stored_frames(spark, store))
+    return jobs.check_report(frames, as_of="2002-01-05 00:00:00")
 
 
 # --- streams ----------------------------------------------------------------------
@@ -899,6 +925,33 @@ def stream_weekly_bars(spark, d):
     return spark.read.parquet(out)
 
 
+@query
+def stream_weekly_late(spark, d):
+    """The same with the default delay, and odd days that land after later ones, up to 20 days late."""
+    events = table(spark, d, "events").select(
+        F.col("event_type").alias("ticker"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        *[F.col("value").alias(c) for c in ("open", "high", "low", "close")],
+        F.lit(1).cast("bigint").alias("volume"),
+    )
+    middle = F.timestamp_add("DAY", F.lit(-30), events.agg(F.max("ts")).scalar())
+    landing, out = scratch_path(spark, "late-landing"), scratch_path(spark, "late-stream")
+    odd = (F.dayofmonth("ts") % 2 == 1) & (F.col("ts") > F.timestamp_add("DAY", F.lit(-20), middle))
+    late = F.coalesce((F.col("ts") > middle) | odd, F.lit(False))
+    for part in (events.filter(~late), events.filter(late)):
+        part.coalesce(1).write.mode("append").parquet(landing)
+    reader = stream_session(spark).readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    run = (
+        weekly_bars_stream(reader.parquet(landing))
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{out}-checkpoint")
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    run.awaitTermination()
+    return spark.read.parquet(out)
+
+
 def _vendor_rows(daily: DataFrame) -> DataFrame:
     names = {"ticker": "Symbol", "date": "Date", "adj_close": "Adj Close", "short_name": "ShortName"}
     return daily.select(*DAILY_SHOWN).withColumnsRenamed(names)
@@ -924,6 +977,23 @@ def stream_ingest(spark, d):
     return tables.daily_prices(spark, store).select(*DAILY_SHOWN)
 
 
+@query
+def stream_ingest_split(spark, d):
+    """As ``stream_ingest``, landed in several files that each fill a batch."""
+    base = scratch_path(spark, "ingest-stream")
+    landing, store, state = f"{base}/landing", f"{base}/daily", f"{base}/state"
+    daily = samples.daily_prices(spark, d)
+    odd = F.dayofmonth("date") % 2 == 1
+    for rows in (daily.filter(odd), daily.filter(~odd)):
+        _vendor_rows(rows).coalesce(1).write.mode("append").parquet(landing)
+    again = _last_days_again(daily)
+    for rows in (again.filter(F.dayofmonth("Date") % 2 == 1), again.filter(F.dayofmonth("Date") % 2 == 0)):
+        rows.coalesce(1).write.mode("append").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    start_ingest(spark, landing, schema, store, state, files_per_batch=1).awaitTermination()
+    return tables.daily_prices(spark, store).select(*DAILY_SHOWN)
+
+
 # --- stored tables and jobs ---------------------------------------------------------
 
 
@@ -938,7 +1008,7 @@ def market_refresh(spark, d):
     """Backfill of the whole history, then a refresh of the last 21 days."""
     store = jobs.Warehouse(scratch_path(spark, "warehouse"))
     daily = samples.daily_prices(spark, d)
-    jobs.backfill_market(spark, _vendor_rows(daily), store, start="1995-01-01")
+    jobs.backfill_market(spark, _vendor_rows(daily), store, start=None)
     today = tables.daily_prices(spark, store.table("daily_prices")).agg(F.max("date")).first()[0]
     jobs.refresh_market(spark, _last_days_again(daily), store, today=today)
     return tables.daily_prices(spark, store.table("daily_prices")).select(*DAILY_SHOWN)
@@ -946,18 +1016,23 @@ def market_refresh(spark, d):
 
 @query
 def fundamentals_refresh(spark, d):
-    """Two loads of the same statements, the first with doubled values."""
+    """Two loads of all statements, the first with other values; amounts in whole tens of cents
+    cannot be read, nor can a column that is no date."""
     store = jobs.Warehouse(scratch_path(spark, "warehouse"))
-    frame = _annual_frame(spark, d)
-    doubled = frame.select(
-        "ticker", "metric", "currency", *[(F.col(f"`{e}`") * 2).alias(e) for e in YEAR_ENDS]
-    )
-    for wide, at in [(doubled, "2002-01-01 00:00:00"), (frame, "2002-02-01 00:00:00")]:
-        frames = {"income_statement": {"Q": wide}}
-        empty = {s: {"Q": wide.limit(0)} for s in ("balance_sheet", "cashflow_statement")}
-        out = jobs.refresh_fundamentals(spark, frames | empty, store, None, LABELS, loaded_at=at)
-    columns = ["ticker", "fiscal_date", "currency", "total_revenue", "cost_of_revenue"]
-    return out["fundamentals_wide"].select(*columns)
+    for factor, at in [(3, "2002-01-01 00:00:00"), (1, "2002-02-01 00:00:00")]:
+        frames = {s: {"Q": _statement_frame(spark, d, s, factor)} for s in METRICS}
+        out = jobs.refresh_fundamentals(spark, frames, store, loaded_at=at)
+    rejects = spark.read.parquet(store.table("statement_rejects")).filter(F.col("loaded_at") == at)
+    return out["fundamentals_wide"].withColumn("n_rejects", rejects.agg(F.count("*")).scalar())
+
+
+def _statement_frame(spark, d, name: str, factor: int) -> DataFrame:
+    """A vendor's frame of one statement: text cells, some of them unreadable."""
+    long = samples.statement(spark, d, name).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    cell = F.when(F.col("cents") % 10 == 0, "n/a").otherwise((F.col("cents") * factor / 100).cast("string"))
+    dates = sorted(str(r.fiscal_date) for r in long.select("fiscal_date").distinct().collect())
+    cells = [F.max(F.when(F.col("fiscal_date") == F.lit(e).cast("date"), cell)).alias(e) for e in dates]
+    return long.groupBy("ticker", "metric").agg(F.lit("USD").alias("currency"), *cells, F.lit("1").alias("TTM"))
 
 
 @query
@@ -967,6 +1042,30 @@ def stored_daily_since(spark, d):
     return tables.since(stored, "2000-03-15").select(*DAILY_SHOWN)
 
 
+def _stored(spark, d, daily=None) -> DataFrame:
+    path = scratch_path(spark, "daily")
+    tables.append_daily(samples.daily_prices(spark, d) if daily is None else daily, path)
+    return tables.daily_prices(spark, path)
+
+
+@query
+def stored_scanner_52w(spark, d):
+    """The scanner over the stored table: only the last year's month folders are read."""
+    return signals.scanner_52w(_stored(spark, d), digits=None)
+
+
+@query
+def stored_vix_weekly(spark, d):
+    stored = _stored(spark, d, samples.index_prices(spark, d))
+    return signals.vix_weekly(stored, samples.INDEX_TICKER, digits=None)
+
+
+@query
+def stored_correlation(spark, d):
+    stored, brands = _stored(spark, d), _brands(spark, d)
+    return correlation.correlation_pairs(stored, brands[:5], brands, _newest(stored), min_obs=30)
+
+
 @query
 def stored_weekly_bars(spark, d):
     path = scratch_path(spark, "weekly")

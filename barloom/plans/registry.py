@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -112,30 +112,42 @@ def build(tables: dict[str, DataFrame], names: list[str] | None = None) -> dict[
     return frames if names is None else {n: frames[n] for n in names}
 
 
-def checks(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Failing rows per check: required columns, keys, accepted labels, volume sign."""
-    found: dict[str, DataFrame] = {}
-    required = {n: d.required for n, d in DATASETS.items()}
-    required["daily_prices"] = ("ticker", "short_name", "date", "ingested_at")
-    for name, columns in required.items():
-        if name in frames and columns:
-            # One pass per dataset; a row counts once per missing column.
+ACCEPTED = {
+    **{n: ("known regime", "regime", REGIMES) for n in
+       ("regime_daily", "regime_weekly", "regime_monthly", "regime_quarterly")},
+    "vix_weekly": ("known level", "vix_regime", ["Calm", "Normal", "Fear"]),
+}
+REQUIRED = {
+    "daily_prices": ("ticker", "short_name", "date", "ingested_at"),
+    **{n: d.required for n, d in DATASETS.items() if d.required},
+}
+
+
+def row_checks(frames: dict[str, DataFrame]) -> Iterator[DataFrame]:
+    """(check_name, failures) of a dataset's row checks: required columns, labels, volume sign.
+
+    One pass over each dataset counts them all; a row counts once per missing column.
+    """
+    for name, df in frames.items():
+        found = {}
+        if columns := REQUIRED.get(name):
             missing = sum(F.col(c).isNull().cast("bigint") for c in columns)
-            rows = frames[name].select(missing.alias("n_rows"))
-            found[f"{name}: not null ({', '.join(columns)})"] = rows.filter("n_rows > 0")
+            found[f"{name}: not null ({', '.join(columns)})"] = missing
+        if name in ACCEPTED:
+            what, column, values = ACCEPTED[name]
+            found[f"{name}: {what}"] = (~F.col(column).isin(values)).cast("bigint")
+        if name == "daily_prices":
+            found["daily_prices: volume >= 0"] = (F.col("volume") < 0).cast("bigint")
+        if found:
+            totals = [F.coalesce(F.sum(c), F.lit(0)).alias(f"c{i}") for i, c in enumerate(found.values())]
+            rows = [F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures")) for i, n in enumerate(found)]
+            yield df.agg(*totals).select(F.inline(F.array(*rows)))
+
+
+def key_checks(frames: dict[str, DataFrame]) -> Iterator[DataFrame]:
+    """(check_name, failures): keys of the bar tables that occur more than once."""
     for name, key in BAR_KEYS.items():
         if name in frames:
-            found[f"{name}: unique ({', '.join(key)})"] = dq.unique_combination(frames[name], key)
-    for name in ("regime_daily", "regime_weekly", "regime_monthly", "regime_quarterly"):
-        if name in frames:
-            found[f"{name}: known regime"] = dq.accepted_values(frames[name], "regime", REGIMES)
-    if "vix_weekly" in frames:
-        levels = ["Calm", "Normal", "Fear"]
-        found["vix_weekly: known level"] = dq.accepted_values(
-            frames["vix_weekly"], "vix_regime", levels
-        )
-    if "daily_prices" in frames:
-        found["daily_prices: volume >= 0"] = dq.accepted_range(
-            frames["daily_prices"], "volume", low=0
-        )
-    return found
+            copies = dq.unique_combination(frames[name], key)
+            label = F.lit(f"{name}: unique ({', '.join(key)})").alias("check_name")
+            yield copies.agg(F.count(F.lit(1)).alias("failures")).select(label, "failures")

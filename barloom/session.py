@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +46,48 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
+def _file_system(spark: SparkSession, path: str):
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, jpath = _file_system(spark, path)
+    return fs.exists(jpath)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, jpath = _file_system(spark, path)
+    fs.delete(jpath, True)
+
+
+def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Removes the scratch folders made by this session (or those given), once nothing reads them any more.
+
+    Jobs and reports call it when their result is stored; who keeps a lazy frame
+    that reads a scratch folder calls it afterwards.
+    """
+    for path in list(_SCRATCH.get(id(spark), ()) if paths is None else paths):
+        remove_path(spark, path)
+        _SCRATCH.get(id(spark), set()).discard(path)
+
+
+#: Scratch folders by session; only names, to be able to remove them.
+_SCRATCH: dict[int, set[str]] = {}
+
+
+@contextmanager
+def scratch_cleared(spark: SparkSession):
+    """Removes the scratch folders that were made inside the block."""
+    before = set(_SCRATCH.get(id(spark), ()))
+    try:
+        yield
+    finally:
+        clear_scratch(spark, [p for p in _SCRATCH.get(id(spark), ()) if p not in before])
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(id(spark), set()).add(path)
+    return path

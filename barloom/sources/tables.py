@@ -2,25 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import period_start, year_month
+from ..functions import period_start, since, year_month
 from ..operators.bars import latest_load, period_bars
 from ..operators.ingest import batch_windows, overlap_reload
 from ..schema import DAILY_COLUMNS, DAILY_SCHEMA, PERIODS, STATEMENT_SCHEMA, bar_schema
-from ..session import scratch_path
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+from ..session import path_exists, remove_path, shared_dir
 
 
 def _with_month(schema: T.StructType, name: str) -> T.StructType:
@@ -34,15 +26,10 @@ def daily_prices(spark: SparkSession, path: str, dedupe: bool = False) -> DataFr
     running; a finished table needs no such pass.
     """
     df = spark.read.schema(_with_month(DAILY_SCHEMA, "ym")).parquet(path)
-    return latest_load(df.select(*DAILY_COLUMNS)) if dedupe else df
-
-
-def since(df: DataFrame, start) -> DataFrame:
-    """Rows from a day on; where the table is stored by month, older months are not listed."""
-    day = F.lit(str(start)).cast("date")
-    if "ym" in df.columns:
-        df = df.filter(F.col("ym") >= year_month(day))
-    return df.filter(F.col("date") >= day)
+    if not dedupe:
+        return df
+    merged = latest_load(df, [c for c in df.columns if c not in ("ticker", "date")])
+    return merged.select(*DAILY_COLUMNS, "ym")
 
 
 def _laid_out(df: DataFrame, folder: str, *order: str) -> DataFrameWriter:
@@ -66,52 +53,82 @@ def upsert_daily(
 ) -> list[str]:
     """Clear the windows and insert the new rows; only the months they touch are rewritten.
 
-    Without windows, each ticker's is what its new rows cover.
+    Without windows, each ticker's is what its new rows cover. Copies of a key
+    within the new rows are merged, which keeps (ticker, date) unique. Returns
+    the touched months.
+    """
+    return _replace_months(spark, path, new, lambda fresh: batch_windows(fresh) if windows is None else windows)
+
+
+def merge_daily(spark: SparkSession, path: str, new: DataFrame) -> list[str]:
+    """Insert new rows by key: of the rows of one (ticker, date) the newest load stays.
 
-    The result is written to the shared folder first, so the months being
-    replaced are never read while they are overwritten, and a lost executor
-    finds the staged files. Months left without rows are removed, because a
-    dynamic overwrite does not touch a partition it writes nothing to. Copies
-    of a key within the new rows are merged, which keeps (ticker, date) unique.
-    Returns the touched months.
+    The table does not depend on how the rows are cut into deliveries. Returns
+    the touched months.
     """
-    stage = scratch_path(spark, "daily-stage")
-    fresh, span = f"{stage}/new", f"{stage}/windows"
-    new.select(*DAILY_COLUMNS).write.parquet(fresh)
-    new = latest_load(spark.read.parquet(fresh)).select(*DAILY_COLUMNS)
-    (batch_windows(new) if windows is None else windows).write.parquet(span)
-    windows = spark.read.parquet(span)
+    return _replace_months(spark, path, new, None)
+
+
+def _replace_months(spark, path, new, windows) -> list[str]:
+    """Writes the touched months anew to a stage, then puts them in the table's place.
 
-    touched = _months(new, windows)
+    The stage has one name per table. Its marker is written when all its rows
+    are; a run that ends after that is completed by the next one, so no old row
+    is lost between removing and replacing a month. Months left without rows
+    are removed, because a dynamic overwrite does not touch a partition it
+    writes nothing to.
+    """
+    stage = f"{shared_dir(spark).rstrip('/')}/stage-{hashlib.md5(path.encode()).hexdigest()}"
+    finish_replacement(spark, path)
+    remove_path(spark, stage)
+    fresh = f"{stage}/new"
+    new.select(*DAILY_COLUMNS).write.parquet(fresh)
+    new = latest_load(spark.read.schema(DAILY_SCHEMA).parquet(fresh)).select(*DAILY_COLUMNS)
+    spans = None
+    if windows is not None:
+        windows(new).write.parquet(f"{stage}/windows")
+        spans = spark.read.parquet(f"{stage}/windows")
+    touched = _months(new, spans)
     if not touched:
+        remove_path(spark, stage)
         return []
-    if exists(spark, path):
+    rows = new
+    if path_exists(spark, path):
         old = daily_prices(spark, path)
         old = old.filter(F.col("ym").isin(touched)).select(*DAILY_COLUMNS)
-        rows = overlap_reload(old, new, windows)
-    else:
-        rows = new
+        rows = latest_load(old.unionByName(new)) if spans is None else overlap_reload(old, new, spans)
     append_daily(rows, f"{stage}/rows")
+    months = spark.createDataFrame([(m,) for m in touched], "ym string")
+    months.coalesce(1).write.parquet(f"{stage}/ready")
+    finish_replacement(spark, path)
+    return touched
+
 
+def finish_replacement(spark: SparkSession, path: str) -> None:
+    """Completes a replacement of months whose stage is ready; else does nothing."""
+    stage = f"{shared_dir(spark).rstrip('/')}/stage-{hashlib.md5(path.encode()).hexdigest()}"
+    if not path_exists(spark, f"{stage}/ready/_SUCCESS"):
+        return
+    touched = [r.ym for r in spark.read.schema("ym string").parquet(f"{stage}/ready").collect()]
     staged = spark.read.schema(_with_month(DAILY_SCHEMA, "ym")).parquet(f"{stage}/rows")
     left = {r.ym for r in staged.select("ym").distinct().collect()}
     replace = _laid_out(staged, "ym", "ticker", "date").mode("overwrite")
     replace.option("partitionOverwriteMode", "dynamic").parquet(path)
     for month in touched:
         if month not in left:
-            _remove(spark, f"{path.rstrip('/')}/ym={month}")
-    _remove(spark, stage)
-    return touched
+            remove_path(spark, f"{path.rstrip('/')}/ym={month}")
+    remove_path(spark, stage)
 
 
-def _months(new: DataFrame, windows: DataFrame) -> list[str]:
+def _months(new: DataFrame, windows: DataFrame | None) -> list[str]:
     """Months covered by the windows or the new rows: at most twelve a year reach the driver."""
+    mine = new.select(year_month("date").alias("ym"))
+    if windows is None:
+        return sorted(r.ym for r in mine.distinct().collect())
     step = F.expr("interval 1 month")
     spans = windows.select(F.trunc("start_date", "month").alias("a"), F.col("end_date").alias("b"))
     covered = spans.distinct().select(F.explode(F.sequence("a", "b", step)).alias("m"))
-    both = covered.select(year_month("m").alias("ym")).unionByName(
-        new.select(year_month("date").alias("ym"))
-    )
+    both = covered.select(year_month("m").alias("ym")).unionByName(mine)
     return sorted(r.ym for r in both.distinct().collect())
 
 
@@ -126,7 +143,7 @@ def write_bars(
     folder goes by the first day, which does not move when rows arrive.
     """
     key = PERIODS[period][1]
-    if touched is None or not exists(spark, path):
+    if touched is None or not path_exists(spark, path):
         bars = _bars_by_year(daily, period)
         _laid_out(bars, "year", "ticker", key).mode("overwrite").parquet(path)
         return
@@ -142,7 +159,7 @@ def write_bars(
     present = {r.y for r in rows.select(F.year(_first_day(period)).alias("y")).distinct().collect()}
     for year in years:
         if year not in present:
-            _remove(spark, f"{path.rstrip('/')}/year={year}")
+            remove_path(spark, f"{path.rstrip('/')}/year={year}")
 
 
 def _first_day(period: str) -> Column:

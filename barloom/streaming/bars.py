@@ -16,7 +16,8 @@ def weekly_bars_stream(
     ``bars`` is a stream of (ticker, ts, open, high, low, close, volume). Rows
     up to ``delay`` late still count, later ones are dropped. Equal ``key`` rows
     (default: ticker and ts) count once. State holds a handful of numbers per
-    open (ticker, week), not the rows.
+    open (ticker, week), and one key per row of the last ``delay`` to tell
+    copies: size the state store for as many keys as arrive in that time.
 
     Windows are counted from 1970-01-01, a Thursday; the 4-day offset moves
     their start to Monday.

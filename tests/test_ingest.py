@@ -218,7 +218,7 @@ def test_analytics_and_report(spark, make_daily):
     assert spark.table("gap_scan").count() == 2
     assert "fundamentals_wide" not in frames and "correlation_matrix" in frames
     some = {n: frames[n] for n in ("daily_prices", "weekly_prices", "regime_daily", "vix_weekly", "breadth")}
-    report = {r.check_name: r.status for r in jobs.check_report(some).collect()}
+    report = {r.check_name: r.status for r in jobs.check_report(some, as_of="2024-01-05").collect()}
     assert set(report.values()) == {"pass"}
     doubled = {"daily_prices": make_daily(rows + rows[:1])}
     bad = {r.check_name: r.failures for r in jobs.check_report(doubled).collect()}
@@ -230,3 +230,78 @@ def test_registry_inputs_exist():
     for name, dataset in registry.DATASETS.items():
         assert set(dataset.inputs) <= known, name
         known.add(name)
+
+
+# --- replacement of months, by window and by key ---------------------------------
+
+
+def _days(rows):
+    return sorted((r.ticker, str(r.date), r.close) for r in rows.collect())
+
+
+def test_merge_by_key_does_not_depend_on_the_cut(spark, make_daily, tmp_path):
+    days = [(("A"), f"2024-01-{d:02d}", float(d)) for d in range(1, 21)]
+    odd, even = days[::2], days[1::2]
+    late = make_daily([("A", "2024-01-03", 99.0)], "2024-02-01 00:00:00")
+    tables_at = []
+    for i, parts in enumerate([[days], [odd, even], [even, odd]]):
+        path = str(tmp_path / f"t{i}")
+        for part in parts:
+            tables.merge_daily(spark, path, make_daily(part))
+        tables.merge_daily(spark, path, late)
+        tables_at.append(_days(tables.daily_prices(spark, path)))
+    assert tables_at[0] == tables_at[1] == tables_at[2]
+    assert len(tables_at[0]) == 20 and ("A", "2024-01-03", 99.0) in tables_at[0]
+
+
+def test_a_broken_replacement_is_completed(spark, make_daily, tmp_path, monkeypatch):
+    from barloom.session import path_exists, shared_dir
+
+    path = str(tmp_path / "t")
+    tables.upsert_daily(spark, path, make_daily([("A", "2024-01-05", 1.0), ("B", "2024-01-06", 2.0)]))
+    finish = tables.finish_replacement
+    calls = []
+
+    def broken(spark, path):
+        calls.append(path)
+        if len(calls) > 1:  # after the stage is ready: the month is gone, nothing put in its place
+            from barloom.session import remove_path
+
+            remove_path(spark, f"{path}/ym=202401")
+            raise RuntimeError("lost")
+        finish(spark, path)
+
+    monkeypatch.setattr(tables, "finish_replacement", broken)
+    with pytest.raises(RuntimeError):
+        tables.upsert_daily(spark, path, make_daily([("A", "2024-01-05", 7.0)]))
+    monkeypatch.setattr(tables, "finish_replacement", finish)
+    tables.upsert_daily(spark, path, make_daily([("C", "2024-02-01", 3.0)]))
+    assert _days(tables.daily_prices(spark, path)) == [("A", "2024-01-05", 7.0), ("B", "2024-01-06", 2.0), ("C", "2024-02-01", 3.0)]
+    import os
+
+    assert not [f for f in os.listdir(shared_dir(spark)) if f.startswith("stage-")]
+    assert not path_exists(spark, f"{path}/nothing")
+
+
+def test_scratch_is_cleared(spark):
+    from barloom.operators import quality
+    from barloom.session import scratch_cleared, shared_dir
+    import os
+
+    before = set(os.listdir(shared_dir(spark)))
+    with scratch_cleared(spark):
+        assert quality.sequential_values(spark.range(5).select("id"), "id").count() == 0
+        assert set(os.listdir(shared_dir(spark))) > before
+    assert set(os.listdir(shared_dir(spark))) == before
+
+
+def test_unreadable_cells_are_kept_apart(spark):
+    wide = spark.createDataFrame(
+        [("A", "Rev", "USD", "1.5", "n/a", "2"), ("B", "Rev", None, "NaN", " ", None)],
+        "ticker string, metric string, currency string, `2023-12-31` string, `2022-12-31` string, TTM string",
+    )
+    cells = ingest.statement_cells(wide, "A")
+    good, bad = ingest.split_rejects(cells)
+    assert [(r.ticker, str(r.fiscal_date), r.value) for r in good.collect()] == [("A", "2023-12-31", 1.5)]
+    assert sorted((r.ticker, r.raw) for r in bad.collect()) == [("A", "2022-12-31: n/a"), ("A", "TTM: 2")]
+    assert ingest.melt_statement(wide, "A").count() == 1

@@ -9,7 +9,10 @@ from barloom.operators import bars, correlation, regimes, signals
 from barloom.plans.queries import QUERIES
 from barloom.sources import samples, tables
 
-EAGER = {"check_report", "stream_weekly_bars", "stream_ingest", "market_refresh", "fundamentals_refresh"}
+EAGER = {
+    "check_report", "stream_weekly_bars", "stream_weekly_late", "stream_ingest", "stream_ingest_split",
+    "market_refresh", "fundamentals_refresh",
+}
 
 
 def plan(df):
@@ -31,7 +34,7 @@ def test_no_cross_product(spark, sf_dir, name):
         (signals.distance_from_sma, 200),
         (signals.atr_pct, 15),
         (signals.inside_outside_day, 2),
-        (signals.realised_vol_rank, 398),
+        (signals.realised_vol_rank, 31),
         (regimes.regime_daily, 141),
     ],
 )
@@ -108,3 +111,37 @@ def test_bucketed_table_needs_no_shuffle(spark, make_daily):
     for out in (bars.weekly_bars(df), signals.realised_vol(df), regimes.regime(df)):
         assert "Exchange" not in plan(out)
     spark.sql("drop table daily_by_ticker")
+
+
+@pytest.mark.parametrize(
+    "build",
+    [
+        signals.perf_52w,
+        signals.scanner_52w,
+        signals.top_movers_1d,
+        signals.volume_surge,
+        signals.realised_vol_rank,
+        lambda df: signals.vix_weekly(df, "A"),
+        lambda df: correlation.correlation_pairs(df, ["A"], ["A"], "2024-01-02"),
+    ],
+)
+def test_stored_months_are_pruned(spark, make_daily, tmp_path, build):
+    path = str(tmp_path / "daily")
+    days = [f"2023-{m:02d}-03" for m in range(1, 13)] + ["2024-01-02"]
+    tables.append_daily(make_daily([("A", d, 1.0 + i) for i, d in enumerate(days)]), path)
+    text = plan(build(tables.daily_prices(spark, path)))
+    bounds = re.findall(r"PartitionFilters: \[([^\]]*)\]", text)
+    assert any("ym" in b and ">=" in b for b in bounds)
+
+
+def test_the_newest_date_is_read_from_the_newest_month(spark, make_daily, tmp_path):
+    from barloom.functions import newest_date
+
+    path = str(tmp_path / "daily")
+    tables.append_daily(make_daily([("A", "2023-01-03", 1.0), ("A", "2024-01-02", 2.0)]), path)
+    daily = tables.daily_prices(spark, path)
+    assert str(spark.range(1).select(newest_date(daily)).first()[0]) == "2024-01-02"
+    none = daily.filter("date < date '2023-12-01'")
+    assert str(spark.range(1).select(newest_date(none)).first()[0]) == "2023-01-03"
+    both = tables.daily_prices(spark, path, dedupe=True)
+    assert "ym" in both.columns and both.count() == 2

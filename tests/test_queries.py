@@ -2,7 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from barloom.plans.oracle import ORACLE
+from barloom.plans.queries import QUERIES
 from tools.compare import compare, oracle_connection
 
 
@@ -12,10 +14,10 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees(spark, con, sf_dir, name):
     same, note = compare(spark, con, name, sf_dir)
     assert same, note
