@@ -9,7 +9,7 @@ from .html import op10_html
 from .katz import op1_katz
 from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
-from .repeats import op7_repeats
+from .repeats import ORACLE_OP7, op7_repeats
 from .toxicity import op9_toxicity
 from .warc import ORACLE_OP4, op4_warc
 
@@ -30,4 +30,5 @@ ORACLE = {
     "op3_near_duplicates": ORACLE_OP3,
     "op4_warc": ORACLE_OP4,
     "op6_chat_formatting": ORACLE_OP6,
+    "op7_repeats": ORACLE_OP7,
 }

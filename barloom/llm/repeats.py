@@ -363,3 +363,26 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_br_runs").alias("n_spans"),
         F.col("_br_sha").alias("kept_sha256"),
     )
+
+
+ORACLE_OP7 = """
+with d as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h, strlen(coalesce(text, '')) as n from documents
+),
+w as (select r, s, md5(substr(h, 2 * s + 1, 400)) as k from (select r, h, unnest(range(0, n - 199)) as s from d where n >= 200)),
+dup as (select r, s from (select r, s, count(*) over (partition by k) as c from w) where c > 1),
+step as (select r, s, s - lag(s) over (partition by r order by s) as gap, lead(s) over (partition by r order by s) - s as next from dup),
+run as (
+  select r, min(s) as a, max(s) + 200 as b, sum(least(200, coalesce(next, 200))) as gone
+  from (select *, count(*) filter (gap is null or gap > 200) over (partition by r order by s) as i from step) group by r, i
+),
+piece as (select r, a, b, gone, coalesce(lag(b) over (partition by r order by a), 0) as p from run),
+cut as (
+  select d.r, sum(gone) as gone, count(*) as runs,
+    string_agg(substr(h, 2 * p + 1, 2 * (a - p)), '' order by a) || substr(any_value(h), 2 * max(b) + 1) as kept
+  from piece join d using (r) group by d.r
+)
+select doc_id, cast(n as bigint) as n_bytes, cast(coalesce(gone, 0) as bigint) as n_removed, coalesce(runs, 0) as n_spans,
+  sha256(unhex(coalesce(kept, h))) as kept_sha256
+from d left join cut using (r)
+"""
