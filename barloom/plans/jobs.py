@@ -15,7 +15,7 @@ from ..operators import quality as dq
 from ..operators.fundamentals import latest_restatement
 from ..schema import PERIODS, STATEMENTS
 from ..session import path_exists
-from ..sources import tables
+from ..sources import listings, tables
 from . import registry
 
 
@@ -151,6 +151,22 @@ def build_analytics(
     return frames
 
 
+def validate_exchanges(
+    spark: SparkSession,
+    vendor: DataFrame,
+    lists: dict[str, list[str]] | None = None,
+    keywords: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """Listed tickers whose vendor exchange is not the one they are listed under.
+
+    ``vendor`` has (ticker, full_exchange_name, exchange_code); lists and words are those
+    of ``listings`` unless given. A ticker counts under the first list that has it.
+    """
+    universe = ingest.ticker_universe(listings.listing_rows(spark, lists))
+    words = keywords or listings.EXCHANGE_KEYWORDS
+    return dq.exchange_mismatches(universe, vendor, words, listings.KNOWN_EXCEPTIONS)
+
+
 def check_report(frames: dict[str, DataFrame], as_of=None) -> DataFrame:
     """(check_name, failures, status) for every check that applies to the frames.
 

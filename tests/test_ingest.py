@@ -305,3 +305,11 @@ def test_unreadable_cells_are_kept_apart(spark):
     assert [(r.ticker, str(r.fiscal_date), r.value) for r in good.collect()] == [("A", "2023-12-31", 1.5)]
     assert sorted((r.ticker, r.raw) for r in bad.collect()) == [("A", "2022-12-31: n/a"), ("A", "TTM: 2")]
     assert ingest.melt_statement(wide, "A").count() == 1
+
+
+def test_exchanges_are_validated_over_the_real_lists(spark):
+    rows = [("AAPL", "NasdaqGS", "NMS"), ("JNJ", None, "NYQ"), ("PLTR", "NasdaqGS", "NMS"), ("EQNR.OL", "Oslo", "OSL"), ("SPY", "Frankfurt", "FRA")]
+    vendor = spark.createDataFrame(rows, "ticker string, full_exchange_name string, exchange_code string")
+    found = {r.ticker: (r.expected, r.actual) for r in jobs.validate_exchanges(spark, vendor).collect()}
+    assert found["SPY"] == ("ARCX", "FRANKFURT") and not {"AAPL", "JNJ", "PLTR", "EQNR.OL"} & set(found)
+    assert found["KO"] == ("NYSE", "")  # no vendor row
