@@ -59,7 +59,7 @@ def _pack(values: np.ndarray, kind: str, increasing: bool = False) -> bytes:
     values = np.asarray(values).astype(kind)
     if increasing and len(values):
         values = np.concatenate([values[:1], values[1:] - values[:-1]])
-    planes = values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    planes = values.view(np.uint8).reshape(len(values), values.dtype.itemsize).T.tobytes()
     return zstandard.ZstdCompressor(level=1).compress(planes)
 
 
