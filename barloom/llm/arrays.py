@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 LONG_WORD = 1 << 12
 _K1 = np.uint64(0x9E3779B97F4A7C15)
 _K2 = np.uint64(0xBF58476D1CE4E5B9)

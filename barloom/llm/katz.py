@@ -41,8 +41,8 @@ from .store import stored
 
 CUT = 5
 ABOVE = 0.1
-BLOCK_BYTES = 12 << 20
-PART_BYTES = 32 << 20
+BLOCK_BYTES = 6 << 20
+PART_BYTES = 6 << 20
 HOT_SHARE = 0.002
 END = np.uint64(0x0E0D0E0D0E0D0E0D)
 
@@ -111,10 +111,16 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return rows.mapInArrow(pack, "block long, ids array<long>, held array<boolean>, texts binary")
 
 
+def _coded(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values in order, the place of each value among them)."""
+    one, place = np.unique(values, return_inverse=True)
+    return one, place.astype(np.int32)
+
+
 class Block:
     """The tokens of one block: distinct words and bigrams, and where they stand."""
 
-    def __init__(self, held: list[bool], texts: bytes):
+    def __init__(self, held: list[bool], texts: bytes, bigrams: bool = True):
         offsets, joined = pickle.loads(zstandard.ZstdDecompressor().decompress(texts))
         raw = np.frombuffer(joined, dtype=np.uint8)
         hashes, rows = [], []
@@ -125,18 +131,18 @@ class Block:
             # one end after the words of each text
             place = A.run_starts(row, b - a)[1:]
             hashes.append(np.insert(A.span_hashes(buffer, start, end), place, END))
-            rows.append(np.insert(row, place, np.arange(b - a)) + a)
-        token = np.concatenate(hashes)
+            rows.append((np.insert(row, place, np.arange(b - a)) + a).astype(np.int32))
         self.row = np.concatenate(rows)
         self.n_rows = len(held)
         self.train = ~np.array(held, dtype=bool)
-        self.words, self.word = np.unique(token, return_inverse=True)
+        self.words, self.word = _coded(np.concatenate(hashes))
+        if not bigrams:
+            return
         first = np.append(True, self.row[1:] != self.row[:-1])
         end_id = np.searchsorted(self.words, END)
-        self.context = np.where(first, end_id, np.append(0, self.word[:-1]))
+        self.context = np.where(first, end_id, np.append(0, self.word[:-1])).astype(np.int32)
         # distinct bigrams, ordered by word, then context
-        key = self.word * len(self.words) + self.context
-        self.pairs, self.pair = np.unique(key, return_inverse=True)
+        self.pairs, self.pair = _coded(self.word * np.int64(len(self.words)) + self.context)
         in_train = self.train[self.row]
         self.pair_train = np.bincount(self.pair[in_train], minlength=len(self.pairs))
         self.word_train = np.bincount(self.word[in_train], minlength=len(self.words))
@@ -159,7 +165,7 @@ def _hot_words(blocks: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for held, texts in zip(batch.column("held").to_pylist(), batch.column("texts").to_pylist()):
-                block = Block(held, texts)
+                block = Block(held, texts, bigrams=False)
                 n = np.bincount(block.word, minlength=len(block.words))
                 often = n >= max(2, HOT_SHARE * len(block.word))
                 yield pa.RecordBatch.from_arrays([pa.array(block.words[often].view(np.int64)), pa.array(n[often])], ["w", "n"])
@@ -254,8 +260,8 @@ def _counted(table: pa.Table) -> pa.Table:
     out = []
     for t in tables:
         size = len(t["block" if "block" in t else "word"])
-        t |= {"kind": [t["kind"]] * size, "part": [part] * size}
-        out.append(pa.table({f.name: pa.array(t[f.name], f.type) if f.name in t else pa.nulls(size, f.type) for f in kinds}))
+        t |= {"kind": pa.repeat(t["kind"], size), "part": pa.repeat(pa.scalar(part, pa.int32()), size)}
+        out.append(pa.table([pa.array(t[f.name], f.type) if f.name in t else pa.nulls(size, f.type) for f in kinds], schema=kinds))
     return pa.concat_tables(out)
 
 
@@ -364,7 +370,8 @@ class Katz:
                     have = ~np.isnan(weight)
                     score[back[have]] += np.log10(weight[have])
                     back = back[~have]
-                    key, times = np.unique(block.row[back] * len(block.words) + block.context[back], return_counts=True)
+                    key = block.row[back] * np.int64(len(block.words)) + block.context[back]
+                    key, times = np.unique(key, return_counts=True)
                     per_row = lambda x: np.bincount(block.row, x, block.n_rows)
                     rows = {
                         "row": np.arange(block.n_rows), "doc_id": ids.values, "held_out": ~block.train,
