@@ -27,9 +27,10 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 250_000
 LONG_PIECE = 64
 MATRIX_CELLS = 1 << 18
+ROWS_A_STEP = 256
 _NO_RANK = np.int64(1) << 40
 
 
@@ -192,7 +193,7 @@ class Codec:
             i = j
         return out
 
-    def encode_batch(self, texts: list[str], batch_chars: int = 1 << 22) -> Iterator[bytes]:
+    def encode_batch(self, texts: list[str], batch_chars: int = 1 << 20) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         i = 0
         while i < len(texts):
@@ -234,7 +235,9 @@ def _mapped(docs: DataFrame, ranks_path: str, pattern: str, make, schema) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(name, pattern)
         for batch in batches:
-            yield make(codec, batch)
+            for first in range(0, batch.num_rows, ROWS_A_STEP):
+                yield make(codec, batch.slice(first, ROWS_A_STEP))
+        codec.cache = {}  # the worker may serve other work next
 
     return docs.mapInArrow(run, schema)
 
