@@ -12,7 +12,7 @@ ones by back-propagation and Adam, and the choice is made again. A fifth of the
 is kept apart for the final logistic scale. Rows held out (crc32 of the id, mod 3, is 1)
 are never learnt from. Only the text is an input.
 
-Defined cases: null and wordless texts are one empty window; without both classes
+Defined cases: null and wordless texts are one empty window, which scores next to 0; without both classes
 among the labels every score is the share of label 1 (0 without labels); rows with
 a null id are never held out.
 """
@@ -37,9 +37,10 @@ MAX_FIT_BYTES = 1 << 16
 REJECT = 0.7
 SMOOTH = 6.0
 LEAST_STEPS = 150
+EMPTY_LOGIT = -30.0
 #: A column of this name in the documents is replaced.
 SCORE = "_barloom_toxicity"
-BLOCK_WINDOWS = 8192
+BLOCK_WINDOWS = 2048
 _FEATURES = 1 + len(PREFIXES) + len(SUFFIXES)
 
 
@@ -201,6 +202,7 @@ class Texts:
         for a in range(0, len(out), BLOCK_WINDOWS):
             which = np.arange(a, min(a + BLOCK_WINDOWS, len(out)))
             out[which] = net.forward(x, *self.window(which))
+        out[self.size == 0] = EMPTY_LOGIT
         return out
 
     def highest(self, logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
