@@ -2,7 +2,10 @@
 
 A page is read once by a tag pattern into a flat tree (parents before children).
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are cut by element, role and class. Every block with text of its own
+reader comments are cut by element, role and class. A class, an id or a form cuts no subtree that
+holds the article: its one article or main element, or most of the page's unlinked text
+(for names that say plainly what they are, nearly all of it; for reader comments, only
+the element counts). Every block with text of its own
 passes points for its length and its commas, discounted by the share of link text,
 to the container around it, half of them to the next, and less further up. The container
 with the most points after its own link discount is kept, with those siblings that
@@ -47,6 +50,18 @@ CUT_WORDS = frozenset(
     "recirculation trending outbrain taboola skip search searchbox hidden".split()
 )
 CUT_HEADER_WORDS = frozenset("header head toolbar".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
+#: Words before and after a cut word that tell of a layout or a state, not of what the element is.
+LAYOUT_BEFORE = frozenset("has no with without".split())
+LAYOUT_AFTER = frozenset("open closed enabled disabled on off xs sm md lg xl mobile phone tablet desktop print".split())
+#: Words that leave a cut word what it is ("comment-list", "sidebar-inner").
+PART_WORDS = frozenset(
+    "list lists area section sections box block blocks container wrapper wrap inner outer content body item items text title "
+    "bar group holder panel links posts articles stories".split()
+)
+#: Cuts that may hold the article: forms, and names in classes and ids by how plain they are.
+FORM_TAGS = frozenset("form fieldset".split())
+HARD, LOOSE, PLAIN, COMMENT = 1, 2, 3, 4
 #: Elements that a class never cuts.
 KEEP_TAGS = frozenset("html body article main p".split())
 CLOSES = {
@@ -80,10 +95,14 @@ _STOP = re.compile(r"[.!?。！？][\"'”’)]*$")
 
 
 class Page:
-    """The flat tree of one page: for each node its tag, parent and cut flag; texts in page order."""
+    """The flat tree of one page: for each node its tag, parent, names and cut; texts in page order."""
 
     def __init__(self, html: str):
-        self.tag, self.parent, self.cut = ["#root"], [0], [False]
+        self.tag, self.parent, self.names = ["#root"], [0], [""]
+        #: what cuts the node itself, 0 for nothing; HARD is passed on to all below
+        self.cut = [0]
+        #: article and main elements whose own names say that they are something else
+        self.misnamed: set[int] = set()
         #: (node, text) in page order; text None marks a border between blocks
         self.flow: list[tuple[int, str | None]] = []
         self._open = [0]
@@ -113,7 +132,7 @@ class Page:
                     self._end(name)
 
     def _text(self, text: str) -> None:
-        if not self.cut[self._open[-1]]:
+        if self.cut[self._open[-1]] != HARD:
             self.flow.append((self._open[-1], unescape(text) if "&" in text else text))
 
     def _start(self, name: str, attributes: str) -> None:
@@ -131,7 +150,8 @@ class Page:
         node = len(self.tag)
         self.tag.append(name)
         self.parent.append(top)
-        self.cut.append(self.cut[top] or self._is_cut(name, attributes))
+        self.names.append("")
+        self.cut.append(HARD if self.cut[top] == HARD else self._cut_by(name, attributes, node))
         self._open.append(node)
         self._count[name] = self._count.get(name, 0) + 1
         if name in BLOCK:
@@ -167,27 +187,96 @@ class Page:
             if len(self._open) == before:
                 return
 
-    def _is_cut(self, name: str, attributes: str) -> bool:
-        if name in CUT_TAGS:
-            return True
+    def _cut_by(self, name: str, attributes: str, node: int) -> int:
+        if name in CUT_TAGS and name not in FORM_TAGS:
+            return HARD
+        found = LOOSE if name in FORM_TAGS else 0
         in_article = bool(self._count.get("article"))
         if name == "header" and not in_article:
-            return True
+            return HARD
         if not attributes or attributes.isspace():
-            return False
+            return found
         for m in _ATTRIBUTE.finditer(attributes):
             key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
             if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-                return True
-            if key == "role" and CUT_ROLES.intersection(value.lower().split()):
-                return True
+                return HARD
+            if key == "role" and (roles := CUT_ROLES.intersection(value.lower().split())):
+                if roles != {"form"}:
+                    return HARD
+                found = max(found, LOOSE)
             if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-                return True
-            if key in ("class", "id") and name not in KEEP_TAGS:
-                words = {w.lower() for w in _WORD.findall(value)}
-                if words & CUT_WORDS or (not in_article and words & CUT_HEADER_WORDS):
-                    return True
-        return False
+                return HARD
+            if key in ("class", "id"):
+                if key == "class":
+                    self.names[node] = value
+                for token in value.split():
+                    kind = _named(token, in_article)
+                    if name not in KEEP_TAGS:
+                        found = max(found, kind)
+                    elif kind:
+                        self.misnamed.add(node)
+        return found
+
+
+def _named(token: str, in_article: bool) -> int:
+    """What one name of a class or id cuts by; 0 if it is no cut."""
+    words = [w.lower() for w in _WORD.findall(token)]
+    found = 0
+    for k, w in enumerate(words):
+        if w not in CUT_WORDS and (in_article or w not in CUT_HEADER_WORDS):
+            continue
+        if (k and words[k - 1] in LAYOUT_BEFORE) or (k + 1 < len(words) and words[k + 1] in LAYOUT_AFTER):
+            continue
+        if w in COMMENT_WORDS:
+            return COMMENT
+        plain = all(v in CUT_WORDS or v in CUT_HEADER_WORDS or v in PART_WORDS for v in words)
+        found = PLAIN if plain else LOOSE
+    return found
+
+
+def _gone(page: Page) -> list[bool]:
+    """For each node whether it is cut, once those cuts are undone that hold the article."""
+    tag, parent, cut = page.tag, page.parent, page.cut
+    n = len(tag)
+    # HARD is passed on while the page is read; everything else only counts for what is below
+    soft = [c if c > HARD else 0 for c in cut]
+    if not any(soft):
+        return [c == HARD for c in cut]
+    linked, in_comment, under = [False] * n, [False] * n, [False] * n
+    for i in range(1, n):
+        linked[i] = tag[i] == "a" or linked[parent[i]]
+        in_comment[i] = soft[i] == COMMENT or in_comment[parent[i]]
+        under[i] = bool(soft[i]) or under[parent[i]]
+    #: unlinked text, all of it and without comments, of each subtree
+    every, size = [0] * n, [0] * n
+    outside = 0
+    for node, text in page.flow:
+        if text is not None and not linked[node]:
+            k = sum(map(len, text.split()))
+            every[node] += k
+            if not in_comment[node]:
+                size[node] += k
+            if not under[node]:
+                outside += k
+    for i in range(n - 1, 0, -1):
+        every[parent[i]] += every[i]
+        size[parent[i]] += size[i]
+    articles = [i for i in range(1, n) if tag[i] in ("article", "main") and cut[i] != HARD and i not in page.misnamed and every[i]]
+    if articles and all(under[i] for i in articles):
+        # an article that is cut as a whole: the longest one, if it is more than what is not cut
+        top = max(articles, key=lambda i: every[i])
+        if every[top] > outside:
+            while top:
+                soft[top] = 0
+                top = parent[top]
+    total = size[0]
+    for i in range(1, n):
+        if (soft[i] == LOOSE and 2 * size[i] > total) or (soft[i] == PLAIN and 10 * size[i] > 9 * total):
+            soft[i] = 0
+    gone = [False] * n
+    for i in range(1, n):
+        gone[i] = cut[i] == HARD or bool(soft[i]) or gone[parent[i]]
+    return gone
 
 
 def main_text(html: str) -> str:
@@ -195,6 +284,8 @@ def main_text(html: str) -> str:
     page = Page(html)
     tag, parent = page.tag, page.parent
     n = len(tag)
+    gone = _gone(page)
+    page.flow = [(node, text) for node, text in page.flow if text is None or not gone[node]]
     # the block each node's text belongs to, and whether it stands in a link
     block, linked = [0] * n, [False] * n
     for i in range(1, n):

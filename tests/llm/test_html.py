@@ -41,6 +41,32 @@ def test_cases(html, text):
     assert main_text(html) == text
 
 
+BODY = "<h1>Title</h1><p>The first paragraph, of some length, with commas.</p><p>The second one, which is as long, or longer.</p>"
+TEXT = "Title\nThe first paragraph, of some length, with commas.\nThe second one, which is as long, or longer."
+REST = '<div class=sidebar><p>Side text, short.</p></div><div class="comment-list"><p>A comment, of a reader, here.</p></div>'
+
+
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "<div class='site has-sidebar'>", "<div class=no-sidebar>", "<div class=hasSidebar>", "<div class='post comments-open'>",
+        "<div class='hidden-xs'>", "<div class='social-post'>", "<form action=x>", "<form><div class=layout-with-nav>", "<div class=overlay>",
+    ],
+)
+def test_wrappers_do_not_cut_the_article(wrapper):
+    end = "</form>" if wrapper.startswith("<form") else "</div>"
+    assert main_text(f"<body>{wrapper}<article>{BODY}</article>{REST}{end}</body>") == TEXT
+    assert main_text(f"<body>{wrapper}<div>{BODY}</div>{REST}{end}</body>") == TEXT
+
+
+def test_an_article_in_a_named_wrapper_outweighs_what_is_left_outside():
+    assert main_text(f"<body><div class=comments><article>{BODY}</article></div><p>Left over.</p></body>") == TEXT
+    # comments that are articles themselves stay cut
+    comments = "<div id=comments>" + "<article class=comment-body><p>A comment, by a reader, at length, here.</p></article>" * 9 + "</div>"
+    assert main_text(f"<body><div>{BODY}</div>{comments}</body>") == TEXT
+    assert main_text(f"<body><article>{BODY}</article>{comments.replace(' class=comment-body', '')}</body>") == TEXT
+
+
 def test_link_lists_lose_against_text():
     links = "".join(f"<p><a href=x>link number {i}, with, commas, and, words</a></p>" for i in range(20))
     assert main_text(f"<body><div>{links}</div><div><p>This is the text, of the page, as it is.</p><p>More of it, here.</p></div>") == (
