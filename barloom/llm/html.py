@@ -9,7 +9,10 @@ the element counts). Every block with text of its own
 passes points for its length and its commas, discounted by the share of link text,
 to the container around it, half of them to the next, and less further up. The container
 with the most points after its own link discount is kept, with those siblings that
-score like text; of it all blocks stay, whatever their length.
+score like text; of it all blocks stay, whatever their length. Without an article or main
+element the same holds for every level above: headings, lists and sections of little
+link text stay that stand next to what is kept, in an unbroken run; after it, those
+that are text blocks, sections of the same make, or end like a sentence.
 
 Defined cases: null, empty or textless pages give an empty text; unclosed and
 stray tags are repaired as browsers do it for paragraphs, list items and table
@@ -77,6 +80,8 @@ CLOSES = {
 }
 #: Elements that can hold an article; points go to the nearest of them.
 CONTAINERS = frozenset("#root html body main article section div td center fieldset details".split())
+#: Blocks of running text.
+TEXT_TAGS = frozenset("p pre blockquote ul ol dl table h1 h2 h3 h4 h5 h6 figure".split())
 #: Elements out of which an implied end never reaches.
 FENCES = frozenset("ul ol dl table html body article section div main aside nav header footer form blockquote".split())
 
@@ -279,6 +284,39 @@ def _gone(page: Page) -> list[bool]:
     return gone
 
 
+def _add_neighbours(page: Page, best: int, score, own, all_size, density, last_text, chosen: set[int]) -> None:
+    """Adds to ``chosen``, level by level above ``best``, what belongs to the same text."""
+    tag, parent = page.tag, page.parent
+    children: dict[int, list[int]] = {}
+    ends_in = [bool(t and _STOP.search(t)) for t in last_text]
+    for i in range(len(tag) - 1, 0, -1):
+        children.setdefault(parent[i], []).append(i)
+        # the last text of a subtree stands in its last block with text
+        if all_size[i] and not last_text[parent[i]]:
+            last_text[parent[i]], ends_in[parent[i]] = last_text[i], ends_in[i]
+    enough = 0.2 * score[best]
+    at = best
+    while at:
+        up = parent[at]
+        row = [i for i in reversed(children[up]) if all_size[i] or i == at]
+        middle = row.index(at)
+        like = [density[i] < 0.25 for i in row]
+        take = {middle} | {k for k, i in enumerate(row) if score[i] + own[i] >= enough and density[i] < 0.5}
+        make = (tag[at], page.names[at])
+        take |= {k for k, i in enumerate(row) if like[k] and page.names[i] and (tag[i], page.names[i]) == make}
+        # all that reads as text between two that stay, before the first, and after the last
+        first, last = min(take), max(take)
+        take |= {k for k in range(first, last) if like[k]}
+        while first and like[first - 1]:
+            first -= 1
+            take.add(first)
+        while last + 1 < len(row) and like[last + 1] and (tag[row[last + 1]] in TEXT_TAGS or ends_in[row[last + 1]]):
+            last += 1
+            take.add(last)
+        chosen.update(row[k] for k in take if row[k] != at)
+        at = up
+
+
 def main_text(html: str) -> str:
     """The article of one page, its blocks joined by line feeds."""
     page = Page(html)
@@ -307,6 +345,7 @@ def main_text(html: str) -> str:
             if linked[node]:
                 links[b] += len(text)
     points = [0.0] * n
+    loose: set[int] = set()
     all_size, all_links = size[:], links[:]
     for i in range(n - 1, 0, -1):
         all_size[parent[i]] += all_size[i]
@@ -333,7 +372,7 @@ def main_text(html: str) -> str:
             node = parent[node]
         best = node or best
         chosen = {best}
-        if best:
+        if node:
             enough = max(10.0, 0.2 * score[best])
             for i in range(1, n):
                 if parent[i] == parent[best] and i != best:
@@ -343,6 +382,14 @@ def main_text(html: str) -> str:
                     )
                     if score[i] + own[i] >= enough or text_like:
                         chosen.add(i)
+        elif best:
+            _add_neighbours(page, best, score, own, all_size, density, last_text, chosen)
+            # text that stands between the blocks of a level that is kept in part
+            up = best
+            while up:
+                up = parent[up]
+                if 4 * links[up] < size[up]:
+                    loose.add(up)
     kept = [False] * n
     for i in range(n):
         kept[i] = i in chosen or (i > 0 and kept[parent[i]])
@@ -353,7 +400,7 @@ def main_text(html: str) -> str:
             if open_:
                 blocks.append(" ".join("".join(open_).split()))
                 open_ = []
-        elif kept[node]:
+        elif kept[node] or block[node] in loose:
             open_.append(text)
     if open_:
         blocks.append(" ".join("".join(open_).split()))

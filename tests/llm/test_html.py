@@ -67,6 +67,26 @@ def test_an_article_in_a_named_wrapper_outweighs_what_is_left_outside():
     assert main_text(f"<body><article>{BODY}</article>{comments.replace(' class=comment-body', '')}</body>") == TEXT
 
 
+LONG = "<p>" + "A sentence, of some words, that goes on, and on. " * 8 + "</p>"
+SECTIONS = [
+    ("<div class=post><h1>Head</h1><div class=entry>{0}{0}</div></div>", "Head {0} {0}"),
+    ("<div class=page><h1>Head</h1><div class=post><h2>Sub</h2><div class=entry>{0}</div></div></div>", "Head Sub {0}"),
+    ("<div><h1>Head</h1><div>{0}{0}{0}</div><h2>Two</h2><div><p>Short.</p><p>And short.</p></div><ul><li>one</li></ul><div>{0}</div></div>",
+     "Head {0} {0} {0} Two Short. And short. one {0}"),
+    ("<div><div class=s><h2>One</h2><div>{0}{0}{0}</div></div><div class=s><h2>Two</h2><p>Short, one.</p><p>Short two</p></div></div>",
+     "One {0} {0} {0} Two Short, one. Short two"),
+    ("<div>Lead text here.<div>{0}</div></div>", "Lead text here. {0}"),
+    ("<div><div>{0}{0}</div><div><p>An end, in short.</p></div></div>", "{0} {0} An end, in short."),
+]
+
+
+@pytest.mark.parametrize("html, text", SECTIONS)
+def test_pages_of_divs_keep_their_headings_lists_and_sections(html, text):
+    menu = "<div><ul><li><a href=a>Home</a></li><li><a href=b>News, here</a></li></ul></div>"
+    got = main_text(f"<body>{menu}{html.format(LONG)}{menu}<div class=footer>All rights.</div></body>")
+    assert " ".join(got.split()) == " ".join(text.format(LONG[3:-4]).split())
+
+
 def test_link_lists_lose_against_text():
     links = "".join(f"<p><a href=x>link number {i}, with, commas, and, words</a></p>" for i in range(20))
     assert main_text(f"<body><div>{links}</div><div><p>This is the text, of the page, as it is.</p><p>More of it, here.</p></div>") == (
