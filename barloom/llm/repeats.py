@@ -52,15 +52,15 @@ ROW = [KEY, MARK]
 
 
 def _marks(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """A 32-bit hash of each text; with the id it names a row."""
+    """A 64-bit hash of each text; with the key it names a row."""
     data = raw.tobytes()
-    found = [xxhash.xxh32_intdigest(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    return np.array(found, dtype=np.uint32).view(np.int32)
+    found = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+    return np.array(found, dtype=np.uint64).view(np.int64)
 
 
 def _key() -> F.Column:
-    """The id as a number that is never null."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    """The id as a number; without one another hash of the text, so that 128 bits name the row."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
@@ -91,7 +91,7 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
                     )
 
     rows = docs.select(_key().alias(KEY), "text")
-    return rows.mapInArrow(cut, f"{KEY} long, {MARK} int, at long, n int, anchor long, segment long")
+    return rows.mapInArrow(cut, f"{KEY} long, {MARK} long, at long, n int, anchor long, segment long")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -99,7 +99,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     rest = [c for c in docs.columns if c != "text"]
     fields = [f for f in docs.schema.fields if f.name != "text"]
     shape = T.StructType(
-        [T.StructField(KEY, T.LongType()), T.StructField(MARK, T.IntegerType()), *fields,
+        [T.StructField(KEY, T.LongType()), T.StructField(MARK, T.LongType()), *fields,
          T.StructField("_br_size", T.LongType()), T.StructField("_br_sha", T.StringType()), T.StructField(PACKED, T.BinaryType())]
     )
 

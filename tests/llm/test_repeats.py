@@ -61,6 +61,18 @@ def test_texts_longer_than_a_block(make_docs, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 200)
 
 
+def test_rows_of_one_id_whose_texts_share_a_short_hash(make_docs):
+    """Two texts of equal 32-bit hash, one with a repeated passage, under one id and without id."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    passage, other = text(60), text(20)
+    hashes = {R.xxhash.xxh32_intdigest(f"{passage}{i}"): i for i in range(200_000)}
+    i, j = next((hashes[h], j) for j in range(400_000) if (h := R.xxhash.xxh32_intdigest(f"{other}{j}")) in hashes)
+    rows = [(k, t) for k in (None, 7) for t in (f"{passage}{i}", f"{other}{j}")] + [(1, "x" + passage)]
+    got = R._cut(make_docs(rows), 40, 1 << 20, whole=False).select("doc_id", "_br_size", "_br_removed", "_br_runs", "_br_sha")
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, 40)
+
+
 def test_cut_texts(make_docs):
     passage = "é" * 30 + "".join(chr(97 + i % 26) for i in range(200))
     rows = [(1, "left " + passage + " right"), (2, passage + "."), (3, "alone"), (4, None)]
