@@ -17,8 +17,8 @@ With 32 bands of 4 values a pair at similarity 0.8 shares no bucket with probabi
 
 Defined cases: null or wordless texts have empty sets, link with nothing, and are
 their own group; a text of fewer words than a shingle is one shingle; repeated rows
-and equal ids are rows of the same class; a null id never is a group's name unless
-all ids of the group are null. Columns of the documents pass through untouched.
+are rows of the same class, equal ids on different texts are not; rows without id link like
+others, but a null id never is a group's name unless all ids of the group are null. Columns of the documents pass through untouched.
 """
 
 from __future__ import annotations
@@ -42,6 +42,8 @@ SLOTS = 128
 BAND_WIDTH = 4
 BLOCK = 1000
 CHUNK = 1 << 20
+#: The row that stands for others: one with the smallest id.
+_FIRST_ROW = "min(struct(doc_id is null as lone, doc_id, mark))"
 
 
 def shingles(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -78,7 +80,7 @@ def _digests(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray
 
 
 def _signed(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, node (digest of the set) and the band hashes of every row."""
+    """doc_id, mark of the text, n_shingles, node (digest of the set) and the band hashes of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,19 +93,20 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(a, b - a),
+                        batch.column("mark").slice(a, b - a),
                         pa.array(size, pa.int64()),
                         pa.array(node, pa.string()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel())),
                     ],
-                    ["doc_id", "n_shingles", "node", "bands"],
+                    ["doc_id", "mark", "n_shingles", "node", "bands"],
                 )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, node string, bands array<long>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    return rows.mapInArrow(run, "doc_id long, mark long, n_shingles long, node string, bands array<long>")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """(node, set) of the classes in ``nodes`` (node, doc_id), from one document of each."""
+    """(node, set) of the classes in ``nodes`` (node, doc_id, mark), from one document of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,10 +120,13 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                     [pa.array(node, pa.string()), pa.ListArray.from_arrays(pa.array(ends), pa.array(hashes.view(np.int64)))],
                     ["node", "set"],
                 )
-                # another text under the same id is another class
+                # another text of the same id and mark is another class
                 yield made.filter(pa.array([x == y for x, y in zip(node, asked.to_pylist())], pa.bool_()))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(nodes, "doc_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    # copies without id have one name; one of them is enough
+    lone = rows.filter("doc_id is null").distinct().join(nodes.filter("doc_id is null").drop("doc_id"), "mark")
+    rows = rows.join(nodes, ["doc_id", "mark"]).select("node", "text").unionByName(lone.select("node", "text"))
     return rows.select("node", "text").mapInArrow(run, "node string, set array<long>").dropDuplicates(["node"])
 
 
@@ -194,20 +200,18 @@ def _stray_links(members: DataFrame, roots: DataFrame, sets: DataFrame, percent:
     return dealt.groupBy("bucket", "i", "j").applyInPandas(_block_links(percent), "a string, b string")
 
 
-def groups(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
-
-    Rows link when 100 * |intersection| >= percent * |union| of their shingle sets.
-    """
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, mark, n_shingles, root (null for an empty set) and component_id of every row of ``docs``."""
     signed = stored(_signed(docs, width), "signed")
+    # a row with the smallest id stands for a class, one without id only if there is no other
     classes = signed.filter("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")
+        F.expr(_FIRST_ROW).alias("row"), F.first("bands").alias("bands")
     )
-    classes = stored(classes, "classes")
+    classes = stored(classes.select("node", "row.doc_id", "row.mark", "bands"), "classes")
     put = classes.select(F.explode("bands").alias("bucket"), "node")
     shared = put.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).filter("n > 1")
     members = stored(put.join(shared, "bucket").select("bucket", "node", "first", "n"), "buckets")
-    sets = stored(_sets(docs, classes.join(members.select("node").distinct(), "node").select("node", "doc_id"), width), "sets")
+    sets = stored(_sets(docs, classes.join(members.select("node").distinct(), "node").select("node", "doc_id", "mark"), width), "sets")
 
     pairs = members.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     roots = stored(components(_star_links(pairs, sets, percent)), "roots")
@@ -217,14 +221,23 @@ def groups(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCE
 
     named = classes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    by_class = named.join(names, "root").select("node", "component_id")
+    by_class = named.join(names, "root").select("node", "root", "component_id")
     return (
         signed.join(by_class, "node", "left")
         .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
-        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        .select("doc_id", "mark", "n_shingles", "root", "component_id")
     )
 
 
+def groups(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``.
+
+    Rows link when 100 * |intersection| >= percent * |union| of their shingle sets.
+    """
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+    return _grouped(docs, width, percent).select("doc_id", "n_shingles", "component_id", kept)
+
+
 def deduplicate(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCENT) -> DataFrame:
     """One row of each group, its smallest doc_id; rows of equal id and text count once."""
     found = stored(groups(docs, width, percent), "groups")

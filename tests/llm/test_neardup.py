@@ -74,6 +74,19 @@ def test_a_stray_joins_through_a_copy_that_is_not_first(make_docs):
     assert {r.component_id for r in N.groups(make_docs(rows), 5).collect()} == {0}
 
 
+def test_near_copies_without_id_link(make_docs):
+    """Alone, next to ids, and as the bridge between two ids that are no near copies themselves."""
+    rng = random.Random(4)
+    text = lambda: [f"w{rng.randrange(9000)}" for _ in range(200)]
+    lone, chain = text(), text()
+    changed = lambda ws, *at: " ".join("new" + w if k in at else w for k, w in enumerate(ws))
+    rows = [(None, changed(lone)), (None, changed(lone, 50)), (None, changed(lone, 50)), (None, changed(text()))]
+    rows += [(1, changed(chain, 20, 40)), (None, changed(chain)), (2, changed(chain, 120, 140, 160)), (3, changed(text()))]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in N.groups(make_docs(rows), 5).collect()), key=str)
+    assert got == brute(rows, 5)
+    assert (2, 196, 1, False) in got
+
+
 def test_deduplicate_keeps_one_row_a_group(make_docs):
     docs = make_docs(ODD_ROWS).withColumn("lang", F.lit("en"))
     out = N.deduplicate(docs)
