@@ -2,7 +2,9 @@
 
 A token's input is the sum of a word embedding and of embeddings of its first and
 last characters, for all that occur twice among the texts it was fitted on; one
-dimension starts from the class log-odds of the feature, the rest at random. Windows of ``WINDOW`` tokens overlap by a quarter; all
+dimension starts from the class log-odds of the feature, the rest at random. A token whose
+ends do not cover it (a sentence in a script without spaces, glued words) is followed by
+its overlapping pieces, one from every character on, so every byte is seen. Windows of ``WINDOW`` tokens overlap by a quarter; all
 windows of a text are scored and the highest one is the text's.
 
 Fitting: at most ``max_fit_rows`` labelled texts a class (smallest hash of the id, texts
@@ -32,6 +34,8 @@ from . import arrays as A
 WINDOW, STRIDE = 32, 24
 HIDDEN, INPUT = 8, 8
 PREFIXES, SUFFIXES = (3, 4, 5, 6), (3, 4)
+#: Bytes that the ends of a token cover, and bytes of a piece of a longer one.
+LONG, PIECE = 10, 6
 MAX_FIT_ROWS = 2500
 MAX_FIT_BYTES = 1 << 16
 REJECT = 0.7
@@ -41,9 +45,26 @@ EMPTY_LOGIT = -30.0
 #: A column of this name in the documents is replaced.
 SCORE = "_barloom_toxicity"
 BLOCK_WINDOWS = 2048
+BLOCK_WORDS = 1 << 17
 _FEATURES = 1 + len(PREFIXES) + len(SUFFIXES)
 
 
+def _with_pieces(buffer: np.ndarray, start: np.ndarray, end: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The spans, each of more than ``LONG`` bytes followed by its pieces; a piece starts at a character."""
+    long = np.flatnonzero(end - start > LONG)
+    size = end[long] - start[long]
+    owner = np.repeat(long, size)
+    at = np.arange(len(owner)) + np.repeat(start[long] - np.cumsum(size) + size, size)
+    first = (buffer[at] & 0xC0) != 0x80
+    owner, at = owner[first], at[first]
+    # the last piece is the first one to reach the end
+    need = (at > start[owner]) & (np.append(0, at[:-1])[: len(at)] + PIECE < end[owner])
+    owner, at = owner[need], at[need]
+    order = np.argsort(np.concatenate([np.arange(len(start)), owner]), kind="stable")
+    ends = np.concatenate([end, np.minimum(at + PIECE, end[owner])])
+    return np.concatenate([start, at])[order], ends[order], np.concatenate([row, row[owner]])[order]
+
+
 def _features(buffer: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place of each token's word, feature hashes of each distinct word) in a padded buffer."""
     hashes = A.span_hashes(buffer, start, end)
@@ -179,7 +200,7 @@ class Texts:
     def __init__(self, raw: np.ndarray, offsets: np.ndarray):
         rows = len(offsets) - 1
         buffer = A.padded(raw, lower=True)
-        start, end, row = A.spans(A.ALNUM[buffer[: len(raw)]], offsets)
+        start, end, row = _with_pieces(buffer, *A.spans(A.ALNUM[buffer[: len(raw)]], offsets))
         self.place, self.features = _features(buffer, start, end)
         if not len(self.features):  # the empty window points to some word and masks it
             self.features = np.zeros((1, _FEATURES), np.uint64)
@@ -197,11 +218,17 @@ class Texts:
 
     def logits(self, net: Network) -> np.ndarray:
         """Of every window."""
-        x = net.inputs(net.rows(self.features))
+        few = len(self.features) <= BLOCK_WORDS
+        x = net.inputs(net.rows(self.features)) if few else None
         out = np.empty(len(self.text), np.float32)
         for a in range(0, len(out), BLOCK_WINDOWS):
             which = np.arange(a, min(a + BLOCK_WINDOWS, len(out)))
-            out[which] = net.forward(x, *self.window(which))
+            at, mask = self.window(which)
+            if not few:  # the words of the block only
+                words, at = np.unique(at, return_inverse=True)
+                at = at.reshape(mask.shape)
+                x = net.inputs(net.rows(self.features[words]))
+            out[which] = net.forward(x, at, mask)
         out[self.size == 0] = EMPTY_LOGIT
         return out
 

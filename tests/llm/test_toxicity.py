@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from barloom.llm import toxicity as X
@@ -82,6 +83,44 @@ def test_held_out_accuracy(spark, make_docs):
     assert by[1] > 0.7 and by[1] > by[2]
 
 
+def test_every_byte_of_a_long_run_is_in_a_short_token():
+    for text in ("日本語の文章" * 50, "abcdefghijklmnopq", "😀" * 9, "ไทย" * 7, "ab é" + "x" * 11):
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        buffer = X.A.padded(raw)
+        start, end, row = X._with_pieces(buffer, *X.A.spans(X.A.ALNUM[raw], np.array([0, len(raw)])))
+        seen = np.zeros(len(raw), bool)
+        for a, b in zip(start, end):
+            if b - a <= X.LONG:
+                seen[a:b] = True
+            else:  # only its ends
+                seen[a : a + 6] = seen[b - 4 : b] = True
+        assert (seen | (raw == 32)).all() and (np.diff(row) >= 0).all()
+    assert [len(a) for a in X._with_pieces(np.zeros(8, np.uint8), *[np.zeros(0, np.int64)] * 3)] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("letters, phrase", [("日本語の文章今天気良行来食飲見聞", "毒物死ね"), ("abcdefgh", "nastyword")])
+def test_a_phrase_in_the_middle_of_an_unspaced_run(monkeypatch, letters, phrase):
+    rng = random.Random(6)
+    run = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    texts, y = [], []
+    for i in range(600):
+        toxic = i % 3 == 0
+        texts.append(run(rng.randrange(20, 60)) + (phrase if toxic else run(4)) + run(rng.randrange(20, 60)))
+        y.append(float(toxic))
+    net = X.train([t.encode() for t in texts[:400]], np.array(y[:400]))
+    raw = [t.encode() for t in texts[400:]]
+
+    def verdicts():
+        data = X.Texts(np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum([0, *map(len, raw)]))
+        best, _ = data.highest(data.logits(net))
+        return X._sigmoid(net.scale[0] * best + net.scale[1])
+
+    found = verdicts()
+    assert ((found >= X.REJECT) == np.array(y[400:])).mean() > 0.95
+    monkeypatch.setattr(X, "BLOCK_WORDS", 10)
+    assert np.allclose(found, verdicts(), atol=1e-5)
+
+
 def test_odd_rows_and_missing_classes(spark, make_docs):
     docs = make_docs(ODD_ROWS, extra=True)
     none = spark.createDataFrame([], "doc_id long, toxic int")
