@@ -10,6 +10,7 @@ from .katz import op1_katz
 from .neardup import ORACLE_OP3, op3_near_duplicates
 from .quality import op5_quality
 from .repeats import ORACLE_OP7, op7_repeats
+from .runs import op13_periodic_runs
 from .toxicity import op9_toxicity
 from .warc import ORACLE_OP4, op4_warc
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
     "op2_decontamination": ORACLE_OP2,
