@@ -8,6 +8,7 @@ from .decontam import ORACLE_OP2, op2_decontamination
 from .html import op10_html
 from .katz import op1_katz
 from .neardup import ORACLE_OP3, op3_near_duplicates
+from .phrases import ORACLE_OP11, op11_collocations
 from .quality import op5_quality
 from .repeats import ORACLE_OP7, op7_repeats
 from .runs import op13_periodic_runs
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
+    "op11_collocations": op11_collocations,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
@@ -33,4 +35,5 @@ ORACLE = {
     "op4_warc": ORACLE_OP4,
     "op6_chat_formatting": ORACLE_OP6,
     "op7_repeats": ORACLE_OP7,
+    "op11_collocations": ORACLE_OP11,
 }
