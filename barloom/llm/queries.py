@@ -9,6 +9,7 @@ from .html import op10_html
 from .katz import op1_katz
 from .neardup import ORACLE_OP3, op3_near_duplicates
 from .phrases import ORACLE_OP11, op11_collocations
+from .pii import op12_personal_data
 from .quality import op5_quality
 from .repeats import ORACLE_OP7, op7_repeats
 from .runs import op13_periodic_runs
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_html": op10_html,
     "op11_collocations": op11_collocations,
+    "op12_personal_data": op12_personal_data,
     "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE = {
