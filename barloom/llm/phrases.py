@@ -50,7 +50,10 @@ SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
-COUNT_ENTRIES = 1 << 22
+COUNT_BYTES = 8 << 20
+STEP = 1 << 18
+RANGE_BITS = 3
+RANGES = 1 << RANGE_BITS
 
 _PLAIN = bytes(range(256)).translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" "))
 _BLANKS = re.compile(rb"  +")
@@ -105,76 +108,85 @@ def piece_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
 
 
 class _Words:
-    """The words of some blocks and the hashes of all phrases, length by length."""
+    """The words of some blocks and the hashes of all phrases, length by length; ``ways`` independent hashes."""
 
-    def __init__(self, data: bytes, both: bool = True):
+    def __init__(self, data: bytes, ways: int = 2):
         self.data = data
         buffer = A.padded(np.frombuffer(data, dtype=np.uint8))
         ends = np.flatnonzero((buffer[: len(data)] == 32) | (buffer[: len(data)] == 10))
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
         self.last = buffer[ends] == 10
-        self.end = ends
-        self.start = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
-        self.words = [self._hashes(buffer)]
-        if both:
-            buffer[: len(data)] ^= _OTHER
-            self.words.append(self._hashes(buffer))
-
-    def _hashes(self, buffer: np.ndarray) -> np.ndarray:
-        parts = [
-            A.span_hashes(buffer, self.start[i : i + A.CHUNK_BYTES], self.end[i : i + A.CHUNK_BYTES])
-            for i in range(0, len(self.start), A.CHUNK_BYTES)
-        ]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        self.end = ends.astype(kind)
+        self.start = np.zeros(len(ends), kind)
+        self.start[1:] = self.end[:-1] + 1
+        self.words = []
+        for way in range(ways):
+            if way:
+                buffer[: len(data)] ^= _OTHER
+            self.words.append(np.empty(len(ends), np.uint64))
+            for i in range(0, len(ends), STEP):
+                part = slice(i, i + STEP)
+                self.words[way][part] = A.span_hashes(buffer, self.start[part].astype(np.int64), self.end[part].astype(np.int64))
 
     def lengths(self, longest: int) -> Iterator[tuple[int, list[np.ndarray], np.ndarray]]:
-        """(k, running hashes of the k words from every place, places that are in one piece)."""
+        """(k, running hashes of the k words from every place, places that are in one piece).
+
+        The arrays change with the next length.
+        """
         keys = [w.copy() for w in self.words]
         inside = np.ones(len(self.start), bool)
         for k in range(1, longest + 1):
             yield k, keys, inside
             n = len(self.start) - k
-            if n <= 0:
+            if n <= 0 or k == longest:
                 return
             inside = inside[:n] & ~self.last[k - 1 : k - 1 + n]
-            keys = [A.mix(x[:n] * np.uint64(0xD6E8FEB86659FD93) ^ w[k:]) for x, w in zip(keys, self.words)]
+            keys = [x[:n] for x in keys]
+            for i in range(0, n, STEP):
+                for x, w in zip(keys, self.words):
+                    x[i : i + STEP] = A.mix(x[i : i + STEP] * np.uint64(0xD6E8FEB86659FD93) ^ w[k + i : k + i + STEP][: n - i])
+
+
+def _named(phrases: list[bytes], k: int) -> pa.Table:
+    """Both hashes of some phrases of ``k`` words."""
+    words = _Words(b"".join(p + b"\n" for p in phrases))
+    for size, keys, _ in words.lengths(k):
+        if size == k:
+            pair = [pa.array(x[::k].copy().view(np.int64)) for x in keys]
+    return pa.table([*pair, pa.array(phrases, pa.binary()).cast(pa.string())], ["h1", "h2", "phrase"])
 
 
 def _mine(support: int, longest: int):
-    """The locally frequent phrases of one shard."""
+    """The locally frequent phrases of one shard, sorted in ranges of hashes to save memory."""
 
     def mine(table: pa.Table) -> pa.Table:
-        shard = _Words(b"".join(x.as_py() for x in table.column("data")))
         lang, total = table.column("lang")[0].as_py(), table.column("n")[0].as_py()
-        own = len(shard.start)
-        bar = -(-support * own // total)
+        shard = _Words(b"".join(x.as_py() for x in table.column("data")), ways=1)
+        del table
+        bar = -(-support * len(shard.start) // total)
         found = []
         frequent = None
-        for k, (first, second), inside in shard.lengths(longest):
+        for k, (keys,), inside in shard.lengths(longest):
             if frequent is not None:
                 # both parts of k - 1 words must be frequent
                 inside = inside & frequent[: len(inside)] & frequent[1 : len(inside) + 1]
-            place = np.flatnonzero(inside)
-            key = first[place]
-            order = np.argsort(key)
-            key = key[order]
-            head = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
-            size = np.diff(np.append(head, len(key)))
-            often = size >= bar
             frequent = np.zeros(len(inside), bool)
-            frequent[place[order[np.repeat(often, size)]]] = True
-            one = place[order[head[often]]]
-            phrase = [shard.data[a:b] for a, b in zip(shard.start[one].tolist(), shard.end[one + k - 1].tolist())]
-            found.append(
-                pa.table(
-                    {
-                        "h1": pa.array(first[one].view(np.int64)),
-                        "h2": pa.array(second[one].view(np.int64)),
-                        "phrase": pa.array(phrase, pa.binary()).cast(pa.string()),
-                        "n": pa.array(size[often]),
-                    }
-                )
-            )
-        out = pa.concat_tables(found)
+            for part in range(RANGES):
+                place = np.flatnonzero(inside & (keys >> np.uint64(64 - RANGE_BITS) == part))
+                key = keys[place]
+                order = np.argsort(key)
+                key = key[order]
+                head = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
+                size = np.diff(np.append(head, len(key)))
+                often = size >= bar
+                frequent[place[order[np.repeat(often, size)]]] = True
+                one, size = place[order[head[often]]], size[often]
+                for i in range(0, len(one), STEP):
+                    first = one[i : i + STEP]
+                    spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
+                    named = _named([shard.data[a:b] for a, b in spans], k)
+                    found.append(named.append_column("n", pa.array(size[i : i + STEP])))
+        out = pa.concat_tables(found) if found else _named([b""], 1).append_column("n", pa.array([0])).slice(0, 0)
         for name, value, kind in (("bar", bar, pa.int64()), ("lang", lang, pa.string())):
             out = out.append_column(name, pa.repeat(pa.scalar(value, kind), len(out)))
         return out.select(["lang", "h1", "h2", "phrase", "n", "bar"])
@@ -209,7 +221,7 @@ def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
                 if lang in wanted:
                     held.setdefault(lang, []).append(data.as_py())
-                    if sum(map(len, held[lang])) >= 2 * COUNT_ENTRIES:
+                    if sum(map(len, held[lang])) >= COUNT_BYTES:
                         add(lang)
         for lang in list(held):
             add(lang)
