@@ -46,7 +46,7 @@ LONGEST = 4
 CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
-SHARD_BYTES = 32 << 20
+SHARD_BYTES = 16 << 20
 BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
@@ -171,8 +171,9 @@ def _mine(support: int, longest: int):
                 # both parts of k - 1 words must be frequent
                 inside = inside & frequent[: len(inside)] & frequent[1 : len(inside) + 1]
             frequent = np.zeros(len(inside), bool)
+            ranges = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.uint8)
             for part in range(RANGES):
-                place = np.flatnonzero(inside & (keys >> np.uint64(64 - RANGE_BITS) == part))
+                place = np.flatnonzero(inside & (ranges == part))
                 key = keys[place]
                 order = np.argsort(key)
                 key = key[order]
