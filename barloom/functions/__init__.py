@@ -1,6 +1,6 @@
 """Column expressions. Everything here stays inside the JVM; there are no UDFs."""
 
-from .dates import add_years, as_date_col, iso_week, iso_year, newest_date, period_start, since, year_month
+from .dates import add_years, as_date_col, iso_week, iso_year, newest_date, newest_dates, period_start, since, year_month
 from .numeric import (
     finite,
     haversine,
@@ -27,6 +27,7 @@ __all__ = [
     "lag_value",
     "ln_positive",
     "newest_date",
+    "newest_dates",
     "normalise_label",
     "null_blank",
     "or_zero",

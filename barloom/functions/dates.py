@@ -58,6 +58,18 @@ def newest_date(daily: DataFrame) -> Column:
     return daily.agg(F.max("date")).scalar()
 
 
+def newest_dates(daily: DataFrame, n: int = 2) -> DataFrame:
+    """The newest n distinct dates, from one pass over the date column.
+
+    In a table stored by month these lie in its newest n months, and only those are read.
+    """
+    if "ym" in daily.columns:
+        months = daily.select("ym").distinct().orderBy(F.desc("ym")).limit(n)
+        daily = daily.filter(F.col("ym") >= months.agg(F.min("ym")).scalar())
+    days = daily.filter(F.col("date").isNotNull()).select("date").distinct()
+    return days.orderBy(F.desc("date")).limit(n)
+
+
 def year_month(c: ColumnOrName) -> Column:
     """yyyyMM, the partition key of the stored tables."""
     return F.date_format(_col(c), "yyyyMM")

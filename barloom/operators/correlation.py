@@ -1,22 +1,19 @@
 """One-year correlations of daily log returns between two lists of tickers.
 
-The focal returns are laid out as one row per date and one column per focal
-ticker. That table is bounded by the calendar year times the focal list, so it
-can be broadcast; each universe row then meets one row of it and no pair of
+The focal returns are laid out as one row per date and block of focal tickers. That
+table is bounded by the calendar year times the focal list, so it can be
+broadcast; each universe row then meets one row of it a block and no pair of
 rows is ever emitted. The universe is aggregated where it is read.
 """
 
 from __future__ import annotations
 
-import re
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import as_date_col, or_zero, ratio, round_half_even, since
 
-#: Focal tickers a pass: its table has a column for each of them and a row a day.
+#: Focal tickers a block: one row of sums holds so many correlations.
 FOCAL_BLOCK = 100
 
 
@@ -54,39 +51,30 @@ def correlation_pairs(
 ) -> DataFrame:
     """(ticker_a, ticker_b, corr_1y, n_obs) for focal x universe with enough common days.
 
-    ``universe=None`` compares with every ticker of the table. Long focal lists
-    are taken block by block, each of which reads the year's rows once.
+    ``universe=None`` compares with every ticker of the table. The year is read once, however
+    long the focal list: a row a day and block of focal tickers holds their returns as an
+    array, and each universe row adds its products to one row of sums a block.
     """
+    spark = daily.sparkSession
     focal = list(dict.fromkeys(focal))
-    blocks = [focal[i : i + FOCAL_BLOCK] for i in range(0, len(focal), FOCAL_BLOCK)] or [[]]
-    pairs = [_block_pairs(daily, block, universe, as_of) for block in blocks]
-    return reduce(DataFrame.union, pairs).filter(F.col("n_obs") >= min_obs)
-
-
-def _block_pairs(
-    daily: DataFrame, focal: list[str], universe: list[str] | None, as_of
-) -> DataFrame:
-    names = {t: f"f{i}_{re.sub(r'[^A-Za-z0-9]', '_', t)}" for i, t in enumerate(focal)}
-    cells = [
-        F.max(F.when(F.col("ticker") == t, F.col("ret"))).alias(names[t]) for t in focal
-    ]
-    wide = log_returns(daily, focal, as_of).groupBy("date").agg(*cells)
-    joined = log_returns(daily, universe, as_of).join(F.broadcast(wide), "date")
-    stats = joined.groupBy(F.col("ticker").alias("ticker_b")).agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(t).alias("ticker_a"),
-                    _corr(names[t], "ret").alias("corr_1y"),
-                    F.count(names[t]).alias("n_obs"),
-                )
-                for t in focal
-            ]
-        ).alias("pairs")
-    )
-    return stats.select("ticker_b", F.inline("pairs")).select(
-        "ticker_a", "ticker_b", "corr_1y", "n_obs"
-    )
+    places = [(t, i // FOCAL_BLOCK, i % FOCAL_BLOCK) for i, t in enumerate(focal)]
+    index = spark.createDataFrame(places, "ticker_a string, block int, slot int")
+    read = None if universe is None else list(dict.fromkeys([*universe, *focal]))
+    # both sides are this frame, whose shuffle Spark makes once
+    returns = log_returns(daily.filter("ticker IS NOT NULL AND date IS NOT NULL"), read, as_of)
+    width = min(FOCAL_BLOCK, max(1, len(focal)))
+    slots = [F.max(F.when(F.col("slot") == j, F.col("ret"))) for j in range(width)]
+    # the index is the caller's list; the blocks have a row a day of one year for each hundred of it
+    wide = returns.join(F.broadcast(index), F.col("ticker") == F.col("ticker_a"))
+    wide = wide.groupBy("date", "block").agg(F.array(*slots).alias("focal"))
+    held = [F.col("focal")[j].alias(f"f{j}") for j in range(width)]
+    met = returns.join(F.broadcast(wide), "date").select("ticker", "ret", "block", *held)
+    cells = [F.struct(F.lit(j).alias("slot"), _corr(f"f{j}", "ret").alias("corr_1y"), F.count(f"f{j}").alias("n_obs")) for j in range(width)]
+    sums = met.groupBy(F.col("ticker").alias("ticker_b"), "block").agg(F.array(*cells).alias("cells"))
+    pairs = sums.select("ticker_b", "block", F.inline("cells")).filter(F.col("n_obs") >= min_obs)
+    if universe is not None and not set(focal) <= set(universe):
+        pairs = pairs.filter(F.col("ticker_b").isin(list(universe)))
+    return pairs.join(F.broadcast(index), ["block", "slot"]).select("ticker_a", "ticker_b", "corr_1y", "n_obs")
 
 
 def correlation_matrix(

@@ -188,6 +188,28 @@ def overlap_reload(old: DataFrame, new: DataFrame, windows: DataFrame) -> DataFr
     return old.join(w, inside, "left_anti").unionByName(new.select(*old.columns))
 
 
+def tagged_reload(
+    rows: DataFrame, fresh: str = "is_new", start: str = "start_date", end: str = "end_date"
+) -> DataFrame:
+    """The same over one frame of old and new rows, which is read once.
+
+    ``fresh`` tells new rows (true) from old ones (false); a row without it carries only
+    bounds. A ticker's window reaches from its smallest ``start`` to its largest
+    ``end``, on whatever rows they stand; its old rows inside go. One
+    aggregation by ticker gathers bounds and rows: a history has at most a row a day.
+    """
+    shown = [c for c in rows.columns if c not in (fresh, start, end)]
+    row = F.struct(F.col(fresh).alias("_new"), *shown)
+    gathered = rows.groupBy("ticker").agg(
+        F.min(start).alias("_start"),
+        F.max(end).alias("_end"),
+        F.collect_list(F.when(F.col(fresh).isNotNull(), row)).alias("_rows"),
+    )
+    inside = lambda r: r["date"].between(F.col("_start"), F.col("_end")) & r["ticker"].isNotNull()
+    kept = F.filter("_rows", lambda r: r["_new"] | ~F.coalesce(inside(r), F.lit(False)))
+    return gathered.select(F.inline(kept)).select(*shown)
+
+
 def backfill_reload(old: DataFrame, new: DataFrame) -> DataFrame:
     """Reload of whole histories: each ticker's window is what its new rows cover."""
     return overlap_reload(old, new, batch_windows(new))

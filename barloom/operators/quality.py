@@ -107,7 +107,13 @@ def equality(
     exclude_columns: list[str] | None = None,
     precision: int | None = None,
 ) -> DataFrame:
-    """Rows in one table and not in the other, tagged by direction."""
+    """Rows in one table and not in the other, tagged by direction.
+
+    Each pair of columns is compared by its types: decimals and whole numbers as decimals,
+    digit by digit, also beyond the 15 digits of a double (as text where no decimal
+    type holds both); two doubles, or a double and another number, as doubles. ``precision``
+    rounds either kind half up to that many digits behind the point. All else is compared as it is.
+    """
     if compare_columns and exclude_columns:
         raise ValueError("give compare_columns or exclude_columns, not both")
     if compare_columns:
@@ -120,21 +126,35 @@ def equality(
         if {c.lower() for c in columns} != theirs:
             raise ValueError("the tables have different columns")
 
-    def shape(side: DataFrame) -> DataFrame:
-        cells = []
-        for f in df.schema.fields:
-            if f.name not in columns:
-                continue
-            numeric = isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType))
-            c = F.col(f"`{f.name}`")
-            if precision is not None and numeric:
-                # A value too large to have digits behind the point stays as it is.
-                small = F.abs(c) < F.lit(10.0 ** (15 - precision))
-                c = F.when(small, F.round(c.try_cast("decimal(38,18)"), precision).cast("double")).otherwise(c.cast("double"))
-            cells.append(c.alias(f.name))
-        return side.select(*cells)
-
-    return _difference(shape(df), shape(other), columns)
+    types = {f.name.lower(): f.dataType for f in other.schema.fields}
+    mine = [f for f in df.schema.fields if f.name in columns]
+    shapes = [_comparable(f.dataType, types.get(f.name.lower(), f.dataType), precision) for f in mine]
+    cells = [shape(F.col(f"`{f.name}`")).alias(f.name) for f, shape in zip(mine, shapes)]
+    return _difference(df.select(*cells), other.select(*cells), columns)
+
+
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _comparable(mine: T.DataType, theirs: T.DataType, precision: int | None):
+    """The form of a column in which equal values of both types are equal, as a function of the column."""
+    kinds = (mine, theirs)
+    if any(isinstance(t, (T.DoubleType, T.FloatType)) for t in kinds):
+        return lambda c: c.cast("double") if precision is None else F.round(c.cast("double"), precision)
+    if not any(isinstance(t, T.DecimalType) for t in kinds):
+        return lambda c: c
+    sizes = [(t.precision, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE.get(type(t)), 0) for t in kinds]
+    if any(p is None for p, _ in sizes):
+        return lambda c: c
+    if precision is not None:
+        # rounding up may need one more digit before the point
+        sizes = [(p, s) if s <= precision else (p - s + 1 + precision, precision) for p, s in sizes]
+    scale = max(s for _, s in sizes)
+    digits = max(p - s for p, s in sizes) + scale
+    rounded = (lambda c: c) if precision is None else (lambda c: F.round(c, precision))
+    if digits <= 38:
+        return lambda c: rounded(c).cast(f"decimal({digits},{scale})")
+    return lambda c: F.regexp_replace(rounded(c).cast("string"), r"\.0*$|(\.[0-9]*?[1-9])0+$", "$1")
 
 
 def equal_rowcount(df: DataFrame, other: DataFrame, group_by: list[str] = ()) -> DataFrame:

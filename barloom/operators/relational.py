@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import operator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -81,10 +82,36 @@ def column_values(
 
 
 def pivot_values(df: DataFrame, column: str) -> list:
-    """All values of a column as a list, for use as pivot columns: one column each."""
+    """All values of a column as a list, for use as pivot columns: one column each.
+
+    For columns with many values use ``pivot_map``, which needs no list.
+    """
     return [r.value for r in column_values(df, column).collect()]
 
 
+def pivot_map(
+    df: DataFrame, keys: list[str], column: str, cell: Column, cells: str = "cells", most: int = 10_000
+) -> DataFrame:
+    """One map from value to aggregate per key, for columns whose values are not known or too many.
+
+    ``cell`` is any aggregate, taken by key and value of ``column``; NULL is the key of no
+    cell and left out, as in a pivot. No list of values reaches the driver. A key with over
+    ``most`` values gets several rows, numbered in ``part``, each with at most about ``most``
+    cells, so that a hot key is no single row: a look-up takes the part that has the value.
+    """
+    found = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).alias("_value")).agg(cell.alias("_cell"))
+    sizes = found.groupBy(*keys).agg(F.ceil(F.count("*") / most).alias("_parts")).filter("_parts > 1")
+    sizes = sizes.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_parts")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    part = F.coalesce(F.pmod(F.xxhash64("_value"), F.col("_parts")), F.lit(0)).cast("int")
+    entry = F.struct(F.col("_value"), F.col("_cell"))
+    return (
+        found.join(sizes, same, "left")
+        .groupBy(*keys, part.alias("part"))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias(cells))
+    )
+
+
 # The comparisons a pivot cell may use.
 COMPARISONS = {
     "=": operator.eq,

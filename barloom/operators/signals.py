@@ -17,6 +17,7 @@ from ..functions import (
     lag_value,
     ln_positive,
     newest_date,
+    newest_dates,
     or_zero,
     pct_change,
     period_start,
@@ -25,7 +26,6 @@ from ..functions import (
     round_half_even,
     since,
     trailing_std,
-    year_month,
 )
 
 # Trading days in a year, volatility-index bands and their names.
@@ -96,13 +96,7 @@ def scanner_52w(daily: DataFrame, k: int | None = 100, digits: int | None = 2):
 
 def top_movers_1d(daily: DataFrame, k: int | None = 50, digits: int | None = 2):
     """Change between the two newest dates of the whole market."""
-    newest = newest_date(daily)
-    # The day before the newest one is looked for in what comes before it.
-    earlier = daily.filter(F.col("date") < newest)
-    if "ym" in daily.columns:
-        earlier = earlier.filter(F.col("ym") <= year_month(newest))
-    both = earlier.agg(F.max("date").alias("date")).union(daily.agg(newest.alias("date")))
-    days = both.filter("date IS NOT NULL").agg(
+    days = newest_dates(daily, 2).agg(
         F.struct(
             F.max("date").alias("last"),
             F.when(F.count("*") == 2, F.min("date")).alias("prev"),
@@ -296,25 +290,19 @@ def realised_vol_rank(
 ):
     """Newest volatility and its percentile among the last year's.
 
-    The year ends on the market's newest date, which is the last date of every
-    ticker that is kept. Its rows are taken by date, and each ticker's n+1 rows
-    before it by number, which Spark limits below the exchange.
+    A ticker's year ends on its last date, which is the market's newest date for
+    every ticker that is kept. With a row a day it has at most 367 rows; these and
+    the n+1 before them are taken by number, in one pass that Spark limits below
+    the exchange.
     """
-    first = add_years(newest_date(daily), -1)
-    shown = ["ticker", "short_name", "date", "close"]
-    before = daily.filter(F.col("date") < first).select(*shown)
-    before = recent(before, n + 1).withColumn("rn", F.lit(0))
-    year = since(daily, first).select(*shown)
-    newest_first = Window.partitionBy("ticker").orderBy(F.col("date").desc())
-    year = year.withColumn("rn", F.row_number().over(newest_first))
-    bars = year.unionByName(before)
+    bars = recent(daily.select("ticker", "short_name", "date", "close"), 367 + n + 1)
     vol = f"rv{n}"
     per_ticker = Window.partitionBy("ticker")
     rows = (
         realised_vol(bars, n, ann)
         .withColumn("_current", F.max(F.when(F.col("rn") == 1, F.col(vol))).over(per_ticker))
         .withColumn("last_date", F.max("date").over(per_ticker))
-        .filter("rn > 0")
+        .filter(F.col("date") >= add_years("last_date", -1))
     )
     # Equal frames may differ in the last bits by the order of their sums.
     not_above = F.coalesce(F.col(vol) <= F.col("_current") * (1 + 1e-12), F.lit(False))
@@ -339,22 +327,26 @@ def vix_weekly(
 
     ``missing='zero'`` takes 0 as the close before the first week.
     """
-    series = daily.filter(F.col("ticker") == ticker)
-    newest_week = period_start(newest_date(series), "week")
-    first = F.date_sub(newest_week, 7 * (weeks - 1))
-    # The first week shown is compared with the last one before it, however long ago.
-    base = series.filter(F.col("date") < first).agg(F.max("date")).scalar()
+    series = daily.filter((F.col("ticker") == ticker) & F.col("date").isNotNull())
+    w = Window.partitionBy("ticker").orderBy("week_start")
+    if "ym" in daily.columns:
+        newest_week = period_start(newest_date(series), "week")
+        first = F.date_sub(newest_week, 7 * (weeks - 1))
+        # The first week shown is compared with the last one before it, however long ago.
+        base = series.filter(F.col("date") < first).agg(F.max("date")).scalar()
+        series = since(series, F.coalesce(period_start(base, "week"), first))
+    else:
+        # One pass: a series has few weeks, so the newest is found among them.
+        first = F.date_sub(F.max("week_start").over(Window.partitionBy("ticker")), 7 * (weeks - 1))
     weekly = (
-        since(series, F.coalesce(period_start(base, "week"), first))
-        .groupBy("ticker", period_start("date", "week").alias("week_start"))
+        series.groupBy("ticker", period_start("date", "week").alias("week_start"))
         .agg(
             F.max("date").alias("last_trading_date"),
             F.max_by("close", "date").alias("raw"),
             F.max_by("adj_close", "date").alias("adj"),
         )
     )
-    w = Window.partitionBy("ticker").orderBy("week_start")
-    rows = weekly
+    rows = weekly.withColumn("_first", first)
     for kind in ("raw", "adj"):
         now, prev = F.col(kind), lag_value(kind, 1, w, missing)
         known = finite(prev) & finite(now)
@@ -373,6 +365,6 @@ def vix_weekly(
             round_half_even(f"_net_{kind}", digits).alias(f"vix_net_change_{kind}"),
             round_half_even(f"_pct_{kind}", digits).alias(f"vix_pct_change_{kind}_pct"),
         ]
-    return rows.filter(F.col("week_start") >= first).select(
+    return rows.filter("week_start >= _first").select(
         "week_start", "last_trading_date", level.alias("vix_regime"), *shown
     )

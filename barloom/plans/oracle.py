@@ -867,8 +867,13 @@ select 'b_minus_a', * from (
 oracle(
     "dq_equality_precision",
     f"""with {TWO_ORDERS},
-ra as (select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice from a),
-rb as (select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice from b)
+big as (select o_orderkey, 123456789012345678901234567890::decimal(38,4) + o_orderkey as large from orders),
+ra as (select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice, cast(cast(large as decimal(38,2)) as varchar) as large from a join big using (o_orderkey)),
+rb as (
+  select o_orderkey, o_custkey, round(o_totalprice, 2) as o_totalprice,
+    cast(cast(large + case when o_orderkey % 11 = 0 and o_orderkey % 3 <> 0 then 0.01 else 0 end as decimal(38,2)) as varchar) as large
+  from b join big using (o_orderkey)
+)
 select 'a_minus_b' as which_diff, * from (select * from ra except select * from rb)
 union all
 select 'b_minus_a', * from (select * from rb except select * from ra)""",
@@ -1152,3 +1157,18 @@ _rounded(
     2,
 )
 _rounded("correlation_matrix", " ".join(f"Brand#{i}" for i in range(1, 26)), 3)
+
+oracle(
+    "pivot_map",
+    """select l_returnflag, count(*) as n_cells, min(line) as first_line, max(line) as last_line,
+  cast(sum(q) as bigint) as quantity, cast(sum(line % 1000 * q) as bigint) as weighted
+from (
+  select l_returnflag, l_orderkey * 8 + l_linenumber as line, cast(sum(l_quantity) as bigint) as q from lineitem group by 1, 2
+) group by 1""",
+)
+oracle(
+    "as_of_today",
+    """select newest_order, true as is_today, current_date as today, cast(current_date - interval 1 year as date) as year_start,
+  date_diff('day', newest_order, current_date) as age_days
+from (select max(cast(o_orderdate as date)) as newest_order from orders)""",
+)

@@ -394,6 +394,20 @@ def sample_price_table(spark, d):
     return out.select(*DAILY_SHOWN)
 
 
+@query
+def as_of_today(spark, d):
+    """Bounds that default to today: the year that a screen reads, and the age of the newest order."""
+    newest = table(spark, d, "orders").agg(F.max(F.col("o_orderdate").cast("date")).alias("newest_order"))
+    today = fn.as_date_col(None)
+    return newest.select(
+        "newest_order",
+        (today == F.current_date()).alias("is_today"),
+        today.alias("today"),
+        fn.add_years(today, -1).alias("year_start"),
+        F.date_diff(today, "newest_order").cast("bigint").alias("age_days"),
+    )
+
+
 @query
 def trading_dates(spark, d):
     """Trading day of each event instant in UTC and in two exchange zones."""
@@ -409,20 +423,29 @@ def trading_dates(spark, d):
 @query
 def overlap_reload(spark, d):
     """The last 21 days again, one higher and without Brand#3, which only loses its rows."""
-    daily = samples.daily_prices(spark, d)
-    windows = ingest.reload_windows(daily, _newest(daily))
-    new = daily.filter(F.col("date") >= F.date_sub(_newest(daily), 21))
-    new = new.filter("ticker <> 'Brand#3'").withColumn("adj_close", F.col("adj_close") + 1)
-    return ingest.overlap_reload(daily, new, windows).select(*DAILY_SHOWN)
+    daily = samples.daily_prices(spark, d).select(*DAILY_SHOWN)
+    newest = _newest(daily)
+    again = (F.col("date") >= F.date_sub(newest, 21)) & (F.col("ticker") != "Brand#3")
+    rows = _with_again(daily, again, adj_close=F.col("adj_close") + 1)
+    rows = rows.withColumn("start_date", F.date_sub(newest, 21)).withColumn("end_date", F.date_add(newest, 1))
+    return ingest.tagged_reload(rows)
+
+
+def _with_again(daily: DataFrame, again, **changed) -> DataFrame:
+    """Every row as an old one, and those of ``again`` a second time as new ones with changed columns."""
+    sides = F.when(again, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    rows = daily.withColumn("is_new", F.explode(sides))
+    return rows.withColumns({c: F.when(F.col("is_new"), e).otherwise(F.col(c)) for c, e in changed.items()})
 
 
 @query
 def backfill_reload(spark, d):
     """Two middle years again for the longer ticker names; rows between a ticker's ends go."""
-    daily = samples.daily_prices(spark, d)
-    new = ingest.clip(daily, "1997-01-01", "1998-12-31").filter("length(ticker) = 8")
-    new = new.filter(F.dayofmonth("date") != 15).withColumn("volume", F.col("volume") + 1)
-    return ingest.backfill_reload(daily, new).select(*DAILY_SHOWN)
+    daily = samples.daily_prices(spark, d).select(*DAILY_SHOWN)
+    again = F.expr("date between '1997-01-01' and '1998-12-31' and length(ticker) = 8 and day(date) <> 15")
+    rows = _with_again(daily, again, volume=F.col("volume") + 1)
+    covered = F.when(F.col("is_new"), F.col("date"))
+    return ingest.tagged_reload(rows.withColumn("start_date", covered).withColumn("end_date", covered))
 
 
 def _annual_frame(spark, d) -> DataFrame:
@@ -547,6 +570,21 @@ def pivot_cells(spark, d):
     return table(spark, d, "orders").groupBy("o_orderstatus").agg(*many, *money, *people)
 
 
+@query
+def pivot_map(spark, d):
+    """A column with as many values as rows, by a key of few values: three maps of a third of all rows, in parts."""
+    items = table(spark, d, "lineitem").withColumn("line", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    maps = relational.pivot_map(items, ["l_returnflag"], "line", F.sum("l_quantity").cast("bigint"), most=5000)
+    return maps.groupBy("l_returnflag").agg(
+        F.sum(F.size("cells")).alias("n_cells"),
+        F.min(F.array_min(F.map_keys("cells"))).alias("first_line"),
+        F.max(F.array_max(F.map_keys("cells"))).alias("last_line"),
+        F.sum(F.expr("aggregate(map_values(cells), 0L, (a, x) -> a + x)")).alias("quantity"),
+        # each cell is found under its own value
+        F.sum(F.expr("aggregate(map_entries(cells), 0L, (a, e) -> a + e.key % 1000 * e.value)")).alias("weighted"),
+    )
+
+
 @query
 def union_relations(spark, d):
     customer, supplier = table(spark, d, "customer"), table(spark, d, "supplier")
@@ -739,9 +777,13 @@ def dq_equality(spark, d):
 
 @query
 def dq_equality_precision(spark, d):
+    """Prices as doubles, and beside them decimals of 38 digits that differ beyond the sixteenth."""
     a, b = _two_order_tables(spark, d)
-    out = quality.equality(a, b, precision=2)
-    return out.withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+    large = F.lit("123456789012345678901234567890").cast("decimal(30,0)") + F.col("o_orderkey")
+    a = a.withColumn("large", large.cast("decimal(38,4)"))
+    step = F.when(F.col("o_orderkey") % 3 == 0, F.lit("0.0049")).when(F.col("o_orderkey") % 11 == 0, F.lit("0.0050"))
+    b = b.withColumn("large", (large + F.coalesce(step, F.lit("0")).cast("decimal(5,4)")).cast("decimal(38,4)"))
+    return quality.equality(a, b, precision=2).withColumn("large", F.col("large").cast("string"))
 
 
 @query
