@@ -55,17 +55,18 @@ def correlation_pairs(
     long the focal list: a row a day and block of focal tickers holds their returns as an
     array, and each universe row adds its products to one row of sums a block.
     """
-    spark = daily.sparkSession
     focal = list(dict.fromkeys(focal))
-    places = [(t, i // FOCAL_BLOCK, i % FOCAL_BLOCK) for i, t in enumerate(focal)]
-    index = spark.createDataFrame(places, "ticker_a string, block int, slot int")
+    names = F.array(*[F.lit(t) for t in focal]).cast("array<string>")
     read = None if universe is None else list(dict.fromkeys([*universe, *focal]))
     # both sides are this frame, whose shuffle Spark makes once
     returns = log_returns(daily.filter("ticker IS NOT NULL AND date IS NOT NULL"), read, as_of)
     width = min(FOCAL_BLOCK, max(1, len(focal)))
     slots = [F.max(F.when(F.col("slot") == j, F.col("ret"))) for j in range(width)]
-    # the index is the caller's list; the blocks have a row a day of one year for each hundred of it
-    wide = returns.join(F.broadcast(index), F.col("ticker") == F.col("ticker_a"))
+    # a condition on the return too stays above the shuffle
+    wide = returns.filter(F.when(F.col("ticker").isin(focal), F.col("ret")).isNotNull())
+    place = F.array_position(names, F.col("ticker")) - 1
+    wide = wide.select("date", "ret", F.floor(place / FOCAL_BLOCK).alias("block"), (place % FOCAL_BLOCK).alias("slot"))
+    # a row a day of one year for each hundred focal tickers
     wide = wide.groupBy("date", "block").agg(F.array(*slots).alias("focal"))
     held = [F.col("focal")[j].alias(f"f{j}") for j in range(width)]
     met = returns.join(F.broadcast(wide), "date").select("ticker", "ret", "block", *held)
@@ -74,7 +75,8 @@ def correlation_pairs(
     pairs = sums.select("ticker_b", "block", F.inline("cells")).filter(F.col("n_obs") >= min_obs)
     if universe is not None and not set(focal) <= set(universe):
         pairs = pairs.filter(F.col("ticker_b").isin(list(universe)))
-    return pairs.join(F.broadcast(index), ["block", "slot"]).select("ticker_a", "ticker_b", "corr_1y", "n_obs")
+    name = F.get(names, (F.col("block") * FOCAL_BLOCK + F.col("slot")).cast("int"))
+    return pairs.select(name.alias("ticker_a"), "ticker_b", "corr_1y", "n_obs")
 
 
 def correlation_matrix(

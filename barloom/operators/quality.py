@@ -8,13 +8,15 @@ left out of the count.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import normalise_label
+from ..session import scratch_cleared
 from .neighbours import with_neighbour
 
 
@@ -43,6 +45,12 @@ def freshness(
     df: DataFrame, field: str = "ingested_at", as_of=None, warn_days: int = 8, error_days: int = 15
 ) -> DataFrame:
     """One row: newest load time, its age in days, pass / warn / error."""
+    newest = df.agg(F.max(F.col(field).cast("timestamp")).alias("max_loaded_at"))
+    return aged(newest, as_of, warn_days, error_days)
+
+
+def aged(newest: DataFrame, as_of=None, warn_days: int = 8, error_days: int = 15) -> DataFrame:
+    """Age and status beside the newest load time in ``max_loaded_at``."""
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     age = (F.unix_seconds(now) - F.unix_seconds(F.col("max_loaded_at"))) / F.lit(86400.0)
     status = (
@@ -50,7 +58,6 @@ def freshness(
         .when(F.col("age_days") > warn_days, "warn")
         .otherwise("pass")
     )
-    newest = df.agg(F.max(F.col(field).cast("timestamp")).alias("max_loaded_at"))
     return newest.withColumn("age_days", age).withColumn("status", status)
 
 
@@ -423,6 +430,20 @@ def run_check(
     return out.select(F.lit(name).alias("check_name"), "failures", status.alias("status"))
 
 
-def run_checks(checks: dict[str, DataFrame]) -> DataFrame:
-    """One report over many checks."""
-    return reduce(DataFrame.unionByName, [run_check(n, df) for n, df in checks.items()])
+def run_checks(checks: dict[str, DataFrame | Callable[[], DataFrame]]) -> DataFrame:
+    """One report over many checks; with functions that make the failing rows, a finished one.
+
+    Frames give a lazy report. Functions are called and counted here, and what they wrote to
+    the shared folder is removed again: the report has one row a check and reads nothing.
+    """
+    if not any(callable(make) for make in checks.values()):
+        return reduce(DataFrame.unionByName, [run_check(n, df) for n, df in checks.items()])
+    spark = SparkSession.active()
+    with scratch_cleared(spark):
+        made = {n: make() if callable(make) else make for n, make in checks.items()}
+        return finished(run_checks(made))
+
+
+def finished(report: DataFrame) -> DataFrame:
+    """A report of one row a check as a local frame, computed now."""
+    return report.sparkSession.createDataFrame(report.collect(), report.schema)

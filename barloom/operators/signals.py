@@ -293,9 +293,18 @@ def realised_vol_rank(
     A ticker's year ends on its last date, which is the market's newest date for
     every ticker that is kept. With a row a day it has at most 367 rows; these and
     the n+1 before them are taken by number, in one pass that Spark limits below
-    the exchange.
+    the exchange. In a table stored by month the year's months are read by date,
+    and only the n+1 rows before them by number.
     """
-    bars = recent(daily.select("ticker", "short_name", "date", "close"), 367 + n + 1)
+    shown = ["ticker", "short_name", "date", "close"]
+    if "ym" in daily.columns:
+        first = add_years(newest_date(daily), -1)
+        before = recent(daily.filter(F.col("date") < first).select(*shown), n + 1).withColumn("rn", F.lit(0))
+        newest_first = Window.partitionBy("ticker").orderBy(F.col("date").desc())
+        year = since(daily, first).select(*shown).withColumn("rn", F.row_number().over(newest_first))
+        bars = year.unionByName(before)
+    else:
+        bars = recent(daily.select(*shown), 367 + n + 1)
     vol = f"rv{n}"
     per_ticker = Window.partitionBy("ticker")
     rows = (

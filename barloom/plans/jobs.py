@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ..operators import ingest
 from ..operators import quality as dq
 from ..operators.fundamentals import latest_restatement
 from ..schema import PERIODS, STATEMENTS
-from ..session import path_exists
+from ..session import path_exists, scratch_cleared
 from ..sources import listings, tables
 from . import registry
 
@@ -36,6 +36,18 @@ def rebuild_bars(spark: SparkSession, store: Warehouse, touched: list[str] | Non
         tables.write_bars(spark, daily, period, store.table(f"{period}ly_prices"), touched)
 
 
+def _leaves_no_scratch(job):
+    """The job inside ``scratch_cleared``: what it writes on the way is removed when it ends or fails."""
+
+    @wraps(job)
+    def run(spark: SparkSession, *args, **named):
+        with scratch_cleared(spark):
+            return job(spark, *args, **named)
+
+    return run
+
+
+@_leaves_no_scratch
 def refresh_market(
     spark: SparkSession,
     raw: DataFrame,
@@ -62,6 +74,7 @@ def refresh_market(
     return touched
 
 
+@_leaves_no_scratch
 def backfill_market(
     spark: SparkSession,
     raw: DataFrame,
@@ -78,6 +91,7 @@ def backfill_market(
     return touched
 
 
+@_leaves_no_scratch
 def refresh_fundamentals(
     spark: SparkSession,
     frames: dict[str, dict[str, DataFrame]],
@@ -91,7 +105,7 @@ def refresh_fundamentals(
 
     ``frames`` maps a statement to its ``A`` (annual) and ``Q`` (quarterly) wide
     frames. Rows without key and cells that cannot be read go to the table
-    ``statement_rejects``, with their text, and stop nothing.
+    ``statement_rejects``, with their text and the load's ``batch_id``, and stop nothing.
     """
     batch_id = str(uuid.uuid4())
     for statement in STATEMENTS:
@@ -108,9 +122,8 @@ def refresh_fundamentals(
         ledger = ingest.combine_statements(*(sides + [None])[:2])
         good, rejected = ingest.split_rejects(ledger)
         tables.append_statements(good.drop("raw"), store.table(statement), batch_id)
-        rejected.withColumn("statement", F.lit(statement)).write.mode("append").parquet(
-            store.table("statement_rejects")
-        )
+        rejected = rejected.withColumn("statement", F.lit(statement)).withColumn("batch_id", F.lit(batch_id))
+        rejected.write.mode("append").parquet(store.table("statement_rejects"))
     ledgers = {
         s: latest_restatement(tables.statements(spark, store.table(s), "Q").drop("fiscal_ym"))
         for s in STATEMENTS
@@ -168,20 +181,10 @@ def validate_exchanges(
 
 
 def check_report(frames: dict[str, DataFrame], as_of=None) -> DataFrame:
-    """(check_name, failures, status) for every check that applies to the frames.
+    """(check_name, failures, status) for every check that applies to the frames, computed now.
 
-    All row checks of a dataset are counted in one pass over it, keys in another;
-    the age of the newest load of daily prices (against ``as_of``, default now) is a check too.
+    One pass over each dataset gives all its checks, also the age of the newest load of daily
+    prices (against ``as_of``, default now). The report has a row a check and reads nothing
+    any more, so stores and scratch folders may go.
     """
-    counted = list(registry.row_checks(frames)) + list(registry.key_checks(frames))
-    failures = F.col("failures")
-    status = F.when(failures > 0, "error").otherwise("pass")
-    report = reduce(DataFrame.unionByName, counted).select("check_name", "failures", status.alias("status"))
-    if "daily_prices" not in frames:
-        return report
-    fresh = dq.freshness(frames["daily_prices"], as_of=as_of).select(
-        F.lit("daily_prices: fresh").alias("check_name"),
-        F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint").alias("failures"),
-        "status",
-    )
-    return report.unionByName(fresh)
+    return dq.finished(reduce(DataFrame.unionByName, registry.checks(frames, as_of)))

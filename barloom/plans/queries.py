@@ -25,7 +25,7 @@ from ..operators import (
     signals,
 )
 from ..operators.fundamentals import METRICS
-from ..session import scratch_path, stream_session
+from ..session import clear_scratch, scratch_cleared, scratch_path, stream_session
 from ..sources import samples, tables
 from ..sources.samples import table
 from ..streaming import start_ingest, weekly_bars_stream
@@ -925,14 +925,15 @@ def dq_row_counts(spark, d):
 
 @query
 def check_report(spark, d):
-    """All checks of all datasets, built over stored daily prices, bars and ledgers."""
-    store = jobs.Warehouse(scratch_path(spark, "warehouse"))
-    tables.append_daily(samples.daily_prices(spark, d), store.table("daily_prices"))
-    jobs.rebuild_bars(spark, store)
-    for name in ("income_statement", "balance_sheet", "cashflow_statement"):
-        tables.append_statements(samples.statement(spark, d, name), store.table(name), "b1")
-    frames = jobs.build_analytics(jobs.stored_frames(spark, store))
-    return jobs.check_report(frames, as_of="2002-01-05 00:00:00")
+    """All checks of all datasets, built over stored daily prices, bars and ledgers, which go afterwards."""
+    with scratch_cleared(spark):
+        store = jobs.Warehouse(scratch_path(spark, "warehouse"))
+        tables.append_daily(samples.daily_prices(spark, d), store.table("daily_prices"))
+        jobs.rebuild_bars(spark, store)
+        for name in ("income_statement", "balance_sheet", "cashflow_statement"):
+            tables.append_statements(samples.statement(spark, d, name), store.table(name), "b1")
+        frames = jobs.build_analytics(jobs.stored_frames(spark, store))
+        return jobs.check_report(frames, as_of="2002-01-05 00:00:00")
 
 
 # --- streams ----------------------------------------------------------------------
@@ -955,18 +956,18 @@ def stream_weekly_bars(spark, d):
             F.lit(1).cast("bigint").alias("volume"),
         )
     )
-    out = scratch_path(spark, "weekly-stream")
-    run = (
-        weekly_bars_stream(rows, "7 days")
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}-checkpoint")
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    run.awaitTermination()
+    out, state = scratch_path(spark, "weekly-stream"), scratch_path(spark, "weekly-state")
+    _run_weekly(weekly_bars_stream(rows, "7 days"), out, state)
+    clear_scratch(spark, [state])
     return spark.read.parquet(out)
 
 
+def _run_weekly(bars: DataFrame, out: str, state: str) -> None:
+    """Takes what has landed, then stops."""
+    writer = bars.writeStream.format("parquet").option("checkpointLocation", state)
+    writer.trigger(availableNow=True).start(out).awaitTermination()
+
+
 @query
 def stream_weekly_late(spark, d):
     """The same with the default delay, and odd days that land after later ones, up to 20 days late."""
@@ -977,20 +978,15 @@ def stream_weekly_late(spark, d):
         F.lit(1).cast("bigint").alias("volume"),
     )
     middle = F.timestamp_add("DAY", F.lit(-30), events.agg(F.max("ts")).scalar())
-    landing, out = scratch_path(spark, "late-landing"), scratch_path(spark, "late-stream")
+    landing, out, state = (scratch_path(spark, f"late-{n}") for n in ("landing", "stream", "state"))
     odd = (F.dayofmonth("ts") % 2 == 1) & (F.col("ts") > F.timestamp_add("DAY", F.lit(-20), middle))
     late = F.coalesce((F.col("ts") > middle) | odd, F.lit(False))
+    session = stream_session(spark)
     for part in (events.filter(~late), events.filter(late)):
-        part.coalesce(1).write.mode("append").parquet(landing)
-    reader = stream_session(spark).readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
-    run = (
-        weekly_bars_stream(reader.parquet(landing))
-        .writeStream.format("parquet")
-        .option("checkpointLocation", f"{out}-checkpoint")
-        .trigger(availableNow=True)
-        .start(out)
-    )
-    run.awaitTermination()
+        # each part lands in as many files as it has tasks, and is a run of its own
+        part.write.mode("append").parquet(landing)
+        _run_weekly(weekly_bars_stream(session.readStream.schema(events.schema).parquet(landing)), out, state)
+    clear_scratch(spark, [landing, state])
     return spark.read.parquet(out)
 
 
@@ -1008,32 +1004,27 @@ def _last_days_again(daily: DataFrame) -> DataFrame:
 @query
 def stream_ingest(spark, d):
     """The daily table landed as files, then its last 21 days again."""
-    base = scratch_path(spark, "ingest-stream")
-    landing, store, state = f"{base}/landing", f"{base}/daily", f"{base}/state"
     daily = samples.daily_prices(spark, d)
-    _vendor_rows(daily).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
-    start_ingest(spark, landing, schema, store, state).awaitTermination()
-    _last_days_again(daily).write.mode("append").parquet(landing)
-    start_ingest(spark, landing, schema, store, state).awaitTermination()
+    return _ingested(spark, [_vendor_rows(daily), _last_days_again(daily)])
+
+
+def _ingested(spark, deliveries: list[DataFrame]) -> DataFrame:
+    """The table after each delivery has landed, in as many files as it has tasks, and was taken by a run of its own."""
+    landing, store, state = (scratch_path(spark, f"ingest-{n}") for n in ("landing", "daily", "state"))
+    for rows in deliveries:
+        rows.write.mode("append").parquet(landing)
+        start_ingest(spark, landing, rows.schema, store, state).awaitTermination()
+    clear_scratch(spark, [landing, state])
     return tables.daily_prices(spark, store).select(*DAILY_SHOWN)
 
 
 @query
 def stream_ingest_split(spark, d):
-    """As ``stream_ingest``, landed in several files that each fill a batch."""
-    base = scratch_path(spark, "ingest-stream")
-    landing, store, state = f"{base}/landing", f"{base}/daily", f"{base}/state"
+    """As ``stream_ingest``, each delivery in two: odd days, then even ones."""
     daily = samples.daily_prices(spark, d)
-    odd = F.dayofmonth("date") % 2 == 1
-    for rows in (daily.filter(odd), daily.filter(~odd)):
-        _vendor_rows(rows).coalesce(1).write.mode("append").parquet(landing)
-    again = _last_days_again(daily)
-    for rows in (again.filter(F.dayofmonth("Date") % 2 == 1), again.filter(F.dayofmonth("Date") % 2 == 0)):
-        rows.coalesce(1).write.mode("append").parquet(landing)
-    schema = spark.read.parquet(landing).schema
-    start_ingest(spark, landing, schema, store, state, files_per_batch=1).awaitTermination()
-    return tables.daily_prices(spark, store).select(*DAILY_SHOWN)
+    odd = F.dayofmonth("Date") % 2 == 1
+    deliveries = (_vendor_rows(daily), _last_days_again(daily))
+    return _ingested(spark, [rows.filter(part) for rows in deliveries for part in (odd, ~odd)])
 
 
 # --- stored tables and jobs ---------------------------------------------------------

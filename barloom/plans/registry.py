@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import bars, correlation, fundamentals, metrics, regimes, signals
@@ -123,13 +123,15 @@ REQUIRED = {
 }
 
 
-def row_checks(frames: dict[str, DataFrame]) -> Iterator[DataFrame]:
-    """(check_name, failures) of a dataset's row checks: required columns, labels, volume sign.
+def checks(frames: dict[str, DataFrame], as_of=None) -> Iterator[DataFrame]:
+    """(check_name, failures, status) of a dataset: required columns, labels, volume sign, keys, age.
 
-    One pass over each dataset counts them all; a row counts once per missing column.
+    One pass over each dataset gives them all. Where keys count, its rows are first counted by
+    key together with what each lacks, and the keys are summed; a row counts once per
+    missing column. The age of the newest load of daily prices is taken on the way.
     """
     for name, df in frames.items():
-        found = {}
+        found: dict[str, Column] = {}
         if columns := REQUIRED.get(name):
             missing = sum(F.col(c).isNull().cast("bigint") for c in columns)
             found[f"{name}: not null ({', '.join(columns)})"] = missing
@@ -138,16 +140,26 @@ def row_checks(frames: dict[str, DataFrame]) -> Iterator[DataFrame]:
             found[f"{name}: {what}"] = (~F.col(column).isin(values)).cast("bigint")
         if name == "daily_prices":
             found["daily_prices: volume >= 0"] = (F.col("volume") < 0).cast("bigint")
-        if found:
-            totals = [F.coalesce(F.sum(c), F.lit(0)).alias(f"c{i}") for i, c in enumerate(found.values())]
-            rows = [F.struct(F.lit(n).alias("check_name"), F.col(f"c{i}").alias("failures")) for i, n in enumerate(found)]
-            yield df.agg(*totals).select(F.inline(F.array(*rows)))
-
-
-def key_checks(frames: dict[str, DataFrame]) -> Iterator[DataFrame]:
-    """(check_name, failures): keys of the bar tables that occur more than once."""
-    for name, key in BAR_KEYS.items():
-        if name in frames:
-            copies = dq.unique_combination(frames[name], key)
-            label = F.lit(f"{name}: unique ({', '.join(key)})").alias("check_name")
-            yield copies.agg(F.count(F.lit(1)).alias("failures")).select(label, "failures")
+        key = BAR_KEYS.get(name)
+        if not found and not key:
+            continue
+        parts = [F.sum(c).alias(f"c{i}") for i, c in enumerate(found.values())]
+        totals = [F.sum(f"c{i}").alias(f"c{i}") for i in range(len(parts))] if key else parts
+        if name == "daily_prices":
+            loaded = F.max(F.col("ingested_at").cast("timestamp")).alias("max_loaded_at")
+            parts, totals = [*parts, loaded], [*totals, F.max("max_loaded_at").alias("max_loaded_at")]
+        if key:
+            df = df.groupBy(*key).agg(F.count("*").alias("n"), *parts)
+            totals.append(F.count_if(F.col("n") > 1).alias(f"c{len(found)}"))
+        names = [*found, *([f"{name}: unique ({', '.join(key)})"] if key else [])]
+        counted = [(n, F.coalesce(F.col(f"c{i}"), F.lit(0).cast("bigint"))) for i, n in enumerate(names)]
+        sums = df.agg(*totals)
+        if name == "daily_prices":
+            sums = dq.aged(sums, as_of)
+            # a load that is late enough to warn fails too; its status tells how badly
+            counted.append(("daily_prices: fresh", F.when(F.col("status") == "pass", 0).otherwise(1).cast("bigint")))
+        rows = []
+        for n, failures in counted:
+            status = F.col("status") if n.endswith(": fresh") else F.when(failures > 0, "error").otherwise("pass")
+            rows.append(F.struct(F.lit(n).alias("check_name"), failures.alias("failures"), status.alias("status")))
+        yield sums.select(F.inline(F.array(*rows)))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "barloom", cpus: int | str = "*", **conf: str) -> SparkSession:
@@ -27,6 +28,9 @@ def local_session(app: str = "barloom", cpus: int | str = "*", **conf: str) -> S
     return spark
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see: ``spark.checkpoint.dir``, else the warehouse folder."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,6 +47,10 @@ def stream_session(spark: SparkSession) -> SparkSession:
     session.conf.set("spark.sql.session.timeZone", "UTC")
     cores = spark.sparkContext.defaultParallelism
     session.conf.set("spark.sql.shuffle.partitions", str(cores))
+    # state on the executors' disks with a bounded cache, instead of all keys in the heap
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     return session
 
 
@@ -64,8 +72,8 @@ def remove_path(spark: SparkSession, path: str) -> None:
 def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     """Removes the scratch folders made by this session (or those given), once nothing reads them any more.
 
-    Jobs and reports call it when their result is stored; who keeps a lazy frame
-    that reads a scratch folder calls it afterwards.
+    Jobs and reports run inside ``scratch_cleared`` and leave none; who keeps a lazy frame
+    that reads a scratch folder holds it by ``Held`` or calls this afterwards.
     """
     for path in list(_SCRATCH.get(id(spark), ()) if paths is None else paths):
         remove_path(spark, path)
@@ -86,6 +94,33 @@ def scratch_cleared(spark: SparkSession):
         clear_scratch(spark, [p for p in _SCRATCH.get(id(spark), ()) if p not in before])
 
 
+class Held:
+    """A lazy frame together with the scratch folders that it reads.
+
+    ``with Held.of(spark, lambda: sequential_values(df, "id")) as failing: ...`` or ``close()``
+    removes the folders once the frame is no longer needed.
+    """
+
+    def __init__(self, spark: SparkSession, frame: DataFrame, paths: list[str]):
+        self.frame, self._spark, self._paths = frame, spark, paths
+
+    @classmethod
+    def of(cls, spark: SparkSession, make: Callable[[], DataFrame]) -> Held:
+        before = set(_SCRATCH.get(id(spark), ()))
+        frame = make()
+        return cls(spark, frame, [p for p in _SCRATCH.get(id(spark), ()) if p not in before])
+
+    def close(self) -> None:
+        clear_scratch(self._spark, self._paths)
+        self._paths = []
+
+    def __enter__(self) -> DataFrame:
+        return self.frame
+
+    def __exit__(self, *error) -> None:
+        self.close()
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -313,3 +313,35 @@ def test_exchanges_are_validated_over_the_real_lists(spark):
     found = {r.ticker: (r.expected, r.actual) for r in jobs.validate_exchanges(spark, vendor).collect()}
     assert found["SPY"] == ("ARCX", "FRANKFURT") and not {"AAPL", "JNJ", "PLTR", "EQNR.OL"} & set(found)
     assert found["KO"] == ("NYSE", "")  # no vendor row
+
+
+def test_tagged_reload_equals_the_reload_of_two_tables(spark):
+    bars = "ticker string, date date, close double"
+    day = lambda n: dt.date(2024, 1, n)
+    old = spark.createDataFrame([(t, day(n), 1.0) for t in ("A", "B", "C", None) for n in range(1, 11)], bars)
+    new = spark.createDataFrame([("A", day(4), 2.0), ("A", day(6), 2.0), ("D", day(2), 2.0), ("C", day(9), 2.0)], bars)
+    spans = spark.createDataFrame([("A", day(3), day(7)), ("B", day(9), day(30)), ("E", day(1), day(9))], "ticker string, start_date date, end_date date")
+    tagged = old.withColumn("is_new", F.lit(False)).unionByName(new.withColumn("is_new", F.lit(True)))
+    rows = tagged.unionByName(spans, allowMissingColumns=True)
+    want = sorted(map(str, ingest.overlap_reload(old, new, spans).collect()))
+    once = ingest.tagged_reload(rows)
+    assert once.columns == old.columns and sorted(map(str, once.collect())) == want
+    covered = F.when(F.col("is_new"), F.col("date"))
+    back = ingest.tagged_reload(tagged.withColumn("start_date", covered).withColumn("end_date", covered))
+    assert sorted(map(str, back.collect())) == sorted(map(str, ingest.backfill_reload(old, new).collect()))
+
+
+def test_jobs_leave_no_scratch(spark, tmp_path, make_daily):
+    import os
+
+    from barloom.session import shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    rows = [(t, str(dt.date(2024, 1, 1) + dt.timedelta(days=i)), 10.0 + i) for t in ("A", "B") for i in range(40)]
+    raw = make_daily(rows).select(F.col("ticker").alias("Symbol"), F.col("date").alias("Date"), "open", "high", "low", "close", F.col("adj_close").alias("Adj Close"), "volume")
+    store = jobs.Warehouse(str(tmp_path / "store"))
+    jobs.backfill_market(spark, raw, store, start=None)
+    jobs.refresh_market(spark, raw.filter("Date >= '2024-02-01'"), store, today="2024-02-09")
+    report = jobs.check_report(jobs.build_analytics(jobs.stored_frames(spark, store)), as_of="2024-02-10")
+    assert {r.check_name for r in report.collect()} >= {"daily_prices: fresh", "weekly_prices: unique (ticker, week_ending)"}
+    assert set(os.listdir(shared_dir(spark))) == before

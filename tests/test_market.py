@@ -374,3 +374,50 @@ def test_vol_rank_takes_the_year_by_date(make_daily):
 def test_screens_without_a_limit(make_daily):
     rows = [(t, "2024-01-02", 1.0) for t in "ABC"] + [("D", "2024-01-01", 1.0)]
     assert signals.gap_scan(make_daily(rows), k=None).count() == 3
+
+
+def test_correlations_of_more_focal_tickers_than_a_block(make_daily, monkeypatch):
+    """Pairs in several blocks of focal tickers are those of one."""
+    rng = random.Random(3)
+    rows = [(f"T{k}", str(dt.date(2024, 1, 1) + dt.timedelta(days=i)), rng.uniform(9, 11)) for k in range(7) for i in range(60) if rng.random() < 0.9]
+    daily, names = make_daily(rows), [f"T{k}" for k in range(7)]
+    one = correlation.correlation_pairs(daily, names, None, "2024-03-10", min_obs=20).collect()
+    monkeypatch.setattr(correlation, "FOCAL_BLOCK", 3)
+    many = correlation.correlation_pairs(daily, names, None, "2024-03-10", min_obs=20).collect()
+    assert len(one) == 49 and sorted(one) == sorted(many)
+    mirrored = {(r.ticker_a, r.ticker_b): round(r.corr_1y, 9) for r in one}
+    assert all(mirrored[a, b] == mirrored[b, a] for a, b in mirrored) and mirrored["T1", "T1"] == 1
+    other = correlation.correlation_pairs(daily, ["T0", "T5"], ["T5", "T6"], "2024-03-10", min_obs=20).collect()
+    assert {(r.ticker_a, r.ticker_b) for r in other} == {(a, b) for a in ("T0", "T5") for b in ("T5", "T6")}
+    assert correlation.correlation_pairs(daily, [], None, "2024-03-10").count() == 0
+
+
+def test_movers_between_the_two_newest_dates(spark, make_daily, tmp_path):
+    rows = [("A", "2024-01-31", 10.0), ("A", "2024-03-04", 11.0), ("B", "2024-01-31", 4.0), ("C", "2024-03-04", 1.0), ("A", "2023-01-31", 1.0)]
+    moved = signals.top_movers_1d(make_daily(rows)).collect()
+    assert [(r.ticker, r.close_prev, r.close_last, r.pct_change) for r in moved] == [("A", 10.0, 11.0, 10.0)]
+    assert signals.top_movers_1d(make_daily(rows[:1])).count() == 0  # one date only
+    assert signals.top_movers_1d(make_daily([])).count() == 0
+    from barloom.sources import tables
+
+    path = str(tmp_path / "daily")
+    tables.append_daily(make_daily(rows), path)
+    stored = tables.daily_prices(spark, path)
+    assert signals.top_movers_1d(stored).collect() == moved
+    tables.append_daily(make_daily([("Z", "2022-01-03", 1.0)]), path)
+    assert len(tables.daily_prices(spark, path).inputFiles()) >= 4
+    assert signals.top_movers_1d(tables.daily_prices(spark, path)).collect() == moved
+
+
+def test_volatility_year_with_leap_day_and_a_long_gap(make_daily):
+    """All days of a leap year and a first return from long before count."""
+    rng = random.Random(4)
+    days = [dt.date(2019, 1, 1) + dt.timedelta(days=i) for i in range(5)] + [dt.date(2020, 1, 15) + dt.timedelta(days=i) for i in range(400)]
+    rows = [("A", str(d), rng.uniform(9, 11)) for d in days] + [("B", "2019-06-01", 3.0)]
+    got = signals.realised_vol_rank(make_daily(rows), n=3, digits=None).collect()
+    closes = [c for _, _, c in rows[:-1]]
+    returns = [None] + [math.log(b / a) for a, b in zip(closes, closes[1:])]
+    vols = [statistics.pstdev(returns[i - 2 : i + 1]) if i > 2 else None for i in range(len(closes))]
+    year = [v for v, d in zip(vols, days) if d >= dt.date(days[-1].year - 1, days[-1].month, days[-1].day)]
+    assert [r.ticker for r in got] == ["A"]
+    assert got[0].rv3_rank_1y == pytest.approx(100 * sum(v <= vols[-1] * (1 + 1e-12) for v in year) / len(year))

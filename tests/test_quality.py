@@ -279,3 +279,46 @@ def test_exclusive_ranges(spark, gaps, zero):
 def test_exclusive_ranges_rejects_unknown_rule(spark):
     with pytest.raises(ValueError):
         dq.mutually_exclusive_ranges(frame(spark, [1]), "v", "v", gaps="some")
+
+
+def test_equality_of_decimals_beyond_a_double(spark):
+    def table(values, kind):
+        return spark.createDataFrame([(str(v),) for v in values], "v string").select(F.col("v").cast(kind).alias("v"))
+
+    def differ(a, b, **options):
+        return sorted((r.which_diff, str(r.v)) for r in dq.equality(a, b, **options).collect())
+
+    near = "123456789012345678901234567890123456"
+    a, b = table([f"{near}.10", "1.005"], "decimal(38,2)"), table([f"{near}.90", "1.005"], "decimal(38,2)")
+    assert differ(a, b, precision=2) == differ(a, b) == [("a_minus_b", f"{near}.10"), ("b_minus_a", f"{near}.90")]
+    assert differ(a, b, precision=0) == [("a_minus_b", near), ("b_minus_a", near[:-1] + "7")]
+    # one type holds both: equal values of different scales are equal
+    assert differ(table(["7.5"], "decimal(20,2)"), table(["7.5000"], "decimal(30,4)")) == []
+    assert differ(table(["7"], "bigint"), table(["7.00"], "decimal(10,2)")) == []
+    # none does: compared as text without closing zeros
+    wide, fine = table([near, "2.5", "100"], "decimal(38,1)"), table(["0.00000000000000000001", "2.5", "100"], "decimal(38,20)")
+    assert differ(wide, fine) == [("a_minus_b", near), ("b_minus_a", "0.00000000000000000001")]
+    assert differ(wide, fine, precision=5) == [("a_minus_b", near), ("b_minus_a", "0")]
+
+
+def test_equality_of_doubles_has_no_size_limit(spark):
+    a = spark.createDataFrame([(1.0e14 + 0.26,), (0.125,), (float("nan"),), (None,)], "v double")
+    b = spark.createDataFrame([(1.0e14 + 0.31,), (0.12499,), (float("nan"),), (None,)], "v double")
+    assert dq.equality(a, b, precision=1).count() == 0
+    assert dq.equality(a, b, precision=2).count() == 4
+    assert dq.equality(a, b.select(F.col("v").cast("float")), precision=-14).count() == 0
+
+
+def test_finished_report_leaves_no_scratch(spark):
+    import os
+
+    from barloom.session import Held, shared_dir
+
+    before = set(os.listdir(shared_dir(spark)))
+    ids = spark.range(5).filter("id <> 3").select("id")
+    report = dq.run_checks({"steps": lambda: dq.sequential_values(ids, "id"), "some": lambda: ids.limit(0)})
+    assert set(os.listdir(shared_dir(spark))) == before
+    assert [tuple(r) for r in report.collect()] == [("steps", 1, "error"), ("some", 0, "pass")]
+    with Held.of(spark, lambda: dq.sequential_values(ids, "id")) as failing:
+        assert failing.count() == 1 and set(os.listdir(shared_dir(spark))) > before
+    assert set(os.listdir(shared_dir(spark))) == before

@@ -148,3 +148,15 @@ def test_default_lists(spark):
     assert set(listings.CORRELATION_COLUMNS) <= set(listings.CORRELATION_UNIVERSE)
     named = set(listings.US_LISTINGS) | set(listings.INTL_LISTINGS)
     assert named == set(listings.EXCHANGE_KEYWORDS)
+
+
+def test_pivot_map(spark):
+    rows = [("a", i, 1) for i in range(500)] + [("a", 3, 9), ("b", 1, 5), ("b", None, 7), (None, 1, 2), (None, 2, 2)]
+    df = spark.createDataFrame(rows, "k string, v int, x int")
+    got = relational.pivot_map(df, ["k"], "v", F.sum("x"), most=100).collect()
+    parts = [r for r in got if r.k == "a"]
+    assert len(parts) == 5 and max(len(r.cells) for r in parts) < 200
+    merged = {v: x for r in parts for v, x in r.cells.items()}
+    assert merged == {i: 10 if i == 3 else 1 for i in range(500)}
+    assert {r.k: (r.part, r.cells) for r in got if r.k != "a"} == {"b": (0, {1: 5}), None: (0, {1: 2, 2: 2})}
+    assert relational.pivot_map(df.limit(0), ["k"], "v", F.sum("x")).count() == 0

@@ -67,3 +67,11 @@ def test_ingest_stream_equals_the_batch_reload(spark, tmp_path):
     schema = spark.read.parquet(landing).schema
     start_ingest(spark, landing, schema, table, state).awaitTermination()
     assert tables.daily_prices(spark, table).count() == 4
+
+
+def test_streams_keep_their_state_on_disk(spark):
+    from barloom.session import ROCKSDB, stream_session
+
+    session = stream_session(spark)
+    assert session.conf.get("spark.sql.streaming.stateStore.providerClass") == ROCKSDB
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") != ROCKSDB
