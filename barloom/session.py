@@ -76,12 +76,16 @@ def clear_scratch(spark: SparkSession, paths: list[str] | None = None) -> None:
     that reads a scratch folder holds it by ``Held`` or calls this afterwards.
     """
     for path in list(_SCRATCH.get(id(spark), ()) if paths is None else paths):
+        if path in _TABLES:
+            spark.sql(f"drop table if exists {_TABLES.pop(path)}")
         remove_path(spark, path)
         _SCRATCH.get(id(spark), set()).discard(path)
 
 
 #: Scratch folders by session; only names, to be able to remove them.
 _SCRATCH: dict[int, set[str]] = {}
+#: Catalog names of the scratch folders that are tables.
+_TABLES: dict[str, str] = {}
 
 
 @contextmanager
@@ -121,6 +125,14 @@ class Held:
         self.close()
 
 
+def scratch_table(spark: SparkSession, label: str) -> tuple[str, str]:
+    """(name, path) for a table whose files are scratch: both go when the scratch is cleared."""
+    path = scratch_path(spark, label)
+    name = f"scratch_{label}_{path.rpartition('-')[2]}"
+    _TABLES[path] = name
+    return name, path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
     path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
