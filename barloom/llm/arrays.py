@@ -6,7 +6,9 @@ tokenising and hashing cost a few vector passes and no Python loop per word.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,26 @@ def chunks(offsets: np.ndarray, size: int = CHUNK_BYTES) -> Iterator[tuple[int,
         first = last
 
 
+def released() -> None:
+    """Gives free memory back to the system: a worker outlives its task and serves later stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def trimmed(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task over batches that leaves no memory behind."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            released()
+
+    return run
+
+
 def spans(flags: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, row) of the runs of true flags; no run crosses a text."""
     n = len(flags)

@@ -4,7 +4,9 @@ A byte goes if a string of ``length`` bytes covers it that starts anywhere else
 keep suffix arrays small and all equal strings together, every string is led to
 its anchor (see ``anchors``), and a run of starts with one anchor is a segment:
 
-1. segments are counted by anchor; an anchor that occurs once has no repeated string;
+1. segments are counted by anchor; an anchor that occurs once has no repeated string.
+   Consecutive equal segments of a text (a run of one letter has one at every byte) are one
+   row with a count;
 2. equal segments of an anchor are merged into one with a weight;
 3. the distinct segments go to shards of about ``shard_bytes`` by anchor. A shard's
    suffix array (Larsson-Sadakane) and common prefixes (Kasai) group equal strings; a
@@ -15,8 +17,9 @@ its anchor (see ``anchors``), and a run of starts with one anchor is a segment:
    other by binary search;
 5. what is found goes back to all equal segments, and is cut out of their texts.
 
-Texts move twice: compressed, next to the first occurrence's requests, into a table
-bucketed by document; all later steps join that table where it lies.
+Texts move twice: compressed, next to the first occurrence's requests, into a scratch table
+bucketed by document; all later steps join that table where it lies. Its buckets hold
+about ``BUCKET_BYTES`` of text at most (more only where Spark allows no more buckets). All joins sort and spill.
 
 Defined cases: a null text is an empty one; repeated rows repeat each other's strings;
 a row without id is like any other; texts below ``length`` bytes keep everything.
@@ -26,7 +29,6 @@ Text columns lose bytes of a character that is cut in the middle.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_table
 from . import anchors
 from . import arrays as A
 from .store import stored
@@ -46,14 +49,15 @@ from .suffix import repeated_starts
 LENGTH = 200
 SHARD_BYTES = 2 << 20
 CONTENT_BYTES = 4 << 20
-#: Columns of this module; the documents have none of these names.
+BUCKET_BYTES = 128 << 20
+CUT_ROWS = 500
 KEY, MARK, PACKED, SPANS = "_br_key", "_br_mark", "_br_packed", "_br_spans"
 ROW = [KEY, MARK]
 
 
 def _marks(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each text; with the key it names a row."""
-    data = raw.tobytes()
+    data = memoryview(np.ascontiguousarray(raw))
     found = [xxhash.xxh3_64_intdigest(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
     return np.array(found, dtype=np.uint64).view(np.int64)
 
@@ -64,9 +68,10 @@ def _key() -> F.Column:
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
-    """Row, place, starts, anchor hash and segment hash of every segment of every text."""
-    names = [KEY, MARK, "at", "n", "anchor", "segment"]
+    """Row, place, starts, times in a row, anchor hash and segment hash of every segment of every text."""
+    names = [KEY, MARK, "at", "n", "times", "anchor", "segment"]
 
+    @A.trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = A.text_bytes(batch.column("text"))
@@ -78,12 +83,18 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
                     text, at, n, shift, anchor = anchors.segments(part, inner, length)
                     start = inner[text] + at
                     segment = A.span_hashes(A.padded(part), start, start + n + length - 1) ^ A.mix(shift.astype(np.uint64))
+                    same = (text[1:] == text[:-1]) & (at[1:] == at[:-1] + n[:-1]) & (n[1:] == n[:-1])
+                    same &= (anchor[1:] == anchor[:-1]) & (segment[1:] == segment[:-1])
+                    head = np.flatnonzero(np.append(len(text) > 0, ~same))
+                    times = np.diff(np.append(head, len(text)))
+                    text, at, n, anchor, segment = (x[head] for x in (text, at, n, anchor, segment))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(key[a + text]),
                             pa.array(mark[a + text]),
                             pa.array(first + at),
                             pa.array(n.astype(np.int32)),
+                            pa.array(times.astype(np.int64)),
                             pa.array(anchor.view(np.int64)),
                             pa.array(segment.view(np.int64)),
                         ],
@@ -91,7 +102,7 @@ def _segments(docs: DataFrame, length: int) -> DataFrame:
                     )
 
     rows = docs.select(_key().alias(KEY), "text")
-    return rows.mapInArrow(cut, f"{KEY} long, {MARK} long, at long, n int, anchor long, segment long")
+    return rows.mapInArrow(cut, f"{KEY} long, {MARK} long, at long, n int, times long, anchor long, segment long")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -103,22 +114,25 @@ def _packed(docs: DataFrame) -> DataFrame:
          T.StructField("_br_size", T.LongType()), T.StructField("_br_sha", T.StringType()), T.StructField(PACKED, T.BinaryType())]
     )
 
+    @A.trimmed
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             raw, offsets = A.text_bytes(batch.column("text"))
-            texts = [raw[a:b].tobytes() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(KEY),
-                    pa.array(_marks(raw, offsets)),
-                    *(batch.column(c) for c in rest),
-                    pa.array(np.diff(offsets)),
-                    pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                    pa.array([squeeze(t) for t in texts], pa.binary()),
-                ],
-                shape.names,
-            )
+            for a, b in A.chunks(offsets):
+                part, own = raw[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                texts = [part[x:y] for x, y in zip(own[:-1].tolist(), own[1:].tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(KEY).slice(a, b - a),
+                        pa.array(_marks(part, own)),
+                        *(batch.column(c).slice(a, b - a) for c in rest),
+                        pa.array(np.diff(own)),
+                        pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                        pa.array([squeeze(t) for t in texts], pa.binary()),
+                    ],
+                    shape.names,
+                )
 
     return docs.withColumn(KEY, _key()).mapInArrow(pack, shape)
 
@@ -127,6 +141,7 @@ def _contents(asked: DataFrame, length: int) -> DataFrame:
     """The bytes of the asked segments; one input row holds a text and what is asked of it."""
     names = ["shard", "salts", "anchor", "segment", "n", "weight", "data"]
 
+    @A.trimmed
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
         for batch in batches:
@@ -250,24 +265,29 @@ def _find(docs: DataFrame, length: int, shard_bytes: int, whole: bool) -> tuple[
     """
     spark = docs.sparkSession
     segments = _segments(docs, length)
-    anchors_seen = segments.groupBy("anchor").count().filter("count > 1").select("anchor")
-    hits = stored(segments.join(anchors_seen, "anchor"), "hits")
-
-    packed = _packed(docs)
+    anchors_seen = segments.groupBy("anchor").agg(F.sum("times").alias("times")).filter("times > 1").select("anchor")
+    # written first, so that the join has no aggregation beside it and a hot anchor can be split
+    anchors_seen = stored(anchors_seen, "anchors")
+    hits = stored(segments.join(anchors_seen, "anchor", "left_semi"), "hits")
+
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    buckets = min(buckets, int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets")))
+    packed = _packed(docs).repartition(buckets, *ROW)
     with_hits = hits.select(*ROW, F.lit(True).alias("_br_hit")).distinct()
-    table = f"barloom_texts_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table, path = scratch_table(spark, "texts")
     (
-        packed.join(with_hits.hint("shuffle_hash"), ROW, "left")
+        packed.join(with_hits, ROW, "left")
         .withColumn(PACKED, F.when(F.col("_br_hit") | F.lit(whole), F.col(PACKED)))
         .drop("_br_hit")
-        .write.bucketBy(buckets, *ROW)
+        .write.option("path", path)
+        .bucketBy(buckets, *ROW)
         .saveAsTable(table)
     )
     texts = spark.table(table)
 
     merged = hits.groupBy("anchor", "segment").agg(
-        F.count(F.lit(1)).alias("weight"), F.min(F.struct(*ROW, "at", "n")).alias("seen")
+        F.sum("times").alias("weight"), F.min(F.struct(*ROW, "at", "n")).alias("seen")
     )
     merged = stored(merged.select("anchor", "segment", "weight", "seen.*"), "merged")
     size = F.col("n") + length - 1
@@ -285,7 +305,7 @@ def _find(docs: DataFrame, length: int, shard_bytes: int, whole: bool) -> tuple[
     )
     asked = dealt.select(*ROW, F.struct(shard.alias("shard"), "salts", "anchor", "segment", "at", "n", "weight").alias("a"))
     asked = asked.groupBy(*ROW).agg(F.collect_list("a").alias("asked"))
-    parts = stored(_contents(texts.filter(F.col(PACKED).isNotNull()).join(asked.hint("shuffle_hash"), ROW), length), "parts")
+    parts = stored(_contents(texts.filter(F.col(PACKED).isNotNull()).join(asked, ROW), length), "parts")
 
     shape = "anchor long, segment long, runs array<long>"
     found = parts.groupBy("shard").applyInPandas(_repeated(length), shape)
@@ -296,9 +316,10 @@ def _find(docs: DataFrame, length: int, shard_bytes: int, whole: bool) -> tuple[
         .applyInPandas(_merged, shape)
     )
     found = stored(found.unionByName(across), "found")
+    # equal segments in a row start closer together than ``length``, so a run in them is one span
     runs = F.expr(
-        "transform(sequence(0, size(runs) div 2 - 1), "
-        f"i -> struct(at + runs[2 * i] as a, at + runs[2 * i + 1] + {length - 1} as b))"
+        "transform(sequence(0, size(runs) div 2 - 1), i -> "
+        f"struct(at + runs[2 * i] as a, at + (times - 1) * n + runs[2 * i + 1] + {length - 1} as b))"
     )
     # repeated rows have one list: the same places, given twice
     spans = hits.join(found, ["anchor", "segment"]).select(*ROW, F.explode(runs).alias("s")).groupBy(*ROW)
@@ -308,16 +329,17 @@ def _find(docs: DataFrame, length: int, shard_bytes: int, whole: bool) -> tuple[
 def _cut(docs: DataFrame, length: int, shard_bytes: int, whole: bool) -> DataFrame:
     """``docs`` with the text cut (null unless ``whole``), size, removed bytes and runs, digest of what is left."""
     texts, spans = _find(docs, length, shard_bytes, whole)
-    joined = texts.join(spans.hint("shuffle_hash"), ROW, "left")
+    joined = texts.join(spans, ROW, "left")
     rest = [c for c in docs.columns if c != "text"]
     shape = T.StructType(
         [*(f for f in docs.schema.fields if f.name != "text"), T.StructField("text", T.StringType()),
          *(T.StructField(n, T.LongType()) for n in ("_br_size", "_br_removed", "_br_runs")), T.StructField("_br_sha", T.StringType())]
     )
 
+    @A.trimmed
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
+        for batch in (b.slice(i, CUT_ROWS) for b in batches for i in range(0, b.num_rows, CUT_ROWS)):
             texts, removed, runs = [], [], []
             sha = batch.column("_br_sha").to_pylist()
             for i, (packed, found) in enumerate(zip(batch.column(PACKED), batch.column(SPANS))):

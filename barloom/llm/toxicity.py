@@ -367,6 +367,7 @@ def score(docs: DataFrame, model: Network | float) -> DataFrame:
     docs = docs.drop(SCORE)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
 
+    @A.trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = sent.value
         for batch in batches:

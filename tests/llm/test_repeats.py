@@ -99,3 +99,24 @@ def test_suffix_arrays(monkeypatch):
             a, b = raw[order[k - 1] :][:50], raw[order[k] :][:50]
             n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
             assert prefix[k] == n
+
+
+def test_periodic_texts_are_few_rows(make_docs):
+    """One letter or a short word without end: a segment a period would be millions of rows."""
+    rows = [(1, "x" * 5_000_000), (2, "ab" * 100_000 + "c"), (3, "x" * 1000), (4, "one text that is not repeated " + "y" * 60)]
+    assert R._segments(make_docs(rows), 200).count() < 2000
+    got = {r.doc_id: r for r in R._cut(make_docs(rows), 200, 1 << 20, whole=False).collect()}
+    assert (got[1]._br_removed, got[1]._br_runs) == (5_000_000, 1)
+    assert (got[2]._br_removed, got[2]._br_runs) == (200_000, 1)
+    assert got[3]._br_removed == 1000 and got[4]._br_removed == 0
+
+
+def test_nothing_is_left_behind(spark, make_docs):
+    import os
+
+    from barloom.session import scratch_cleared, shared_dir
+
+    before = set(os.listdir(shared_dir(spark))), {t.name for t in spark.catalog.listTables()}
+    with scratch_cleared(spark):
+        assert R.remove_repeats(make_docs([(1, "abc " * 200), (2, "abc " * 200)])).count() == 2
+    assert (set(os.listdir(shared_dir(spark))), {t.name for t in spark.catalog.listTables()}) == before
