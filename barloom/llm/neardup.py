@@ -82,6 +82,7 @@ def _digests(hashes: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray
 def _signed(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, mark of the text, n_shingles, node (digest of the set) and the band hashes of every row."""
 
+    @A.trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = A.text_bytes(batch.column("text"))
@@ -108,6 +109,7 @@ def _signed(docs: DataFrame, width: int) -> DataFrame:
 def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, set) of the classes in ``nodes`` (node, doc_id, mark), from one document of each."""
 
+    @A.trimmed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             raw, offsets = A.text_bytes(batch.column("text"))
@@ -239,14 +241,24 @@ def groups(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCE
 
 
 def deduplicate(docs: DataFrame, width: int = WORDS_PER_SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group, its smallest doc_id; rows of equal id and text count once."""
-    found = stored(groups(docs, width, percent), "groups")
-    kept = found.filter("kept").select("doc_id").distinct()
-    repeated = found.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    same = docs["doc_id"].cast("long").eqNullSafe
-    stay = docs.join(kept, same(kept["doc_id"]), "left_semi")
-    once = stay.join(repeated, same(repeated["doc_id"]), "left_anti")
-    more = stay.join(repeated, same(repeated["doc_id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    """One row of each group: the smallest doc_id, of several texts under it the one with the smallest hash.
+
+    A row is named by id and text, so another text under the same id, or without id, stays or
+    goes with its own group. Rows of equal id and text count once; rows without words are
+    groups of their own.
+    """
+    found = stored(_grouped(docs, width, percent).select("doc_id", "mark", "root"), "groups")
+    first = found.filter("root is not null").groupBy("root").agg(F.expr(_FIRST_ROW).alias("row"))
+    wordless = found.filter("root is null").select("doc_id", "mark").distinct()
+    kept = first.select("row.doc_id", "row.mark").unionByName(wordless)
+    repeated = found.groupBy("doc_id", "mark").count().filter("count > 1").select("doc_id", "mark")
+
+    def same(names: DataFrame):
+        return docs["doc_id"].cast("long").eqNullSafe(names["doc_id"]) & (F.xxhash64(docs["text"]) == names["mark"])
+
+    stay = docs.join(kept, same(kept), "left_semi")
+    once = stay.join(repeated, same(repeated), "left_anti")
+    more = stay.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(more)
 
 

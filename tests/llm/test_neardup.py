@@ -96,6 +96,19 @@ def test_deduplicate_keeps_one_row_a_group(make_docs):
     assert N.deduplicate(make_docs([])).collect() == []
 
 
+def test_deduplicate_goes_by_row_and_not_by_id(make_docs):
+    """A near copy under an id that also names another text, and near copies without id."""
+    rng = random.Random(6)
+    text = lambda: " ".join(f"w{rng.randrange(9000)}" for _ in range(100))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(2, a), (4, near(a, rng, 2)), (4, b), (4, b), (9, near(b, rng, 1))]
+    rows += [(None, c), (None, near(c, rng, 1)), (None, near(c, rng, 2)), (None, d), (None, None), (None, ""), (5, "")]
+    got = sorted(((r.doc_id, r.text) for r in N.deduplicate(make_docs(rows)).collect()), key=str)
+    assert [x for x in got if x[0] is not None] == sorted([(2, a), (4, b), (5, "")])
+    lone = [t for k, t in got if k is None]
+    assert len(lone) == 4 and d in lone and None in lone and "" in lone
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 2**63, 400).astype(np.uint64)
