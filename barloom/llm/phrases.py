@@ -79,6 +79,7 @@ def _cut(data: bytes, size: int) -> Iterator[bytes]:
 def piece_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """lang, at (a number of its own for each block), words and data of blocks of pieces."""
 
+    @A.trimmed
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         held: dict[str, list[bytes]] = {}
@@ -190,6 +191,8 @@ def _mine(support: int, longest: int):
         out = pa.concat_tables(found) if found else _named([b""], 1).append_column("n", pa.array([0])).slice(0, 0)
         for name, value, kind in (("bar", bar, pa.int64()), ("lang", lang, pa.string())):
             out = out.append_column(name, pa.repeat(pa.scalar(value, kind), len(out)))
+        del shard, found
+        A.released()
         return out.select(["lang", "h1", "h2", "phrase", "n", "bar"])
 
     return mine
@@ -201,6 +204,7 @@ def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
     hashes = np.stack([named.column(h).to_numpy().view(np.uint64) for h in ("h1", "h2")])
     sent = blocks.sparkSession.sparkContext.broadcast({lang: hashes[:, langs == lang] for lang in set(langs.tolist())})
 
+    @A.trimmed
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = {}
         for lang, pair in sent.value.items():
@@ -282,8 +286,10 @@ def frequent_phrases(
     )
     keys = ["lang", "h1", "h2"]
     union = (
-        local.groupBy(*keys)
-        .agg(F.min("phrase").alias("phrase"), F.sum("n").alias("a"), F.sum(F.col("bar") - 1).alias("told"))
+        # a shard names a phrase once, so there is nothing to add up before the shuffle
+        local.repartition("h1", "h2")
+        .groupBy(*keys, "phrase")
+        .agg(F.sum("n").alias("a"), F.sum(F.col("bar") - 1).alias("told"))
         .join(slack, "lang")
         # a shard that did not name the phrase holds it less often than its bar
         .filter(F.col("a") + F.col("slack") - F.col("told") >= support)
