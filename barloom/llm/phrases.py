@@ -2,7 +2,7 @@
 
 1. Texts become blocks of lower-cased words of one language, one blank between words and one
    line feed behind each piece; nothing is counted over a line feed. The blocks are written
-   once; all later passes read them.
+   once, compressed; all later passes read them.
 2. Blocks are dealt to shards of about ``shard_bytes`` of one language. Every shard is mined
    completely, length by length, at the support lowered to its share of the language's
    words, rounded up. A phrase below that in every shard is below the support as a whole.
@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,7 +52,8 @@ BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
 COUNT_BYTES = 8 << 20
-STEP = 1 << 18
+STEP = 1 << 17
+NAMED = 1 << 15
 RANGE_BITS = 3
 RANGES = 1 << RANGE_BITS
 
@@ -77,11 +79,12 @@ def _cut(data: bytes, size: int) -> Iterator[bytes]:
 
 
 def piece_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """lang, at (a number of its own for each block), words and data of blocks of pieces."""
+    """lang, at (a number of its own for each block), words, bytes and compressed data of blocks of pieces."""
 
     @A.trimmed
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
+        squeeze = zstandard.ZstdCompressor(level=1).compress
         held: dict[str, list[bytes]] = {}
         sizes: dict[str, int] = {}
 
@@ -91,7 +94,8 @@ def piece_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
                 sizes.pop(lang)
                 for data in _cut(_pieces(held.pop(lang)), block_bytes):
                     words = data.count(b" ") + data.count(b"\n")
-                    yield pa.RecordBatch.from_pylist([{"lang": lang, "at": number, "words": words, "data": data}])
+                    row = {"lang": lang, "at": number, "words": words, "bytes": len(data), "data": squeeze(data)}
+                    yield pa.RecordBatch.from_pylist([row])
                     number += 1
 
         for batch in batches:
@@ -105,7 +109,13 @@ def piece_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         yield from flushed(list(held))
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(pack, "lang string, at long, words long, data binary")
+    return rows.mapInArrow(pack, "lang string, at long, words long, bytes long, data binary")
+
+
+def _expanded(blocks) -> bytes:
+    """The text of some blocks."""
+    expand = zstandard.ZstdDecompressor().decompress
+    return b"".join(expand(x.as_py()) for x in blocks)
 
 
 class _Words:
@@ -162,7 +172,7 @@ def _mine(support: int, longest: int):
 
     def mine(table: pa.Table) -> pa.Table:
         lang, total = table.column("lang")[0].as_py(), table.column("n")[0].as_py()
-        shard = _Words(b"".join(x.as_py() for x in table.column("data")), ways=1)
+        shard = _Words(_expanded(table.column("data")), ways=1)
         del table
         bar = -(-support * len(shard.start) // total)
         found = []
@@ -183,11 +193,11 @@ def _mine(support: int, longest: int):
                 often = size >= bar
                 frequent[place[order[np.repeat(often, size)]]] = True
                 one, size = place[order[head[often]]], size[often]
-                for i in range(0, len(one), STEP):
-                    first = one[i : i + STEP]
+                for i in range(0, len(one), NAMED):
+                    first = one[i : i + NAMED]
                     spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
                     named = _named([shard.data[a:b] for a, b in spans], k)
-                    found.append(named.append_column("n", pa.array(size[i : i + STEP])))
+                    found.append(named.append_column("n", pa.array(size[i : i + NAMED])))
         out = pa.concat_tables(found) if found else _named([b""], 1).append_column("n", pa.array([0])).slice(0, 0)
         for name, value, kind in (("bar", bar, pa.int64()), ("lang", lang, pa.string())):
             out = out.append_column(name, pa.repeat(pa.scalar(value, kind), len(out)))
@@ -225,7 +235,7 @@ def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
         for batch in batches:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
                 if lang in wanted:
-                    held.setdefault(lang, []).append(data.as_py())
+                    held.setdefault(lang, []).append(_expanded([data]))
                     if sum(map(len, held[lang])) >= COUNT_BYTES:
                         add(lang)
         for lang in list(held):
@@ -249,7 +259,7 @@ def _count_all(blocks: DataFrame, named: DataFrame, longest: int) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
-                for _, (first, second), inside in _Words(data.as_py()).lengths(longest):
+                for _, (first, second), inside in _Words(_expanded([data])).lengths(longest):
                     pair = np.stack([first[inside], second[inside]], axis=1)
                     pair, n = np.unique(pair, axis=0, return_counts=True)
                     yield pa.RecordBatch.from_arrays(
@@ -271,7 +281,7 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, a of all phrases of 1 to ``longest`` words that occur ``support`` times; lang, n words)."""
     blocks = stored(piece_blocks(docs), "pieces")
-    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(F.sum(F.octet_length("data")) / shard_bytes).alias("shards"))
+    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(F.sum("bytes") / shard_bytes).alias("shards"))
     langs = stored(langs, "langs")
     # the table of languages has one small row each; Spark broadcasts it by its measured size
     dealt = blocks.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("at"), "shards"))
