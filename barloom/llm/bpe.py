@@ -4,9 +4,16 @@ A text is cut by the tokenizer's pattern; each piece that is no token itself is
 merged. Pieces of a batch are merged together: distinct pieces of about equal
 length are the rows of a padded numpy matrix, and in every round each row merges
 its leftmost pair of the lowest rank, found in a hash table of pairs. Rows without
-any pair left are compacted away. For a pair whose token is no part of a
-lower-ranked token, further merges cannot come before the same pair's next
-occurrence, so long rows merge all its occurrences in one round.
+any pair left are compacted away.
+
+Pieces over 64 bytes would cost the square of their length that way. They stand one after
+the other in a flat row with links to the neighbours; cells wait in a bucket a rank, and a
+round takes the lowest rank's bucket and updates only the cells it touches. Occurrences of
+one pair go together, of overlapping ones every other from the left, as long as the order
+cannot matter: a merge that brings no lower rank next to it is followed by the next
+occurrence; one that does is followed by lower-ranked tokens that contain it, which reach
+as far as the longest of them. So of occurrences that stand within reach of each other,
+those up to the first that brings a lower rank go in one round.
 
 A task keeps the ids of frequent pieces in a cache of bounded size; that only saves
 time, every piece is encoded by the same rounds.
@@ -19,6 +26,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +41,7 @@ LONG_PIECE = 64
 MATRIX_CELLS = 1 << 18
 ROWS_A_STEP = 256
 _NO_RANK = np.int64(1) << 40
+_ENDED = np.iinfo(np.int32).max
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -88,19 +98,25 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.tokens = dict(sorted((r, t) for t, r in ranks.items()))
         self.bytes_to_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        pairs, parts_of = {}, {}
+        pairs, wholes = {}, {}
         for token, rank in ranks.items():
             for k in range(1, len(token)):
                 a, b = ranks.get(token[:k]), ranks.get(token[k:])
                 if a is not None and b is not None:
                     pairs[a, b] = rank
-                    for part in (a, b):
-                        parts_of[part] = min(parts_of.get(part, rank), rank)
+                    for part in {a, b}:
+                        wholes.setdefault(part, []).append(rank)
         self.pairs = PairTable(pairs)
-        # ids that are no part of a token of lower rank
-        safe = [i for i in self.tokens if parts_of.get(i, i + 1) > i]
-        self.safe = np.zeros(max(self.tokens, default=0) + 1, dtype=bool)
-        self.safe[safe] = True
+        # bytes of the longest token of lower rank that an id may grow into by lower ranks alone
+        self.reach = np.zeros(max(self.tokens, default=0) + 1, dtype=np.int64)
+        for rank in self.tokens:
+            seen, todo = set(), [rank]
+            while todo:
+                lower = {w for w in wholes.get(todo.pop(), ()) if w < rank} - seen
+                seen |= lower
+                todo += lower
+            if seen:
+                self.reach[rank] = max(len(self.tokens[w]) for w in seen)
         self.cache: dict[str, bytes] = {}
 
     def _merge_bucket(self, pieces: list[bytes]) -> list[bytes]:
@@ -116,7 +132,6 @@ class Codec:
         done: list[bytes] = [b""] * len(pieces)
         names = np.arange(len(pieces))
         merged = self.pairs.get(grid[:, :-1], grid[:, 1:])
-        step = self._merge_one if width <= LONG_PIECE else self._merge_equal
         while len(names):
             at = np.argmin(merged, axis=1)  # the leftmost of the lowest
             best = merged[np.arange(len(names)), at]
@@ -131,7 +146,7 @@ class Codec:
                 names, grid, merged, at, best = (x[open_] for x in (names, grid, merged, at, best))
                 if not len(names):
                     break
-            grid, merged = step(grid, merged, at, best)
+            grid, merged = self._merge_one(grid, merged, at, best)
         return done
 
     def _merge_one(self, grid, merged, at, best):
@@ -146,29 +161,73 @@ class Codec:
         merged[inner, at[inner] - 1] = self.pairs.get(grid[inner, at[inner] - 1], best[inner])
         return grid, merged
 
-    def _merge_equal(self, grid, merged, at, best):
-        """As ``_merge_one``, with all occurrences of the row's pair that may go at once."""
-        take = np.zeros(grid.shape, dtype=bool)
-        take[np.arange(len(grid)), at] = True
-        take[:, :-1] |= self._all_occurrences(merged, best)
-        grid = np.where(take, best[:, None], grid)
-        grid[:, 1:][take[:, :-1]] = -1
-        # close the gaps: kept cells move to the left, in order
-        keep = grid >= 0
-        counts = keep.sum(axis=1)
-        packed = np.full((len(grid), int(counts.max()) + 1), -1, dtype=np.int64)
-        packed[np.arange(packed.shape[1]) < counts[:, None]] = grid[keep]
-        return packed, self.pairs.get(packed[:, :-1], packed[:, 1:])
-
-    def _all_occurrences(self, merged: np.ndarray, best: np.ndarray) -> np.ndarray:
-        """Every occurrence of a row's best pair that may go at once; of overlapping ones every other."""
-        same = (merged == best[:, None]) & self.safe[best][:, None]
-        if not same.any():
-            return same
-        column = np.arange(same.shape[1])
-        # length of the run of marked cells that ends here; cells of odd length are taken
-        last_gap = np.maximum.accumulate(np.where(same, -1, column), axis=1)
-        return same & ((column - last_gap) % 2 == 1)
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return np.minimum(self.pairs.get(left, right), _ENDED).astype(np.int32)
+
+    def _merge_long(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of long pieces, merged in one flat row with an empty cell after each piece."""
+        text = np.frombuffer(b"\0".join(pieces) + b"\0", dtype=np.uint8)
+        borders = np.cumsum([len(p) + 1 for p in pieces]) - 1
+        n = len(text)
+        ids = self.bytes_to_id.astype(np.int32)[text]
+        ids[borders] = -1
+        after, before = np.arange(1, n + 1, dtype=np.int64), np.arange(-1, n - 1, dtype=np.int64)
+        rank = np.full(n, _ENDED, dtype=np.int32)
+        waiting: dict[int, array] = {}
+        ranks_left: list[int] = []
+
+        def wait(cells: np.ndarray) -> None:
+            new = self._rank_of(ids[cells], ids[after[cells]])
+            rank[cells] = new
+            open_ = new < _ENDED
+            for r, cell in zip(new[open_].tolist(), cells[open_].tolist()):
+                if r in waiting:
+                    waiting[r].append(cell)
+                else:
+                    waiting[r] = array("q", (cell,))
+                    heapq.heappush(ranks_left, r)
+
+        for first in range(0, n - 1, MATRIX_CELLS):
+            wait(np.arange(first, min(first + MATRIX_CELLS, n - 1), dtype=np.int64))
+        while ranks_left:
+            r = heapq.heappop(ranks_left)
+            at = np.unique(np.frombuffer(waiting.pop(r), dtype=np.int64))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            # every other of those that overlap, from the left of each run
+            heads = np.flatnonzero(np.r_[True, after[at[:-1]] != at[1:]])
+            place = np.arange(len(at)) - np.repeat(heads, np.diff(np.r_[heads, len(at)]))
+            rest, at = at, at[place % 2 == 0]
+            if self.reach[r] and len(at) > 1:
+                at = at[self._go_at_once(r, at, ids, after, before)]
+            gone = after[at]
+            far = after[gone]
+            ids[at], ids[gone], rank[gone] = r, -1, _ENDED
+            after[at], before[far] = far, at
+            near = before[at]
+            wait(np.unique(np.r_[near[near >= 0], at]))
+            rest = rest[rank[rest] == r]
+            if len(rest):
+                waiting[r] = array("q", rest.tobytes())
+                heapq.heappush(ranks_left, r)
+        done, first = [], 0
+        for end in borders.tolist():
+            row = ids[first:end]
+            done.append(row[row >= 0].astype("<u4").tobytes())
+            first = end + 1
+        return done
+
+    def _go_at_once(self, r, at, ids, after, before) -> np.ndarray:
+        """Which of the cells ``at`` may merge to ``r`` in one round, see above."""
+        gone = after[at]
+        left = np.where(before[at] >= 0, ids[before[at]], -1)
+        left[1:][after[gone[:-1]] == at[1:]] = r  # its neighbour went just before
+        merged = np.full(len(at), r, dtype=np.int64)
+        lower = np.minimum(self.pairs.get(left, merged), self.pairs.get(merged, ids[after[gone]])) < r
+        before_it = np.cumsum(lower) - lower
+        far_off = np.r_[True, np.diff(at) >= 2 * self.reach[r]]
+        return before_it == np.maximum.accumulate(np.where(far_off, before_it, 0))
 
     def _encode_new(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of distinct pieces; those that are no token go to the matrices by length."""
@@ -187,8 +246,12 @@ class Codec:
         while i < len(rest):
             # lengths of a bucket differ by a quarter at most, and its matrix is bounded
             j = int(np.searchsorted(sizes, sizes[i] * 5 // 4, side="right"))
+            long = sizes[i] > LONG_PIECE
+            if long:  # a flat row has no padding
+                j = int(np.searchsorted(np.cumsum(sizes[i:]), MATRIX_CELLS, side="right")) + i
             j = max(i + 1, min(j, i + MATRIX_CELLS // int(sizes[i])))
-            for k, ids in zip(rest[i:j], self._merge_bucket([raws[k] for k in rest[i:j]])):
+            merge = self._merge_long if long else self._merge_bucket
+            for k, ids in zip(rest[i:j], merge([raws[k] for k in rest[i:j]])):
                 out[pieces[k]] = ids
             i = j
         return out

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -33,6 +34,34 @@ def test_same_ids_as_the_library(codec, own):
         assert codec.decode(ids) == text.encode()
 
 
+def test_one_long_piece_takes_no_square(codec, own):
+    rng = random.Random(3)
+    text = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    started = time.perf_counter()
+    (ids,) = codec.encode_batch([text])
+    assert time.perf_counter() - started < 60
+    assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(text)
+    texts = ["x" * 300_000, "日本語の文" * 5000, "".join(rng.choices("ACGT", k=65)), "".join(rng.choices("ab", k=50_000))]
+    for text, ids in zip(texts, codec.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(text)
+
+
+def test_ranks_out_of_order():
+    """Tokens whose ranks are below those of their parts: after each merge a lower rank may come up."""
+    rng = random.Random(4)
+    words = {bytes([b]) for b in range(256)}
+    words |= {bytes(rng.choices(b"abc", k=k)) for k in (2, 2, 2, 2, 3, 3, 3, 3, 3, 4, 4, 4, 5, 5, 6) for _ in range(3)}
+    order = sorted(words)
+    rng.shuffle(order)
+    ranks = {w: i for i, w in enumerate(order)}
+    codec = B.Codec(ranks, r"\p{L}+")
+    assert codec.reach.any()
+    own = tiktoken.Encoding("odd", pat_str=r"\p{L}+", mergeable_ranks=ranks, special_tokens={})
+    texts = ["".join(rng.choices("abc", k=rng.randrange(1, 400))) for _ in range(300)] + ["".join(rng.choices("abc", k=20_000))]
+    for text, ids in zip(texts, codec.encode_batch(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == own.encode_ordinary(text)
+
+
 def test_a_full_cache_changes_nothing(codec, own, monkeypatch):
     monkeypatch.setattr(B, "CACHE_PIECES", 10)
     texts = [f"some {i} other words{i * 7}" for i in range(50)]
