@@ -5,7 +5,9 @@ Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are cut by element, role and class. A class, an id or a form cuts no subtree that
 holds the article: its one article or main element, or most of the page's unlinked text
 (for names that say plainly what they are, nearly all of it; for reader comments, only
-the element counts). Every block with text of its own
+the element counts). Inside an article element a name whose last word is none of the cut
+words ("share-price") cuts nothing between other text unless most of it is links; paragraphs are
+cut by plain names only. Every block with text of its own
 passes points for its length and its commas, discounted by the share of link text,
 to the container around it, half of them to the next, and less further up. The container
 with the most points after its own link discount is kept, with those siblings that
@@ -62,11 +64,17 @@ PART_WORDS = frozenset(
     "list lists area section sections box block blocks container wrapper wrap inner outer content body item items text title "
     "bar group holder panel links posts articles stories".split()
 )
+#: Further words that say where or how an element stands, not what it is ("ad-slot", "newsletter-top").
+PLACE_WORDS = frozenset(
+    "slot unit card cards button buttons form thread dialog space placement label icon icons module component region zone count "
+    "counts tools cta prompt message strip tray wrap header top left right bottom mid middle center inline main side native frame "
+    "row col column feed stream".split()
+)
 #: Cuts that may hold the article: forms, and names in classes and ids by how plain they are.
 FORM_TAGS = frozenset("form fieldset".split())
-HARD, LOOSE, PLAIN, COMMENT = 1, 2, 3, 4
+HARD, WEAK, LOOSE, PLAIN, COMMENT = 1, 2, 3, 4, 5
 #: Elements that a class never cuts.
-KEEP_TAGS = frozenset("html body article main p".split())
+KEEP_TAGS = frozenset("html body article main".split())
 CLOSES = {
     "li": frozenset(["li"]),
     "dt": frozenset(["dt", "dd"]),
@@ -215,28 +223,64 @@ class Page:
                 if key == "class":
                     self.names[node] = value
                 for token in value.split():
-                    kind = _named(token, in_article)
-                    if name not in KEEP_TAGS:
+                    kind, sure = _named(token, in_article)
+                    if name == "p":
+                        found = max(found, kind if sure and kind >= PLAIN else 0)
+                    elif name not in KEEP_TAGS:
                         found = max(found, kind)
                     elif kind:
                         self.misnamed.add(node)
         return found
 
 
-def _named(token: str, in_article: bool) -> int:
-    """What one name of a class or id cuts by; 0 if it is no cut."""
+def _named(token: str, in_article: bool) -> tuple[int, bool]:
+    """What one name of a class or id cuts by, 0 if it is no cut; and whether it says what the element is."""
     words = [w.lower() for w in _WORD.findall(token)]
-    found = 0
-    for k, w in enumerate(words):
-        if w not in CUT_WORDS and (in_article or w not in CUT_HEADER_WORDS):
-            continue
-        if (k and words[k - 1] in LAYOUT_BEFORE) or (k + 1 < len(words) and words[k + 1] in LAYOUT_AFTER):
-            continue
-        if w in COMMENT_WORDS:
-            return COMMENT
-        plain = all(v in CUT_WORDS or v in CUT_HEADER_WORDS or v in PART_WORDS for v in words)
-        found = PLAIN if plain else LOOSE
-    return found
+    cut = [w in CUT_WORDS or (w in CUT_HEADER_WORDS and not in_article) for w in words]
+    of_layout = [
+        (k > 0 and words[k - 1] in LAYOUT_BEFORE) or (k + 1 < len(words) and words[k + 1] in LAYOUT_AFTER) for k in range(len(words))
+    ]
+    found = [w for w, c, no in zip(words, cut, of_layout) if c and not no]
+    if not found:
+        return 0, False
+    plain = all(c or w in CUT_HEADER_WORDS or w in PART_WORDS for w, c in zip(words, cut))
+    # the last word that names more than a part is what the element is
+    noun = next((c for w, c in reversed(list(zip(words, cut))) if c or not (w in PART_WORDS or w in PLACE_WORDS)), False)
+    if in_article and not plain and not noun:
+        return WEAK, False
+    if COMMENT_WORDS.intersection(found):
+        return COMMENT, plain or noun
+    return (PLAIN if plain else LOOSE), plain or noun
+
+
+def _keep_weak(page: Page, soft: list[int], linked: list[bool]) -> None:
+    """Undoes weak cuts that are mostly unlinked and stand between free text of their article."""
+    tag, parent = page.tag, page.parent
+    n = len(tag)
+    article, under = [0] * n, [False] * n
+    for i in range(1, n):
+        article[i] = i if tag[i] == "article" else article[parent[i]]
+        under[i] = bool(soft[i]) or under[parent[i]]
+    every, unlinked, place = [0] * n, [0] * n, [len(page.flow)] * n
+    span: dict[int, tuple[int, int]] = {}
+    for at, (node, text) in enumerate(page.flow):
+        k = sum(map(len, text.split())) if text is not None else 0
+        if k:
+            every[node] += k
+            place[node] = min(place[node], at)
+            if not linked[node]:
+                unlinked[node] += k
+                if not under[node]:
+                    span[article[node]] = (span.get(article[node], (at, at))[0], at)
+    for i in range(n - 1, 0, -1):
+        every[parent[i]] += every[i]
+        unlinked[parent[i]] += unlinked[i]
+        place[parent[i]] = min(place[parent[i]], place[i])
+    for i in range(1, n):
+        if soft[i] == WEAK and 2 * unlinked[i] > every[i]:
+            first, last = span.get(article[i], (-1, n + len(page.flow)))
+            if first < place[i] < last:
+                soft[i] = 0
 
 
 def _gone(page: Page) -> list[bool]:
@@ -250,6 +294,9 @@ def _gone(page: Page) -> list[bool]:
     linked, in_comment, under = [False] * n, [False] * n, [False] * n
     for i in range(1, n):
         linked[i] = tag[i] == "a" or linked[parent[i]]
+    if WEAK in soft:
+        _keep_weak(page, soft, linked)
+    for i in range(1, n):
         in_comment[i] = soft[i] == COMMENT or in_comment[parent[i]]
         under[i] = bool(soft[i]) or under[parent[i]]
     #: unlinked text, all of it and without comments, of each subtree
@@ -276,7 +323,7 @@ def _gone(page: Page) -> list[bool]:
                 top = parent[top]
     total = size[0]
     for i in range(1, n):
-        if (soft[i] == LOOSE and 2 * size[i] > total) or (soft[i] == PLAIN and 10 * size[i] > 9 * total):
+        if (soft[i] in (WEAK, LOOSE) and 2 * size[i] > total) or (soft[i] == PLAIN and 10 * size[i] > 9 * total):
             soft[i] = 0
     gone = [False] * n
     for i in range(1, n):

@@ -87,6 +87,32 @@ def test_pages_of_divs_keep_their_headings_lists_and_sections(html, text):
     assert " ".join(got.split()) == " ".join(text.format(LONG[3:-4]).split())
 
 
+@pytest.mark.parametrize(
+    "part, kept",
+    [
+        ('<p class="ad">Buy now</p>', ""),
+        ('<p class="cookie-notice">We use cookies</p>', ""),
+        ('<p class="user-comment">First!</p>', ""),
+        ('<p class="share-price">Up.</p>', "Up."),
+        ('<div class="share-price">Share price rose.</div>', "Share price rose."),
+        ('<div class="alert-level">High.</div>', "High."),
+        ('<blockquote class="comment-quote">No comment.</blockquote>', "No comment."),
+        ('<div id="nav-history-section"><p>Of ships.</p></div>', "Of ships."),
+        ('<div class="share-price"><a href="/">a</a> <a href="/b">b</a></div>', ""),
+        ('<div class="ad-slot">Buy now</div>', ""),
+        ('<div class="article-share">Tell a friend</div>', ""),
+        ('<div class="reader-comments"><p>First!</p></div>', ""),
+    ],
+)
+def test_names_inside_the_article(part, kept):
+    page = f"<body><article><p>One long line, with commas.</p>{part}<p>Another, as long as that.</p></article></body>"
+    assert main_text(page).split("\n") == ["One long line, with commas.", *filter(None, [kept]), "Another, as long as that."]
+    # outside the run of text, a name that only holds a cut word cuts
+    if part.startswith("<div") and "nav-" in part:
+        page = f"<body><article><p>One long line, with commas.</p>{part}</article></body>"
+        assert main_text(page) == "One long line, with commas."
+
+
 def test_link_lists_lose_against_text():
     links = "".join(f"<p><a href=x>link number {i}, with, commas, and, words</a></p>" for i in range(20))
     assert main_text(f"<body><div>{links}</div><div><p>This is the text, of the page, as it is.</p><p>More of it, here.</p></div>") == (
