@@ -9,7 +9,9 @@ record as a gzip member of its own, and writes a sidecar index of file, offset a
 Equal payloads of ``LEAST_SHARED`` bytes or more are written once: the record of the
 largest page_id is the response, the others revisit it.
 
-Files lie in the shared folder and are reached by pyarrow's file systems. Every
+Files lie in the shared folder and are reached by pyarrow's file systems. A folder is
+resolved on the driver as Spark resolves it (a bare path lies in the default file system), and
+one that pyarrow cannot reach is refused before anything is written. Every
 attempt of a task writes files of its own names; only the names in the table that Spark
 commits count, so a lost, repeated or second attempt does no harm.
 
@@ -42,11 +44,31 @@ MEMBERS_A_TASK = 2000
 _LENGTH = re.compile(rb"\r\ncontent-length:[ \t]*(\d+)[ \t]*(?:\r\n|\Z)", re.I)
 
 
-def _file_system(folder: str) -> tuple[pafs.FileSystem, str]:
-    """(file system, path) of a folder given as a path or a URI."""
-    if "://" in folder or folder.startswith("file:"):
-        return pafs.FileSystem.from_uri(folder)
-    return pafs.LocalFileSystem(), folder
+def resolved(spark: SparkSession, folder: str) -> str:
+    """The URI of ``folder`` as Spark resolves it, in the form that every task can open."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    conf = spark._jsc.hadoopConfiguration()
+    if jpath.toUri().getScheme() is None:
+        if not jpath.isAbsolute():
+            jpath = spark._jvm.org.apache.hadoop.fs.Path(jpath.getFileSystem(conf).getWorkingDirectory(), jpath)
+        jpath = jpath.makeQualified(spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(conf), jpath)
+    uri = jpath.toString()
+    scheme, _, rest = uri.partition(":")
+    # fixed values: other names of a scheme
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    uri = f"{scheme}:{rest}"
+    try:
+        _file_system(uri)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError) as error:
+        raise ValueError(f"WARC files cannot be written to {uri}: {error}") from error
+    return uri
+
+
+def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
+    """(file system, path) of a resolved folder."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(uri)
 
 
 def classify(pages: DataFrame, least: int = LEAST_SHARED) -> DataFrame:
@@ -120,6 +142,7 @@ class _Parts:
 
 def write_archives(classified: DataFrame, folder: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Writes the rows of ``classify`` as monolithic files; a table of (name, bytes)."""
+    folder = resolved(classified.sparkSession, folder)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -192,7 +215,7 @@ def normalise(archives: DataFrame, source: str, target: str) -> DataFrame:
     Columns: name, number, offset, length. The same index lies beside each file as
     ``<name>.idx``, one line a record. A file is one task, in constant memory.
     """
-    spark = archives.sparkSession
+    source, target = (resolved(archives.sparkSession, x) for x in (source, target))
     files = archives.select("name")
     tasks = max(1, files.count())
 
@@ -242,6 +265,7 @@ def _parsed(record: bytes) -> tuple:
 
 def read_records(index: DataFrame, folder: str) -> DataFrame:
     """What each record of a normalised archive holds, read by offset and length."""
+    folder = resolved(index.sparkSession, folder)
     names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
 

@@ -4,6 +4,8 @@ import io
 import os
 import zlib
 
+import pytest
+
 from barloom.llm import warc as W
 
 PAGES = "page_id long, url string, html string"
@@ -54,3 +56,22 @@ def test_no_pages(spark, tmp_path):
     archives = W.write_archives(W.classify(pages), str(tmp_path / "a"))
     index = W.normalise(archives, str(tmp_path / "a"), str(tmp_path / "b"))
     assert W.read_records(index, str(tmp_path / "b")).count() == 0
+
+
+def test_folders_are_resolved_as_spark_does(spark, tmp_path):
+    conf = spark._jsc.hadoopConfiguration()
+    assert W.resolved(spark, "/a b/c") == "file:/a b/c"
+    assert W._file_system("file:///a b/c")[1] == W._file_system("file:/a b/c")[1] == "/a b/c"
+    assert W.resolved(spark, "relative").endswith("/relative")
+    before = conf.get("fs.defaultFS")
+    folder = tmp_path / "shared"
+    conf.set("fs.defaultFS", "other://host:1/")
+    try:
+        # a bare path is no local folder where the default file system is another one
+        for path in (str(folder), "dbfs:/shared", "other://host:1/shared"):
+            with pytest.raises(ValueError, match="cannot be written to (other|dbfs):"):
+                W.write_archives(W.classify(spark.createDataFrame([(1, "u", "h")], PAGES)), path)
+        assert W.resolved(spark, f"file:{folder}") == f"file:{folder}"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert not folder.exists()
