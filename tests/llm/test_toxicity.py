@@ -1,10 +1,13 @@
+import math
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from barloom.llm import arrays as A
 from barloom.llm import toxicity as X
 
 from .conftest import ODD_ROWS
@@ -83,6 +86,80 @@ def test_held_out_accuracy(spark, make_docs):
     assert by[1] > 0.7 and by[1] > by[2]
 
 
+def plain_tokens(text):
+    """Runs of letters, digits and bytes from 128 on; a long one is followed by its pieces."""
+    raw = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    out = []
+    for m in re.finditer(rb"[0-9a-z\x80-\xff]+", raw):
+        token = m[0]
+        out.append(token)
+        if len(token) > X.LONG:
+            starts = [k for k in range(len(token)) if token[k] & 0xC0 != 0x80]
+            for before, k in zip(starts, starts[1:]):
+                if before + X.PIECE < len(token):
+                    out.append(token[k : k + X.PIECE])
+    return out
+
+
+def plain_score(net, text):
+    """The network token by token in plain loops, over all windows of one text."""
+    sigmoid = lambda a: 1 / (1 + math.exp(-a))
+    dot = lambda v, M, j: sum(a * M[i][j] for i, a in enumerate(v))
+    p = {k: v.astype(float).tolist() for k, v in net.p.items()}
+    row_of = {h: k + 1 for k, h in enumerate(net.known.tolist())}
+    H = X.HIDDEN
+
+    def embedded(token):
+        raw = np.frombuffer(token, np.uint8)
+        buffer = A.padded(raw, lower=True)
+        (hashes,) = X._features(buffer, np.array([0]), np.array([len(raw)]))[1].tolist()
+        return [sum(float(net.table[row_of.get(h, 0)][d]) for h in hashes) for d in range(X.INPUT)]
+
+    def states(vectors, U, base):
+        h, out = [0.0] * H, []
+        for v in vectors:
+            g = [dot(v, p["W"], base + j) + p["b"][base + j] for j in range(3 * H)]
+            u = [dot(h, U, j) for j in range(3 * H)]
+            z = [sigmoid(g[j] + u[j]) for j in range(H)]
+            r = [sigmoid(g[H + j] + u[H + j]) for j in range(H)]
+            c = [math.tanh(g[2 * H + j] + r[j] * u[2 * H + j]) for j in range(H)]
+            h = [(1 - z[j]) * h[j] + z[j] * c[j] for j in range(H)]
+            out.append(h)
+        return out
+
+    tokens = [embedded(t) for t in plain_tokens(text)]
+    if not tokens:
+        best = X.EMPTY_LOGIT
+    else:
+        best, first = -math.inf, 0
+        while True:
+            window = tokens[first : first + X.WINDOW]
+            ahead, back = states(window, p["Uf"], 0), states(window[::-1], p["Ub"], 3 * H)[::-1]
+            both = [a + b for a, b in zip(ahead, back)]
+            weight = []
+            for h in both:
+                e = [math.tanh(dot(h, p["A"], j)) for j in range(2 * H)]
+                weight.append(math.exp(sum(a * b for a, b in zip(e, p["v"]))))
+            pooled = [sum(w * h[j] for w, h in zip(weight, both)) / sum(weight) for j in range(2 * H)]
+            best = max(best, sum(a * b for a, b in zip(pooled, p["o"])) + p["c"][0])
+            if first + X.WINDOW >= len(tokens):
+                break
+            first += X.STRIDE
+    return sigmoid(net.scale[0] * best + net.scale[1])
+
+
+def test_scores_are_those_of_a_plain_loop(spark, make_docs):
+    rows, labels = corpus(random.Random(5), 120)
+    texts = [t for _, t in rows]
+    net = X.train([t.encode() for t in texts], np.array([y for _, y in labels], float), rounds=1, epochs=1)
+    net.scale = (1.3, -0.2)
+    odd = ["", " .,; ", "One", "nastyword" * 5 + " end", "日本語のテキストの中" * 4, "É" * 40, "A-b_c 0x1F, naïve"]
+    texts = texts[:12] + odd + [" ".join(texts[12:15])]
+    got = {r.doc_id: r[X.SCORE] for r in X.score(make_docs(list(enumerate(texts))), net).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == pytest.approx(plain_score(net, text), abs=2e-4), text
+
+
 def test_every_byte_of_a_long_run_is_in_a_short_token():
     for text in ("日本語の文章" * 50, "abcdefghijklmnopq", "😀" * 9, "ไทย" * 7, "ab é" + "x" * 11):
         raw = np.frombuffer(text.encode(), dtype=np.uint8)
