@@ -1,3 +1,4 @@
+import random
 import time
 
 import pytest
@@ -113,6 +114,59 @@ def test_names_inside_the_article(part, kept):
         assert main_text(page) == "One long line, with commas."
 
 
+def built_page(rng):
+    """(html, text) of a page made from a tree whose article blocks are known as they are written."""
+    lines = []
+
+    def words(least, most):
+        return " ".join(rng.choice(["alpha", "beta,", "gamma", "delta.", "été", "R&D", "x<y", "so,"]) for _ in range(rng.randint(least, most)))
+
+    def written(text):
+        text = text.replace("&", "&amp;").replace("<", rng.choice(["&lt;", "&#60;"]))
+        return text.replace(" ", rng.choice([" ", "\n  "])).replace("é", rng.choice(["é", "&eacute;"]))
+
+    def block(tag, least, most):
+        text = words(least, most)
+        lines.append(text)
+        inner = written(text)
+        if rng.random() < 0.3:
+            inner = f"<b>{inner}</b>"
+        return f"<{tag}>{inner}</{tag}>" if tag != "p" or rng.random() < 0.7 else f"<p>{inner}"
+
+    def noise():
+        text = written(words(3, 30))
+        return rng.choice([
+            f"<nav><ul><li><a href=/>{text}</a></ul></nav>", f"<div class='ad'>{text}</div>", f"<p class=advert>{text}</p>",
+            f"<aside>{text}</aside>", f"<form><p>{text}</p></form>", f"<script>{text}</script>", f"<div id=cookie-notice><p>{text}</p></div>",
+            f"<section class='comments'><p>{text}</p></section>", f"<footer>{text}</footer>", f"<!-- {text} -->", f"<div hidden>{text}</div>",
+        ])
+
+    def part(depth):
+        kind = rng.randrange(7 if depth else 5)
+        if kind < 2:
+            return block("p", 5, 60)
+        if kind == 2:
+            return block(rng.choice(["h2", "blockquote"]), 2, 12)
+        if kind == 3:
+            return "<ul>" + "".join(block("li", 1, 8) for _ in range(rng.randint(1, 4))) + "</ul>"
+        if kind == 4:
+            return noise()
+        inner = "".join(part(depth - 1) for _ in range(rng.randint(1, 4)))
+        return rng.choice(["<div>{}</div>", "<section>{}</section>", "<div class=share-price-table>{}</div>"]).format(inner)
+
+    inner = block("h1", 2, 8) + block("p", 20, 60) + "".join(part(3) for _ in range(rng.randint(1, 8))) + block("p", 20, 60)
+    outside = [noise() for _ in range(4)]
+    html = f"<html><head><title>t</title></head><body>{outside[0]}<div class=page>{outside[1]}<article>{inner}</article>{outside[2]}</div>{outside[3]}"
+    return html, "\n".join(lines)
+
+
+def test_built_pages():
+    rng = random.Random(6)
+    for _ in range(400):
+        html, text = built_page(rng)
+        assert main_text(html) == text, html
+
+
 def test_link_lists_lose_against_text():
     links = "".join(f"<p><a href=x>link number {i}, with, commas, and, words</a></p>" for i in range(20))
     assert main_text(f"<body><div>{links}</div><div><p>This is the text, of the page, as it is.</p><p>More of it, here.</p></div>") == (
