@@ -12,14 +12,18 @@
 4. The others are counted in all blocks: their hashes are broadcast up to
    ``broadcast_bytes``, beyond that the counts of all phrases of every block meet them in
    a join. Both ways give the same counts.
-5. Scores, cuts and containment are joins over the frequent phrases, which hold all parts of
+5. Steps 2 to 4 run twice, first for words and pairs, then for longer phrases. The second
+   time a place counts only if the pairs it is made of are frequent in the whole language:
+   their hashes go to the shards as a bitmap of at most ``1 << MOST_BITS`` bits, in which a
+   wrong hit costs a candidate and no result.
+6. Scores, cuts and containment are joins over the frequent phrases, which hold all parts of
    one another; products are decimals. The best of each language come from a window
    whose limit Spark applies before the shuffle.
 
 Hashes have 64 bits; the global count takes the smaller of two counts under independent
 hashes, so only phrases that collide in both are counted wrongly.
 
-With more shards of a language than ``support`` the local bar is one: every phrase is then named,
+With more shards of a language than ``support`` the local bar is one: every pair is then named,
 and step 3 is a plain count. ``shard_bytes`` may grow with the executors' memory.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count each;
@@ -34,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,13 +52,14 @@ LONGEST = 4
 CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 32 << 20
 BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
 COUNT_BYTES = 8 << 20
 STEP = 1 << 17
-NAMED = 1 << 15
+NAMED = 1 << 17
+MOST_BITS = 28
 RANGE_BITS = 3
 RANGES = 1 << RANGE_BITS
 
@@ -158,26 +164,66 @@ class _Words:
                     x[i : i + STEP] = A.mix(x[i : i + STEP] * np.uint64(0xD6E8FEB86659FD93) ^ w[k + i : k + i + STEP][: n - i])
 
 
-def _named(phrases: list[bytes], k: int) -> pa.Table:
-    """Both hashes of some phrases of ``k`` words."""
-    words = _Words(b"".join(p + b"\n" for p in phrases))
-    for size, keys, _ in words.lengths(k):
-        if size == k:
-            pair = [pa.array(x[::k].copy().view(np.int64)) for x in keys]
-    return pa.table([*pair, pa.array(phrases, pa.binary()).cast(pa.string())], ["h1", "h2", "phrase"])
+def _with_hashes(longest: int):
+    """The rows with both hashes of their phrase."""
 
-
-def _mine(support: int, longest: int):
-    """The locally frequent phrases of one shard, sorted in ranges of hashes to save memory."""
-
-    def mine(table: pa.Table) -> pa.Table:
-        lang, total = table.column("lang")[0].as_py(), table.column("n")[0].as_py()
-        shard = _Words(_expanded(table.column("data")), ways=1)
-        del table
+    @A.trimmed
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            phrases = batch.column("phrase").cast(pa.binary()).to_pylist()
+            words = _Words(b"".join(p + b"\n" for p in phrases))
+            past = np.flatnonzero(words.last) + 1
+            first = np.append(0, past[:-1])
+            hashes = np.zeros((2, len(phrases)), np.uint64)
+            for k, keys, _ in words.lengths(longest):
+                own = np.flatnonzero(past - first == k)
+                hashes[:, own] = np.stack([x[first[own]] for x in keys])
+            for name, values in zip(("h1", "h2"), hashes):
+                batch = batch.append_column(name, pa.array(values.view(np.int64)))
+            yield batch
+
+    return add
+
+
+def _bits(pairs: DataFrame, langs: DataFrame) -> tuple[int, np.ndarray]:
+    """(b, bitmap of the first b bits of the hashes of frequent pairs, each language with a seed of its own)."""
+    bits = min(MOST_BITS, max(10, (16 * pairs.count()).bit_length()))
+    shape = "lang string, phrase string, h1 long, h2 long"
+    hashed = pairs.select("lang", "phrase").mapInArrow(_with_hashes(2), shape).join(langs.select("lang", "seed"), "lang")
+    place = hashed.select(F.expr(f"shiftrightunsigned(h1 ^ seed, {64 - bits})").alias("place"))
+    # at most a row for each 64 bits of the map
+    rows = place.groupBy(F.expr("place div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits"))
+    found = rows.toArrow()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return bits, out
+
+
+def _mine(support: int, shortest: int, longest: int, sent=None):
+    """The locally frequent phrases of one shard, sorted in ranges of hashes to save memory.
+
+    ``sent`` holds the bitmap of frequent pairs, for a ``shortest`` of three.
+    """
+
+    def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        data = []
+        for batch in batches:
+            lang, total, seed = (batch.column(c)[0].as_py() for c in ("lang", "n", "seed"))
+            data.append(_expanded(batch.column("data")))
+        shard = _Words(b"".join(data), ways=1)
+        del data, batch
         bar = -(-support * len(shard.start) // total)
-        found = []
         frequent = None
         for k, (keys,), inside in shard.lengths(longest):
+            if k < shortest:
+                if k == shortest - 1 and sent is not None:
+                    bits, known = sent.value
+                    frequent = np.zeros(len(inside), bool)
+                    for i in range(0, len(inside), STEP):
+                        place = (keys[i : i + STEP] ^ np.int64(seed).view(np.uint64)) >> np.uint64(64 - bits)
+                        hit = known[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+                        frequent[i : i + STEP] = inside[i : i + STEP] & (hit > 0)
+                continue
             if frequent is not None:
                 # both parts of k - 1 words must be frequent
                 inside = inside & frequent[: len(inside)] & frequent[1 : len(inside) + 1]
@@ -196,30 +242,32 @@ def _mine(support: int, longest: int):
                 for i in range(0, len(one), NAMED):
                     first = one[i : i + NAMED]
                     spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
-                    named = _named([shard.data[a:b] for a, b in spans], k)
-                    found.append(named.append_column("n", pa.array(size[i : i + NAMED])))
-        out = pa.concat_tables(found) if found else _named([b""], 1).append_column("n", pa.array([0])).slice(0, 0)
-        for name, value, kind in (("bar", bar, pa.int64()), ("lang", lang, pa.string())):
-            out = out.append_column(name, pa.repeat(pa.scalar(value, kind), len(out)))
-        del shard, found
+                    phrases = pa.array([shard.data[a:b] for a, b in spans], pa.binary())
+                    # phrases with the same beginning next to each other: smaller in the shuffle
+                    by_name = pc.array_sort_indices(phrases)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(first), pa.string()), phrases.take(by_name).cast(pa.string()),
+                         pa.array(size[i : i + NAMED]).take(by_name), pa.repeat(pa.scalar(bar, pa.int64()), len(first))],
+                        ["lang", "phrase", "n", "bar"],
+                    )
+        del shard
         A.released()
-        return out.select(["lang", "h1", "h2", "phrase", "n", "bar"])
 
     return mine
 
 
 def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
-    """lang, h1, h2 and exact count of the named phrases, by a broadcast of their hashes."""
+    """id and exact count of the named phrases, by a broadcast of their hashes."""
     langs = named.column("lang").to_numpy(zero_copy_only=False)
-    hashes = np.stack([named.column(h).to_numpy().view(np.uint64) for h in ("h1", "h2")])
-    sent = blocks.sparkSession.sparkContext.broadcast({lang: hashes[:, langs == lang] for lang in set(langs.tolist())})
+    rows = np.stack([named.column(c).to_numpy() for c in ("h1", "h2", "id")])
+    sent = blocks.sparkSession.sparkContext.broadcast({lang: rows[:, langs == lang] for lang in set(langs.tolist())})
 
     @A.trimmed
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = {}
-        for lang, pair in sent.value.items():
-            order = [np.argsort(h) for h in pair]
-            wanted[lang] = [(o, h[o]) for o, h in zip(order, pair)]
+        for lang, (*pair, _) in sent.value.items():
+            order = [np.argsort(h.view(np.uint64)) for h in pair]
+            wanted[lang] = [(o, h.view(np.uint64)[o]) for o, h in zip(order, pair)]
         totals: dict[str, np.ndarray] = {}
         held: dict[str, list[bytes]] = {}
 
@@ -244,13 +292,10 @@ def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
             some = np.flatnonzero(n)
             for first in range(0, len(some), 1 << 16):
                 at = some[first : first + (1 << 16)]
-                pair = sent.value[lang][:, at].view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(at), pa.string()), pa.array(pair[0]), pa.array(pair[1]), pa.array(n[at])], ["lang", "h1", "h2", "n"]
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(sent.value[lang][2, at]), pa.array(n[at])], ["id", "n"])
 
-    found = blocks.select("lang", "data").mapInArrow(count, "lang string, h1 long, h2 long, n long")
-    return found.groupBy("lang", "h1", "h2").agg(F.sum("n").alias("a"))
+    found = blocks.select("lang", "data").mapInArrow(count, "id long, n long")
+    return found.groupBy("id").agg(F.sum("n").alias("a"))
 
 
 def _count_all(blocks: DataFrame, named: DataFrame, longest: int) -> DataFrame:
@@ -269,7 +314,7 @@ def _count_all(blocks: DataFrame, named: DataFrame, longest: int) -> DataFrame:
 
     keys = ["lang", "h1", "h2"]
     found = blocks.select("lang", "data").mapInArrow(count, "lang string, h1 long, h2 long, n long")
-    return found.join(named.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.sum("n").alias("a"))
+    return found.join(named.select("id", *keys), keys).groupBy("id").agg(F.sum("n").alias("a"))
 
 
 def frequent_phrases(
@@ -282,39 +327,48 @@ def frequent_phrases(
     """(lang, phrase, a of all phrases of 1 to ``longest`` words that occur ``support`` times; lang, n words)."""
     blocks = stored(piece_blocks(docs), "pieces")
     langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(F.sum("bytes") / shard_bytes).alias("shards"))
-    langs = stored(langs, "langs")
+    langs = stored(langs.withColumn("seed", F.xxhash64("lang")), "langs")
     # the table of languages has one small row each; Spark broadcasts it by its measured size
     dealt = blocks.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("at"), "shards"))
     bars = dealt.groupBy("lang", "shard").agg(F.sum("words").alias("own"), F.first("n").alias("n"))
     bar = F.expr(f"({support} * own + n - 1) div n")
     slack = stored(bars.groupBy("lang").agg(F.sum(bar - 1).alias("slack")), "bars")
 
-    local = (
-        dealt.select("lang", "shard", "n", "data")
-        .groupBy("lang", "shard")
-        .applyInArrow(_mine(support, longest), "lang string, h1 long, h2 long, phrase string, n long, bar long")
-    )
-    keys = ["lang", "h1", "h2"]
-    union = (
-        # a shard names a phrase once, so there is nothing to add up before the shuffle
-        local.repartition("h1", "h2")
-        .groupBy(*keys, "phrase")
-        .agg(F.sum("n").alias("a"), F.sum(F.col("bar") - 1).alias("told"))
-        .join(slack, "lang")
-        # a shard that did not name the phrase holds it less often than its bar
-        .filter(F.col("a") + F.col("slack") - F.col("told") >= support)
-        .select(*keys, "phrase", "a", (F.col("told") == F.col("slack")).alias("exact"))
-    )
-    union = stored(union, "union")
-    unsure = union.filter("not exact")
-    if unsure.count() * 16 <= broadcast_bytes:
-        counted = _count_named(blocks, unsure.select(*keys).toArrow(), longest)
-    else:
-        counted = _count_all(blocks, unsure, longest)
-    counted = unsure.drop("a").join(counted, keys)
-    names = ["lang", "phrase", "a"]
-    found = union.filter("exact").select(*names).unionByName(counted.select(*names)).filter(F.col("a") >= support)
-    return stored(found, "phrases"), langs.select("lang", "n")
+    def mined(shortest: int, longest: int, sent=None) -> DataFrame:
+        """The frequent phrases of some lengths: mined in shards, united, counted."""
+        local = (
+            dealt.select("lang", "shard", "n", "seed", "data")
+            .groupBy("lang", "shard")
+            .applyInArrow(_mine(support, shortest, longest, sent), "lang string, phrase string, n long, bar long")
+        )
+        union = (
+            # a shard names a phrase once, so there is nothing to add up before the shuffle
+            local.repartition("lang", "phrase")
+            .groupBy("lang", "phrase")
+            .agg(F.sum("n").alias("a"), F.sum(F.col("bar") - 1).alias("told"))
+            .join(slack, "lang")
+            # a shard that did not name the phrase holds it less often than its bar
+            .filter(F.col("a") + F.col("slack") - F.col("told") >= support)
+            .select("lang", "phrase", "a", (F.col("told") == F.col("slack")).alias("exact"))
+        )
+        union = stored(union.withColumn("id", F.monotonically_increasing_id()), "union")
+        names = ["lang", "phrase", "a"]
+        unsure = union.filter("not exact").select("id", "lang", "phrase")
+        hashed = unsure.mapInArrow(_with_hashes(longest), "id long, lang string, phrase string, h1 long, h2 long")
+        hashed = hashed.select("id", "lang", "h1", "h2")
+        if unsure.count() * 24 <= broadcast_bytes:
+            counted = _count_named(blocks, hashed.toArrow(), longest)
+        else:
+            counted = _count_all(blocks, hashed, longest)
+        counted = unsure.join(counted, "id").select(*names)
+        found = union.filter("exact").select(*names).unionByName(counted).filter(F.col("a") >= support)
+        return stored(found, "phrases")
+
+    found = mined(1, min(2, longest))
+    if longest > 2:
+        pairs = found.filter(F.col("phrase").contains(" "))
+        found = found.unionByName(mined(3, longest, docs.sparkSession.sparkContext.broadcast(_bits(pairs, langs))))
+    return found, langs.select("lang", "n")
 
 
 def collocations(docs: DataFrame, top: int = TOP, **mining) -> DataFrame:

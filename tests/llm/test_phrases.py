@@ -73,6 +73,27 @@ def test_small_support_and_top(as_docs):
     assert sorted(map(tuple, got.collect())) == brute(rows, 4, 5)
 
 
+def test_crowded_bitmap(as_docs, monkeypatch):
+    """A bitmap too small for its pairs only lets more candidates pass."""
+    monkeypatch.setattr(P, "MOST_BITS", 10)
+    rows = corpus(10)
+    got = P.collocations(as_docs(rows), support=4, shard_bytes=3000)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 4)
+
+
+def test_bitmap_holds_every_pair(spark):
+    pairs = [(lang, f"a{i} b") for lang in ("en", "é") for i in range(40)]
+    langs = spark.createDataFrame([("en", 5), ("é", -7)], "lang string, seed long")
+    bits, known = P._bits(spark.createDataFrame(pairs, "lang string, phrase string"), langs)
+    assert len(known) == 1 << (bits - 6) and sum(int(x).bit_count() for x in known) <= 80
+    for lang, seed in (("en", 5), ("é", -7)):
+        words = P._Words(b"".join(p.encode() + b"\n" for x, p in pairs if x == lang))
+        *_, (_, keys, inside) = words.lengths(2)
+        for key in keys[0][inside].tolist():
+            place = (key ^ seed % (1 << 64)) >> (64 - bits)
+            assert int(known[place >> 6]) >> (place & 63) & 1
+
+
 def test_large_counts_stay_exact(spark, monkeypatch):
     """Products beyond 64 bits."""
     a = 9 * 10**17
