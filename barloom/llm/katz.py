@@ -308,6 +308,7 @@ class Katz:
 
     def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES):
         spark = docs.sparkSession
+        self.block_bytes = block_bytes
         self.blocks = stored(_blocks(docs, block_bytes), "blocks")
         total = self.blocks.agg(F.sum(F.octet_length("texts"))).first()[0] or 0
         self.parts = int(total // (part_bytes // 2)) + 1  # texts are packed to about half
@@ -410,6 +411,57 @@ class Katz:
         )
 
 
+    def score_texts(self, docs: DataFrame) -> DataFrame:
+        """The columns of ``score`` for the rows (doc_id, text) of any frame, by joins with the stored tables.
+
+        The model stays as it is; ``held_out`` says what the id would have been. Each text sends a
+        row for each of its distinct bigrams; hot words are left to the adaptive skew join.
+        """
+        tokens = float(max(1, self.tokens))
+        blocks = stored(_blocks(docs, self.block_bytes), "asked")
+        asked = blocks.mapInArrow(_bigrams_of_rows, "block long, row long, doc_id long, held_out boolean, word long, context long, times long")
+        found = (
+            asked.join(self.bigrams.select("word", "context", F.col("n").alias("pair_n")), ["word", "context"], "left")
+            .join(self.unigrams.withColumnRenamed("n", "word_n"), "word", "left")
+            .join(self.contexts.withColumnRenamed("n", "context_n"), "context", "left")
+        )
+        known = F.coalesce("word_n", F.lit(0))
+        p_word = F.when(known > 0, _discounted_column("word_n", self.word_factors)).otherwise(float(self.unknown)) / tokens
+        back = F.coalesce("alpha", F.lit(1.0)) * p_word
+        p = F.when(F.col("pair_n") > 0, _discounted_column("pair_n", self.pair_factors) / F.col("context_n")).otherwise(back)
+        p = p if self.tokens else F.lit(1.0)
+        base = (known + 0.5) / (self.tokens + 0.5 * (self.types + 1))
+        times = F.col("times")
+        return (
+            found.groupBy("block", "row", "doc_id", "held_out")
+            .agg(
+                F.sum(times).alias("n_tokens"),
+                F.sum(F.when(known > 0, times).otherwise(0)).alias("n_known"),
+                F.lit(self.tokens).cast("long").alias("train_tokens"),
+                F.sum(times * F.log10(base)).alias("base_score"),
+                F.sum(times * F.log10(p)).alias("score"),
+            )
+            .drop("block", "row")
+        )
+
+
+def _bigrams_of_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct bigrams of every text of some blocks and how often they stand in it."""
+    for batch in batches:
+        for name, ids, held, texts in zip(*(batch.column(c) for c in ("block", "ids", "held", "texts"))):
+            block = Block(held.as_py(), texts.as_py())
+            key, times = np.unique(block.row * np.int64(len(block.pairs)) + block.pair, return_counts=True)
+            signed = block.words.view(np.int64)
+            for first in range(0, len(key), 1 << 16):
+                row, pair = np.divmod(key[first : first + (1 << 16)], len(block.pairs))
+                word, context = np.divmod(block.pairs[pair], len(block.words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(name, len(row)), pa.array(row), ids.values.take(pa.array(row)), pa.array(~block.train[row]),
+                     pa.array(signed[word]), pa.array(signed[context]), pa.array(times[first : first + (1 << 16)])],
+                    ["block", "row", "doc_id", "held_out", "word", "context", "times"],
+                )
+
+
 def _answered(block: Block, answers: list[dict], parts: int, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Training counts of the block's distinct bigrams and words."""
     of_word, is_hot, of_pair = block.parts(parts, hot)

@@ -67,8 +67,29 @@ def test_against_direct_counts(make_docs, monkeypatch, block, part):
     assert rows_of(K.Katz(make_docs(rows, extra=True), block, part).score()) == brute(rows)
 
 
+def test_new_texts_against_direct_counts(make_docs, monkeypatch):
+    """Texts that the model was not counted from, under its stored tables."""
+    monkeypatch.setattr(K, "HOT_SHARE", 0.05)
+    rng = random.Random(4)
+    words = ["the"] * 30 + [f"w{i}" for i in range(60)]
+    text = lambda more=(): " ".join(rng.choice(words + list(more)) for _ in range(rng.randrange(40)))
+    rows = [(i, text()) for i in range(60)]
+    held = [i for i in range(1000, 1200) if zlib.crc32(str(i).encode()) % 5 == 1]
+    new = [(i, text(["new", "Words"])) for i in held] + [(held[0], None), (held[0], ""), (held[1], "the the"), (held[1], "the the")]
+    model = K.Katz(make_docs(rows), 4000, 600)
+    expected = brute(rows + new)
+    for row in brute(rows):
+        expected.remove(row)
+    assert rows_of(model.score_texts(make_docs(new, extra=True))) == expected
+    assert rows_of(model.score_texts(make_docs(rows))) == brute(rows)
+    assert model.score_texts(make_docs([])).collect() == []
+
+
 def test_empty_table(make_docs):
-    assert K.Katz(make_docs([])).score().collect() == []
+    model = K.Katz(make_docs([]))
+    assert model.score().collect() == []
+    (row,) = model.score_texts(make_docs([(1, "a b")])).collect()
+    assert (row.n_tokens, row.n_known, row.train_tokens, row.score) == (3, 0, 0, 0.0)
 
 
 def test_without_training_texts(make_docs):
