@@ -5,13 +5,12 @@ characters of these marks are written as a backslash and a letter, so a text tha
 looks like a turn mark stays text, is read back as it was, and the output can be
 cut at the marks alone.
 
-Prefix-target expansion is stored without repeating the prefixes: the example of
-an assistant turn holds the turns since the reply before it (``context``), its own
-header and reply, and how many characters come before (``context_start`` is
-always 0, ``target_start`` and ``target_end`` delimit the trainable reply in the
-conversation's formatted text). The whole context of an example is the
-conversation's text up to ``target_start``; ``full_examples`` writes it out. A
-conversation of n turns so costs n turns, not n * n / 2.
+Prefix-target expansion writes every example out: ``context`` is the whole formatted
+conversation before an assistant turn's reply, with that turn's header, ``target`` the
+reply, the only trainable part. ``context_start`` is 0; ``target_start`` and
+``target_end`` delimit the reply in the example's text. A conversation of n turns so
+gives text of the order of n * n turns, row by row: no list of examples is held, and
+reading back keeps the replies and one text a conversation.
 
 Defined cases: null text and null role are empty; rows of equal turn go by role,
 then text; a null turn comes first; a null conv_id is a conversation of its own;
@@ -81,33 +80,28 @@ def format_turns(turns: DataFrame) -> DataFrame:
 
 
 def expand_examples(turns: DataFrame) -> DataFrame:
-    """One row an assistant turn, and one for what follows the last of them.
+    """One row an assistant turn, and one for a conversation that does not end with one.
 
-    Columns: conv_id, example, context (turns since the reply before, and this
-    reply's header), target (the escaped reply, trainable), closing, context_start,
-    target_start, target_end. Collects only the turns between two replies.
+    Columns: conv_id, example, context (all turns before, and this reply's header),
+    target (the escaped reply, trainable), closing, context_start, target_start,
+    target_end. The row without target has the whole conversation as its context.
     """
-    pieces = format_turns(turns).groupBy("conv_id", "example").agg(
-        F.sort_array(F.collect_list(F.struct("turn_no", "trained", "head", "body", "tail"))).alias("t"),
-        F.min("start").alias("first"),
-        F.max("trained").alias("has_target"),
-    )
-    last = F.element_at("t", -1)
-    whole = lambda x: F.concat(x["head"], x["body"], x["tail"])
-    earlier = F.when(F.col("has_target"), F.slice("t", 1, F.size("t") - 1)).otherwise(F.col("t"))
-    context = F.concat(
-        F.array_join(F.transform(earlier, whole), ""),
-        F.when(F.col("has_target"), last["head"]).otherwise(F.lit("")),
+    order = Window.partitionBy("conv_id").orderBy("turn_no")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = F.concat("head", "body", "tail")
+    rows = format_turns(turns).select(
+        "*",
+        F.collect_list(whole).over(before).alias("earlier"),
+        F.lead("turn_no").over(order).isNull().alias("ends"),
     )
-    rows = pieces.select(
+    rows = rows.filter("trained or ends").select(
         "conv_id",
         "example",
-        context.alias("context"),
-        F.when(F.col("has_target"), last["body"]).alias("target"),
-        F.when(F.col("has_target"), last["tail"]).otherwise(F.lit("")).alias("closing"),
-        "first",
+        F.concat(F.array_join("earlier", ""), F.when(F.col("trained"), F.col("head")).otherwise(whole)).alias("context"),
+        F.when(F.col("trained"), F.col("body")).alias("target"),
+        F.when(F.col("trained"), F.col("tail")).otherwise(F.lit("")).alias("closing"),
     )
-    start = F.col("first") + F.char_length("context")
+    start = F.char_length("context").cast("long")
     return rows.select(
         "conv_id",
         "example",
@@ -120,53 +114,35 @@ def expand_examples(turns: DataFrame) -> DataFrame:
     )
 
 
-def full_examples(examples: DataFrame) -> DataFrame:
-    """Every example with its whole context written out: (conv_id, example, text, target_start, target_end).
+def _text() -> Column:
+    """The whole text of an example, in which its offsets count."""
+    return F.concat("context", F.coalesce("target", F.lit("")), "closing")
 
-    The output of a conversation grows with the square of its replies; use it where
-    conversations are short, else read the shared prefixes of ``expand_examples``.
-    """
-    upto = (
-        Window.partitionBy("conv_id")
-        .orderBy("example")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    piece = F.concat("context", F.coalesce("target", F.lit("")), "closing")
-    return (
-        examples.withColumn("text", F.array_join(F.collect_list(piece).over(upto), ""))
-        .filter(F.col("target").isNotNull())
-        .select("conv_id", "example", "text", "target_start", "target_end")
+
+def full_examples(examples: DataFrame) -> DataFrame:
+    """The examples to train on, each as one text: (conv_id, example, text, target_start, target_end)."""
+    return examples.filter(F.col("target").isNotNull()).select(
+        "conv_id", "example", _text().alias("text"), "target_start", "target_end"
     )
 
 
 def digest(examples: DataFrame) -> DataFrame:
     """What the formatted output holds, read back from it, one row a conversation.
 
-    The loss text is what the offsets mark in the formatted text; as each example's own part is
-    a stretch of it whose start is known, the offsets are applied there.
+    The loss text is what the offsets mark in the text of every example, in order; the turns
+    are those of the last example's text, whose prefixes the others are.
     """
-    earlier = Window.partitionBy("conv_id").orderBy("example").rowsBetween(Window.unboundedPreceding, -1)
-    parts = examples.select(
-        "conv_id",
-        "example",
-        F.concat("context", F.coalesce("target", F.lit("")), "closing").alias("part"),
-        "target_start",
-        "target_end",
-    ).withColumn("at", F.coalesce(F.sum(F.char_length("part")).over(earlier), F.lit(0)))
-    masked = F.substr("part", (F.col("target_start") - F.col("at") + 1).cast("int"), (F.col("target_end") - F.col("target_start")).cast("int"))
-    rows = parts.select("conv_id", "example", "part", masked.alias("masked")).groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("example", "part", "masked"))).alias("e")
-    )
-    rows = rows.select(
-        "conv_id",
-        F.array_join("e.part", "").alias("formatted"),
-        unescape(F.array_join("e.masked", "")).alias("loss"),
+    masked = F.substr("text", (F.col("target_start") + 1).cast("int"), (F.col("target_end") - F.col("target_start")).cast("int"))
+    texts = examples.select("conv_id", "example", _text().alias("text"), "target_start", "target_end")
+    rows = texts.select("conv_id", "example", "text", masked.alias("masked")).groupBy("conv_id").agg(
+        F.max_by("text", "example").alias("formatted"),
+        F.sort_array(F.collect_list(F.struct("example", "masked"))).alias("e"),
     )
     # what stands before each end mark is one turn: "### role: text"
     parsed = rows.select(
         "conv_id",
         "formatted",
-        "loss",
+        unescape(F.array_join("e.masked", "")).alias("loss"),
         F.filter(F.split("formatted", END), lambda x: x != "").alias("turns"),
     )
     role = lambda x: F.substring_index(x, COLON, 1)

@@ -70,3 +70,13 @@ def test_plan_is_native(spark, sf_dir):
 
 def test_no_rows(spark):
     assert C.digest(C.expand_examples(spark.createDataFrame([], TURNS))).count() == 0
+
+
+def test_expansion_writes_whole_contexts(spark):
+    """Every row of the expansion holds all turns before its reply, also the last one without a reply."""
+    rows = [(8, k, ("user", "assistant")[k % 2], f"say # {k}") for k in range(5)]
+    turns = [f"### {role}: {written(text)}</turn>\n" for _, _, role, text in rows]
+    got = {r.example: r for r in C.expand_examples(spark.createDataFrame(rows, TURNS)).collect()}
+    assert [got[e].context for e in (1, 2)] == ["".join(turns[: 2 * e - 1]) + "### assistant: " for e in (1, 2)]
+    assert (got[3].context, got[3].target) == ("".join(turns), None)
+    assert all(r.target_start == len(r.context) for r in got.values())
