@@ -1050,18 +1050,24 @@ def market_refresh(spark, d):
 @query
 def fundamentals_refresh(spark, d):
     """Two loads of all statements, the first with other values; amounts in whole tens of cents
-    cannot be read, nor can a column that is no date."""
+    cannot be read, nor can a column that is no date.
+
+    All frames come from statement lines that are aggregated and stored once, so the join of
+    items and parts runs, and sends its smaller side, once and not for every frame and write."""
     store = jobs.Warehouse(scratch_path(spark, "warehouse"))
+    path = scratch_path(spark, "lines")
+    samples.statement_lines(spark, d).write.parquet(path)
+    lines = spark.read.parquet(path)
     for factor, at in [(3, "2002-01-01 00:00:00"), (1, "2002-02-01 00:00:00")]:
-        frames = {s: {"Q": _statement_frame(spark, d, s, factor)} for s in METRICS}
+        frames = {s: {"Q": _statement_frame(samples.statement(spark, d, s, lines), factor)} for s in METRICS}
         out = jobs.refresh_fundamentals(spark, frames, store, loaded_at=at)
     rejects = spark.read.parquet(store.table("statement_rejects")).filter(F.col("loaded_at") == at)
     return out["fundamentals_wide"].withColumn("n_rejects", rejects.agg(F.count("*")).scalar())
 
 
-def _statement_frame(spark, d, name: str, factor: int) -> DataFrame:
+def _statement_frame(ledger: DataFrame, factor: int) -> DataFrame:
     """A vendor's frame of one statement: text cells, some of them unreadable."""
-    long = samples.statement(spark, d, name).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+    long = ledger.withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
     cell = F.when(F.col("cents") % 10 == 0, "n/a").otherwise((F.col("cents") * factor / 100).cast("string"))
     dates = sorted(str(r.fiscal_date) for r in long.select("fiscal_date").distinct().collect())
     cells = [F.max(F.when(F.col("fiscal_date") == F.lit(e).cast("date"), cell)).alias(e) for e in dates]

@@ -99,7 +99,7 @@ def restated(daily: DataFrame) -> DataFrame:
     )
 
 
-def _statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 14 metrics of each (brand, quarter) from one pass, as (metric, value) rows.
 
     Amounts are summed as whole cents, so the sums are exact in any order.
@@ -136,11 +136,11 @@ def _statement_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def statement(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One quarterly ledger. The three share their aggregation in a common plan."""
-    rows = _statement_lines(spark, sf_dir).filter(
-        F.col("metric").isin(list(METRICS[name].values()))
-    )
+def statement(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | None = None) -> DataFrame:
+    """One quarterly ledger. The three share their aggregation in a common plan, or the stored
+    ``lines`` when more than one action reads them."""
+    lines = statement_lines(spark, sf_dir) if lines is None else lines
+    rows = lines.filter(F.col("metric").isin(list(METRICS[name].values())))
     return rows.select(
         "ticker",
         "fiscal_date",

@@ -145,3 +145,20 @@ def test_the_newest_date_is_read_from_the_newest_month(spark, make_daily, tmp_pa
     assert str(spark.range(1).select(newest_date(none)).first()[0]) == "2023-01-03"
     both = tables.daily_prices(spark, path, dedupe=True)
     assert "ym" in both.columns and both.count() == 2
+
+
+def test_refreshed_statements_read_stored_lines(spark, sf_dir, monkeypatch):
+    """Items and parts are joined once; no frame of the two loads joins them again."""
+    from barloom.plans import jobs
+
+    class Seen(Exception):
+        pass
+
+    def refresh(spark, frames, store, **named):
+        raise Seen([f["Q"] for f in frames.values()])
+
+    monkeypatch.setattr(jobs, "refresh_fundamentals", refresh)
+    with pytest.raises(Seen) as seen:
+        QUERIES["fundamentals_refresh"](spark, sf_dir)
+    for frame in seen.value.args[0]:
+        assert "Join" not in plan(frame) and "l_partkey" not in plan(frame)
