@@ -3,12 +3,15 @@
 1. Texts become blocks of lower-cased words of one language, one blank between words and one
    line feed behind each piece; nothing is counted over a line feed. The blocks are written
    once, compressed; all later passes read them.
-2. Blocks are dealt to shards of about ``shard_bytes`` of one language. Every shard is mined
-   completely, length by length, at the support lowered to its share of the language's
-   words, rounded up. A phrase below that in every shard is below the support as a whole.
-3. The locally frequent phrases are united. What the shards that did not name a phrase can
-   hold at most is known, so phrases that cannot reach the support go, and phrases that
-   every shard with a bar above one has named are counted exactly already.
+2. Blocks are dealt to groups of one language and these cut into shards of about
+   ``shard_bytes``. Every shard is mined completely, length by length, at the support
+   lowered to its share of the language's words, rounded up. A phrase below that in every
+   shard is below the support as a whole. A group has up to ``UNITED`` shards, mined one
+   after the other; it unites their phrases, and those that cannot reach the group's own
+   share of the support, which follows in the same way, are not sent.
+3. The locally frequent phrases are united. What the groups and shards that did not name a
+   phrase can hold at most is known, so phrases that cannot reach the support go, and phrases
+   that every shard with a bar above one has named are counted exactly already.
 4. The others are counted in all blocks: their hashes are broadcast up to
    ``broadcast_bytes``, beyond that the counts of all phrases of every block meet them in
    a join. Both ways give the same counts.
@@ -24,7 +27,8 @@ Hashes have 64 bits; the global count takes the smaller of two counts under inde
 hashes, so only phrases that collide in both are counted wrongly.
 
 With more shards of a language than ``support`` the local bar is one: every pair is then named,
-and step 3 is a plain count. ``shard_bytes`` may grow with the executors' memory.
+by single shards and not by groups, which could not hold them, and step 3 is a plain count whose
+rows grow with the words. ``shard_bytes`` may grow with the executors' memory.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count each;
 texts without words and empty tables give nothing; a very long text is cut between
@@ -53,6 +57,7 @@ CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 SHARD_BYTES = 32 << 20
+UNITED = 4
 BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
@@ -199,58 +204,95 @@ def _bits(pairs: DataFrame, langs: DataFrame) -> tuple[int, np.ndarray]:
     return bits, out
 
 
-def _mine(support: int, shortest: int, longest: int, sent=None):
-    """The locally frequent phrases of one shard, sorted in ranges of hashes to save memory.
+def _named(shard: _Words, bar: int, shortest: int, longest: int, seed: int, sent=None) -> Iterator[tuple[int, int, pa.Array, pa.Array]]:
+    """(length, range of hashes, phrases sorted by name, their counts) of what a shard holds ``bar`` times.
 
-    ``sent`` holds the bitmap of frequent pairs, for a ``shortest`` of three.
+    Sorted in ranges of hashes to save memory. ``sent`` holds the bitmap of frequent pairs, for a
+    ``shortest`` of three.
     """
+    frequent = None
+    for k, (keys,), inside in shard.lengths(longest):
+        if k < shortest:
+            if k == shortest - 1 and sent is not None:
+                bits, known = sent.value
+                frequent = np.zeros(len(inside), bool)
+                for i in range(0, len(inside), STEP):
+                    place = (keys[i : i + STEP] ^ np.int64(seed).view(np.uint64)) >> np.uint64(64 - bits)
+                    hit = known[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
+                    frequent[i : i + STEP] = inside[i : i + STEP] & (hit > 0)
+            continue
+        if frequent is not None:
+            # both parts of k - 1 words must be frequent
+            inside = inside & frequent[: len(inside)] & frequent[1 : len(inside) + 1]
+        frequent = np.zeros(len(inside), bool)
+        ranges = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.uint8)
+        for part in range(RANGES):
+            place = np.flatnonzero(inside & (ranges == part))
+            key = keys[place]
+            order = np.argsort(key)
+            key = key[order]
+            head = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
+            size = np.diff(np.append(head, len(key)))
+            often = size >= bar
+            frequent[place[order[np.repeat(often, size)]]] = True
+            one, size = place[order[head[often]]], size[often]
+            for i in range(0, len(one), NAMED):
+                first = one[i : i + NAMED]
+                spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
+                phrases = pa.array([shard.data[a:b] for a, b in spans], pa.binary())
+                # phrases with the same beginning next to each other: smaller in the shuffle
+                by_name = pc.array_sort_indices(phrases)
+                yield k, part, phrases.take(by_name), pa.array(size[i : i + NAMED]).take(by_name)
+
+
+def _mine(support: int, shortest: int, longest: int, shard_bytes: int, sent=None):
+    """The locally frequent phrases of one group: its shards are mined in turn, then united.
+
+    ``told`` is the group's bar less one, without what its shards may hold of the phrase unnamed.
+    """
+
+    def rows(lang: str, phrases: pa.Array, n: pa.Array, told: pa.Array) -> pa.RecordBatch:
+        langs = pa.array([lang] * len(phrases), pa.string())
+        return pa.RecordBatch.from_arrays([langs, phrases.cast(pa.string()), n, told], ["lang", "phrase", "n", "told"])
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data = []
+        held = []
         for batch in batches:
             lang, total, seed = (batch.column(c)[0].as_py() for c in ("lang", "n", "seed"))
-            data.append(_expanded(batch.column("data")))
-        shard = _Words(b"".join(data), ways=1)
-        del data, batch
-        bar = -(-support * len(shard.start) // total)
-        frequent = None
-        for k, (keys,), inside in shard.lengths(longest):
-            if k < shortest:
-                if k == shortest - 1 and sent is not None:
-                    bits, known = sent.value
-                    frequent = np.zeros(len(inside), bool)
-                    for i in range(0, len(inside), STEP):
-                        place = (keys[i : i + STEP] ^ np.int64(seed).view(np.uint64)) >> np.uint64(64 - bits)
-                        hit = known[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)
-                        frequent[i : i + STEP] = inside[i : i + STEP] & (hit > 0)
-                continue
-            if frequent is not None:
-                # both parts of k - 1 words must be frequent
-                inside = inside & frequent[: len(inside)] & frequent[1 : len(inside) + 1]
-            frequent = np.zeros(len(inside), bool)
-            ranges = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.uint8)
-            for part in range(RANGES):
-                place = np.flatnonzero(inside & (ranges == part))
-                key = keys[place]
-                order = np.argsort(key)
-                key = key[order]
-                head = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
-                size = np.diff(np.append(head, len(key)))
-                often = size >= bar
-                frequent[place[order[np.repeat(often, size)]]] = True
-                one, size = place[order[head[often]]], size[often]
-                for i in range(0, len(one), NAMED):
-                    first = one[i : i + NAMED]
-                    spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
-                    phrases = pa.array([shard.data[a:b] for a, b in spans], pa.binary())
-                    # phrases with the same beginning next to each other: smaller in the shuffle
-                    by_name = pc.array_sort_indices(phrases)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(first), pa.string()), phrases.take(by_name).cast(pa.string()),
-                         pa.array(size[i : i + NAMED]).take(by_name), pa.repeat(pa.scalar(bar, pa.int64()), len(first))],
-                        ["lang", "phrase", "n", "bar"],
-                    )
-        del shard
+            held += zip(batch.column("words").to_pylist(), batch.column("bytes").to_pylist(), batch.column("data"))
+        whole = sum(size for _, size, _ in held)
+        shards = -(-whole // shard_bytes)
+        share = lambda words: -(-support * words // total)
+        bar, slack = share(sum(words for words, _, _ in held)), 0
+        found: dict[tuple[int, int], list[pa.Table]] = {}
+        held.reverse()
+        past = 0
+        for i in range(shards):
+            data = []
+            while held and past < whole * (i + 1) // shards:
+                _, size, block = held.pop()
+                past += size
+                data.append(_expanded([block]))
+            shard = _Words(b"".join(data), ways=1)
+            del data
+            own = share(len(shard.start))
+            slack += max(own - 1, 0)
+            for k, part, phrases, n in _named(shard, own, shortest, longest, seed, sent):
+                told = pa.repeat(pa.scalar(own - 1, pa.int64()), len(n))
+                if shards == 1:
+                    yield rows(lang, phrases, n, told)
+                else:
+                    found.setdefault((k, part), []).append(pa.table([phrases, n, told], ["phrase", "n", "told"]))
+            del shard
+            A.released()
+        for one in list(found):
+            sums = pa.concat_tables(found.pop(one)).group_by("phrase", use_threads=False).aggregate([("n", "sum"), ("told", "sum")])
+            # what the shards that did not name the phrase may hold
+            rest = pc.subtract(slack, sums.column("told_sum"))
+            sums = sums.append_column("rest", rest).filter(pc.greater_equal(pc.add(sums.column("n_sum"), rest), bar))
+            sums = sums.sort_by("phrase").combine_chunks()
+            for batch in sums.to_batches(max_chunksize=NAMED):
+                yield rows(lang, batch.column("phrase"), batch.column("n_sum"), pc.subtract(bar - 1, batch.column("rest")))
         A.released()
 
     return mine
@@ -326,28 +368,31 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, a of all phrases of 1 to ``longest`` words that occur ``support`` times; lang, n words)."""
     blocks = stored(piece_blocks(docs), "pieces")
-    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(F.sum("bytes") / shard_bytes).alias("shards"))
+    # a group holds what its shards name, so it has more than one only while their bar is above one
+    size = F.sum("bytes")
+    united = F.when(size * 4 <= 3 * support * shard_bytes, UNITED).otherwise(1)
+    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(size / (united * shard_bytes)).alias("groups"))
     langs = stored(langs.withColumn("seed", F.xxhash64("lang")), "langs")
     # the table of languages has one small row each; Spark broadcasts it by its measured size
-    dealt = blocks.join(langs, "lang").withColumn("shard", F.pmod(F.xxhash64("at"), "shards"))
-    bars = dealt.groupBy("lang", "shard").agg(F.sum("words").alias("own"), F.first("n").alias("n"))
+    dealt = blocks.join(langs, "lang").withColumn("group", F.pmod(F.xxhash64("at"), "groups"))
+    bars = dealt.groupBy("lang", "group").agg(F.sum("words").alias("own"), F.first("n").alias("n"))
     bar = F.expr(f"({support} * own + n - 1) div n")
     slack = stored(bars.groupBy("lang").agg(F.sum(bar - 1).alias("slack")), "bars")
 
     def mined(shortest: int, longest: int, sent=None) -> DataFrame:
         """The frequent phrases of some lengths: mined in shards, united, counted."""
         local = (
-            dealt.select("lang", "shard", "n", "seed", "data")
-            .groupBy("lang", "shard")
-            .applyInArrow(_mine(support, shortest, longest, sent), "lang string, phrase string, n long, bar long")
+            dealt.select("lang", "group", "n", "seed", "words", "bytes", "data")
+            .groupBy("lang", "group")
+            .applyInArrow(_mine(support, shortest, longest, shard_bytes, sent), "lang string, phrase string, n long, told long")
         )
         union = (
-            # a shard names a phrase once, so there is nothing to add up before the shuffle
+            # a group names a phrase once, so there is nothing to add up before the shuffle
             local.repartition("lang", "phrase")
             .groupBy("lang", "phrase")
-            .agg(F.sum("n").alias("a"), F.sum(F.col("bar") - 1).alias("told"))
+            .agg(F.sum("n").alias("a"), F.sum("told").alias("told"))
             .join(slack, "lang")
-            # a shard that did not name the phrase holds it less often than its bar
+            # a group that did not name the phrase holds it less often than its bar
             .filter(F.col("a") + F.col("slack") - F.col("told") >= support)
             .select("lang", "phrase", "a", (F.col("told") == F.col("slack")).alias("exact"))
         )

@@ -118,3 +118,33 @@ def test_pieces():
 def test_empty(as_docs):
     assert P.collocations(as_docs([])).count() == 0
     assert P.collocations(as_docs([("en", None), (None, " \t")])).count() == 0
+
+
+@pytest.mark.parametrize("support", [4, 30])
+def test_groups_send_only_what_can_reach_their_share(support):
+    """Shards of one group: what a group names is bounded by its own bar, not by those of its shards."""
+    rng = random.Random(5)
+    blocks = []
+    for _ in range(40):
+        words = [rng.choice(["a", "b", "c", "of"] + [f"w{i}" for i in range(300)]) for _ in range(200)]
+        blocks.append(P._pieces([" ".join(words).encode()]))
+    counts = Counter()
+    for data in blocks:
+        words = data.decode().split()
+        for k in (1, 2):
+            counts.update(" ".join(words[i : i + k]) for i in range(len(words) - k + 1))
+    n = [data.count(b" ") + data.count(b"\n") for data in blocks]
+    squeeze = P.zstandard.ZstdCompressor().compress
+    batch = P.pa.RecordBatch.from_pydict(
+        {"lang": ["en"] * 40, "n": [sum(n)] * 40, "seed": [3] * 40, "words": n, "bytes": [len(d) for d in blocks], "data": [squeeze(d) for d in blocks]}
+    )
+    got = {}
+    for shard_bytes in (1 << 20, 1 << 13):
+        rows = [r for b in P._mine(support, 1, 2, shard_bytes)(iter([batch])) for r in b.to_pylist()]
+        assert len({r["phrase"] for r in rows}) == len(rows)
+        got[shard_bytes] = {r["phrase"]: (r["n"], support - 1 - r["told"]) for r in rows}
+    whole, cut = got.values()
+    assert whole == {p: (a, 0) for p, a in counts.items() if a >= support}
+    assert set(cut) >= set(whole)
+    for p, (n, rest) in cut.items():
+        assert n <= counts[p] <= n + rest and n + rest >= support
