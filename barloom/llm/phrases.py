@@ -3,32 +3,27 @@
 1. Texts become blocks of lower-cased words of one language, one blank between words and one
    line feed behind each piece; nothing is counted over a line feed. The blocks are written
    once, compressed; all later passes read them.
-2. Blocks are dealt to groups of one language and these cut into shards of about
-   ``shard_bytes``. Every shard is mined completely, length by length, at the support
-   lowered to its share of the language's words, rounded up. A phrase below that in every
-   shard is below the support as a whole. A group has up to ``UNITED`` shards, mined one
-   after the other; it unites their phrases, and those that cannot reach the group's own
-   share of the support, which follows in the same way, are not sent.
-3. The locally frequent phrases are united. What the groups and shards that did not name a
-   phrase can hold at most is known, so phrases that cannot reach the support go, and phrases
-   that every shard with a bar above one has named are counted exactly already.
-4. The others are counted in all blocks: their hashes are broadcast up to
-   ``broadcast_bytes``, beyond that the counts of all phrases of every block meet them in
-   a join. Both ways give the same counts.
-5. Steps 2 to 4 run twice, first for words and pairs, then for longer phrases. The second
+2. Blocks are dealt to shards of one language of about ``shard_bytes`` and every shard is mined
+   completely, length by length. The support is fixed while shards have a bounded size, so the
+   support lowered to a shard's share falls to one as a language grows, and what shards name
+   would grow faster than the input until then. So a shard's bar is one from the start: it
+   tells the counts of all its phrases, as packs of hashes, one for each hash range.
+3. The packs of a language and range are united: the sums are exact, and only phrases that reach
+   the support go on, each once, with a place where it stands. A language has as many ranges as
+   shards, so no task holds more as the input grows.
+4. The shards read the found phrases at their places.
+5. Steps 2 and 3 run twice, first for words and pairs, then for longer phrases. The second
    time a place counts only if the pairs it is made of are frequent in the whole language:
-   their hashes go to the shards as a bitmap of at most ``1 << MOST_BITS`` bits, in which a
-   wrong hit costs a candidate and no result.
-6. Scores, cuts and containment are joins over the frequent phrases, which hold all parts of
+   their hashes go to the shards as a bitmap of at most ``1 << MOST_BITS`` bits and
+   ``broadcast_bytes``, in which a wrong hit costs a candidate and no result.
+6. A language of at most a quarter of ``shard_bytes`` is one shard at the full support, mined and
+   named in one task.
+7. Scores, cuts and containment are joins over the frequent phrases, which hold all parts of
    one another; products are decimals. The best of each language come from a window
    whose limit Spark applies before the shuffle.
 
-Hashes have 64 bits; the global count takes the smaller of two counts under independent
-hashes, so only phrases that collide in both are counted wrongly.
-
-With more shards of a language than ``support`` the local bar is one: every pair is then named,
-by single shards and not by groups, which could not hold them, and step 3 is a plain count whose
-rows grow with the words. ``shard_bytes`` may grow with the executors' memory.
+Phrases are told apart by 96 bits of two independent hashes; only phrases that collide in all
+of them are counted wrongly.
 
 Defined cases: a null text is empty; a null language is ``und``; repeated rows count each;
 texts without words and empty tables give nothing; a very long text is cut between
@@ -57,11 +52,10 @@ CONTAINED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
 SHARD_BYTES = 32 << 20
-UNITED = 4
+ALONE = 4
 BLOCK_BYTES = 1 << 18
 HELD_BYTES = 16 << 20
 BROADCAST_BYTES = 64 << 20
-COUNT_BYTES = 8 << 20
 STEP = 1 << 17
 NAMED = 1 << 17
 MOST_BITS = 28
@@ -190,11 +184,16 @@ def _with_hashes(longest: int):
     return add
 
 
-def _bits(pairs: DataFrame, langs: DataFrame) -> tuple[int, np.ndarray]:
-    """(b, bitmap of the first b bits of the hashes of frequent pairs, each language with a seed of its own)."""
-    bits = min(MOST_BITS, max(10, (16 * pairs.count()).bit_length()))
+def _hashed(pairs: DataFrame) -> DataFrame:
+    """lang and first hash of some pairs."""
     shape = "lang string, phrase string, h1 long, h2 long"
-    hashed = pairs.select("lang", "phrase").mapInArrow(_with_hashes(2), shape).join(langs.select("lang", "seed"), "lang")
+    return pairs.select("lang", "phrase").mapInArrow(_with_hashes(2), shape).select("lang", "h1")
+
+
+def _bits(pairs: DataFrame, langs: DataFrame, most_bytes: int = BROADCAST_BYTES) -> tuple[int, np.ndarray]:
+    """(b, bitmap of the first b bits of the hashes of frequent pairs, each language with a seed of its own)."""
+    bits = min(MOST_BITS, max(10, min(16 * pairs.count(), 4 * most_bytes).bit_length()))
+    hashed = (pairs if "h1" in pairs.columns else _hashed(pairs)).join(langs.select("lang", "seed"), "lang")
     place = hashed.select(F.expr(f"shiftrightunsigned(h1 ^ seed, {64 - bits})").alias("place"))
     # at most a row for each 64 bits of the map
     rows = place.groupBy(F.expr("place div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(place % 64 as int)))").alias("bits"))
@@ -204,14 +203,29 @@ def _bits(pairs: DataFrame, langs: DataFrame) -> tuple[int, np.ndarray]:
     return bits, out
 
 
-def _named(shard: _Words, bar: int, shortest: int, longest: int, seed: int, sent=None) -> Iterator[tuple[int, int, pa.Array, pa.Array]]:
-    """(length, range of hashes, phrases sorted by name, their counts) of what a shard holds ``bar`` times.
+def _equal(first: np.ndarray, second: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(order that brings equal hashes together, where each of them begins)."""
+    order = np.argsort(first)
+    key = first[order]
+    new = np.append(len(key) > 0, key[1:] != key[:-1])
+    if second is not None:
+        other = second[order]
+        if (~new[1:] & (other[1:] != other[:-1])).any():
+            order = np.lexsort((second, first))
+            key, other = first[order], second[order]
+            new[1:] = (key[1:] != key[:-1]) | (other[1:] != other[:-1])
+    return order, np.flatnonzero(new)
+
+
+def _often(shard: _Words, bar: int, shortest: int, longest: int, seed: int, sent=None) -> Iterator[tuple[int, int, list[np.ndarray], np.ndarray, np.ndarray]]:
+    """(length, range of hashes, hashes in order, a place and the count) of what a shard holds ``bar`` times.
 
     Sorted in ranges of hashes to save memory. ``sent`` holds the bitmap of frequent pairs, for a
     ``shortest`` of three.
     """
     frequent = None
-    for k, (keys,), inside in shard.lengths(longest):
+    for k, hashes, inside in shard.lengths(longest):
+        keys = hashes[0]
         if k < shortest:
             if k == shortest - 1 and sent is not None:
                 bits, known = sent.value
@@ -228,21 +242,28 @@ def _named(shard: _Words, bar: int, shortest: int, longest: int, seed: int, sent
         ranges = (keys >> np.uint64(64 - RANGE_BITS)).astype(np.uint8)
         for part in range(RANGES):
             place = np.flatnonzero(inside & (ranges == part))
-            key = keys[place]
-            order = np.argsort(key)
-            key = key[order]
-            head = np.flatnonzero(np.append(len(key) > 0, key[1:] != key[:-1]))
-            size = np.diff(np.append(head, len(key)))
+            order, head = _equal(*(x[place] for x in hashes))
+            size = np.diff(np.append(head, len(order)))
             often = size >= bar
             frequent[place[order[np.repeat(often, size)]]] = True
-            one, size = place[order[head[often]]], size[often]
-            for i in range(0, len(one), NAMED):
-                first = one[i : i + NAMED]
-                spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
-                phrases = pa.array([shard.data[a:b] for a, b in spans], pa.binary())
-                # phrases with the same beginning next to each other: smaller in the shuffle
-                by_name = pc.array_sort_indices(phrases)
-                yield k, part, phrases.take(by_name), pa.array(size[i : i + NAMED]).take(by_name)
+            one = place[order[head[often]]]
+            yield k, part, [x[one] for x in hashes], one, size[often]
+
+
+def _phrases(shard: _Words, first: np.ndarray, k: int) -> pa.Array:
+    """The phrases of k words at some places."""
+    spans = zip(shard.start[first].tolist(), shard.end[first + k - 1].tolist())
+    return pa.array([shard.data[a:b] for a, b in spans], pa.binary())
+
+
+def _named(shard: _Words, bar: int, shortest: int, longest: int, seed: int, sent=None) -> Iterator[tuple[int, int, pa.Array, pa.Array]]:
+    """(length, range of hashes, phrases sorted by name, their counts) of what a shard holds ``bar`` times."""
+    for k, part, _, one, size in _often(shard, bar, shortest, longest, seed, sent):
+        for i in range(0, len(one), NAMED):
+            phrases = _phrases(shard, one[i : i + NAMED], k)
+            # phrases with the same beginning next to each other: smaller in the shuffle
+            by_name = pc.array_sort_indices(phrases)
+            yield k, part, phrases.take(by_name), pa.array(size[i : i + NAMED]).take(by_name)
 
 
 def _mine(support: int, shortest: int, longest: int, shard_bytes: int, sent=None):
@@ -298,65 +319,85 @@ def _mine(support: int, shortest: int, longest: int, shard_bytes: int, sent=None
     return mine
 
 
-def _count_named(blocks: DataFrame, named: pa.Table, longest: int) -> DataFrame:
-    """id and exact count of the named phrases, by a broadcast of their hashes."""
-    langs = named.column("lang").to_numpy(zero_copy_only=False)
-    rows = np.stack([named.column(c).to_numpy() for c in ("h1", "h2", "id")])
-    sent = blocks.sparkSession.sparkContext.broadcast({lang: rows[:, langs == lang] for lang in set(langs.tolist())})
+def _packed(first: np.ndarray, second: np.ndarray, n: np.ndarray, place: np.ndarray) -> bytes:
+    """Hashes in order of the first, counts and places: gaps, equal bytes of all numbers together, compressed."""
+    columns = np.diff(first, prepend=np.uint64(0)), second.astype(np.uint32), n.astype(np.uint32), place.astype(np.uint32)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns))
 
-    @A.trimmed
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = {}
-        for lang, (*pair, _) in sent.value.items():
-            order = [np.argsort(h.view(np.uint64)) for h in pair]
-            wanted[lang] = [(o, h.view(np.uint64)[o]) for o, h in zip(order, pair)]
-        totals: dict[str, np.ndarray] = {}
-        held: dict[str, list[bytes]] = {}
 
-        def add(lang: str) -> None:
-            shard = _Words(b"".join(held.pop(lang)))
-            seen = np.zeros((2, sent.value[lang].shape[1]), np.int64)
-            for _, keys, inside in shard.lengths(longest):
-                for i, ((order, sought), key) in enumerate(zip(wanted[lang], keys)):
-                    key = np.sort(key[inside])
-                    seen[i, order] += np.searchsorted(key, sought, side="right") - np.searchsorted(key, sought, side="left")
-            totals[lang] = totals.get(lang, 0) + seen.min(axis=0)
+def _unpacked(data: bytes, size: int) -> tuple[np.ndarray, ...]:
+    """What ``_packed`` has packed."""
+    raw, at, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8), 0, []
+    for kind in (np.uint64, np.uint32, np.uint32, np.uint32):
+        width = np.dtype(kind).itemsize
+        out.append(raw[at : at + width * size].reshape(width, size).T.copy().view(kind)[:, 0])
+        at += width * size
+    return (np.cumsum(out[0], dtype=np.uint64), *out[1:])
 
+
+TOLD = "lang string, range int, group long, k int, size int, data binary"
+TOLD_SCHEMA = pa.schema({"lang": pa.string(), "range": pa.int32(), "group": pa.int64(), "k": pa.int32(), "size": pa.int32(), "data": pa.binary()})
+
+
+def _tell(shortest: int, longest: int, sent=None):
+    """The counts of all phrases of one shard, in packs for the ranges of its language."""
+
+    @A.trimmed
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
         for batch in batches:
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
-                if lang in wanted:
-                    held.setdefault(lang, []).append(_expanded([data]))
-                    if sum(map(len, held[lang])) >= COUNT_BYTES:
-                        add(lang)
-        for lang in list(held):
-            add(lang)
-        for lang, n in totals.items():
-            some = np.flatnonzero(n)
-            for first in range(0, len(some), 1 << 16):
-                at = some[first : first + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(sent.value[lang][2, at]), pa.array(n[at])], ["id", "n"])
-
-    found = blocks.select("lang", "data").mapInArrow(count, "id long, n long")
-    return found.groupBy("id").agg(F.sum("n").alias("a"))
-
-
-def _count_all(blocks: DataFrame, named: DataFrame, longest: int) -> DataFrame:
-    """The same by a join: every block's counts of all its phrases meet the named ones."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for lang, data in zip(batch.column("lang").to_pylist(), batch.column("data")):
-                for _, (first, second), inside in _Words(_expanded([data])).lengths(longest):
-                    pair = np.stack([first[inside], second[inside]], axis=1)
-                    pair, n = np.unique(pair, axis=0, return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(n), pa.string()), *(pa.array(p.copy().view(np.int64)) for p in pair.T), pa.array(n)],
-                        ["lang", "h1", "h2", "n"],
-                    )
+            lang, group, seed, bits = (batch.column(c)[0].as_py() for c in ("lang", "group", "seed", "bits"))
+            held += zip(batch.column("at").to_pylist(), batch.column("data"))
+        shard = _Words(_expanded(data for _, data in sorted(held, key=lambda x: x[0])))
+        # hashes and places are enough from here on
+        held, shard.data, shard.end = [], b"", None
+        for k, part, (first, second), place, n in _often(shard, 1, shortest, longest, seed, sent):
+            to = (first >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(first), np.int64)
+            edges = np.append(np.flatnonzero(np.diff(to, prepend=-1)), len(to))
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+                data = _packed(first[a:b], second[a:b], n[a:b], place[a:b])
+                row = {"lang": lang, "range": int(to[a]), "group": group, "k": k, "size": b - a, "data": data}
+                yield pa.RecordBatch.from_pylist([row], TOLD_SCHEMA)
+
+    return tell
 
-    keys = ["lang", "h1", "h2"]
-    found = blocks.select("lang", "data").mapInArrow(count, "lang string, h1 long, h2 long, n long")
-    return found.join(named.select("id", *keys), keys).groupBy("id").agg(F.sum("n").alias("a"))
+
+def _unite(support: int):
+    """lang, group, place, k, a and first hash of the phrases of one language and range that reach the support."""
+
+    @A.trimmed
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {}
+        for batch in batches:
+            lang = batch.column("lang")[0].as_py()
+            for k, group, size, data in zip(*(batch.column(c).to_pylist() for c in ("k", "group", "size")), batch.column("data")):
+                held.setdefault(k, []).append((*_unpacked(data.as_py(), size), np.full(size, group, np.int32)))
+        for k in list(held):
+            first, second, n, place, group = (np.concatenate(c) for c in zip(*held.pop(k)))
+            order, head = _equal(first, second)
+            a = np.add.reduceat(n[order].astype(np.int64), head)
+            one, a = order[head[a >= support]], a[a >= support]
+            columns = group[one].astype(np.int64), place[one].astype(np.int64), np.full(len(one), k, np.int32), a, first[one].view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(one), pa.string()), *map(pa.array, columns)], ["lang", "group", "place", "k", "a", "h1"]
+            )
+
+    return unite
+
+
+def _read(key, found: pa.Table, blocks: pa.Table) -> pa.Table:
+    """lang, phrase and a of the phrases found at places of one shard."""
+    lang, phrases, counts = key[0].as_py(), [], []
+    if len(found):
+        shard = _Words(_expanded(blocks.sort_by("at").column("data")), ways=0)
+        for k in pc.unique(found.column("k")).to_pylist():
+            own = found.filter(pc.equal(found.column("k"), k))
+            phrases.append(_phrases(shard, own.column("place").to_numpy(), k).cast(pa.string()))
+            counts.append(own.column("a").combine_chunks())
+        del shard
+    A.released()
+    phrase, a = pa.chunked_array(phrases, pa.string()), pa.chunked_array(counts, pa.int64())
+    return pa.table([pa.array([lang] * len(a), pa.string()), phrase, a], ["lang", "phrase", "a"])
 
 
 def frequent_phrases(
@@ -368,52 +409,35 @@ def frequent_phrases(
 ) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, a of all phrases of 1 to ``longest`` words that occur ``support`` times; lang, n words)."""
     blocks = stored(piece_blocks(docs), "pieces")
-    # a group holds what its shards name, so it has more than one only while their bar is above one
     size = F.sum("bytes")
-    united = F.when(size * 4 <= 3 * support * shard_bytes, UNITED).otherwise(1)
-    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(size / (united * shard_bytes)).alias("groups"))
-    langs = stored(langs.withColumn("seed", F.xxhash64("lang")), "langs")
+    langs = blocks.groupBy("lang").agg(F.sum("words").alias("n"), F.ceil(size / shard_bytes).alias("groups"), (size * ALONE <= shard_bytes).alias("alone"))
+    langs = langs.withColumn("bits", F.ceil(F.log2("groups")).cast("int")).withColumn("seed", F.xxhash64("lang"))
+    langs = stored(langs, "langs")
     # the table of languages has one small row each; Spark broadcasts it by its measured size
     dealt = blocks.join(langs, "lang").withColumn("group", F.pmod(F.xxhash64("at"), "groups"))
-    bars = dealt.groupBy("lang", "group").agg(F.sum("words").alias("own"), F.first("n").alias("n"))
-    bar = F.expr(f"({support} * own + n - 1) div n")
-    slack = stored(bars.groupBy("lang").agg(F.sum(bar - 1).alias("slack")), "bars")
-
-    def mined(shortest: int, longest: int, sent=None) -> DataFrame:
-        """The frequent phrases of some lengths: mined in shards, united, counted."""
-        local = (
-            dealt.select("lang", "group", "n", "seed", "words", "bytes", "data")
-            .groupBy("lang", "group")
-            .applyInArrow(_mine(support, shortest, longest, shard_bytes, sent), "lang string, phrase string, n long, told long")
-        )
-        union = (
-            # a group names a phrase once, so there is nothing to add up before the shuffle
-            local.repartition("lang", "phrase")
-            .groupBy("lang", "phrase")
-            .agg(F.sum("n").alias("a"), F.sum("told").alias("told"))
-            .join(slack, "lang")
-            # a group that did not name the phrase holds it less often than its bar
-            .filter(F.col("a") + F.col("slack") - F.col("told") >= support)
-            .select("lang", "phrase", "a", (F.col("told") == F.col("slack")).alias("exact"))
-        )
-        union = stored(union.withColumn("id", F.monotonically_increasing_id()), "union")
-        names = ["lang", "phrase", "a"]
-        unsure = union.filter("not exact").select("id", "lang", "phrase")
-        hashed = unsure.mapInArrow(_with_hashes(longest), "id long, lang string, phrase string, h1 long, h2 long")
-        hashed = hashed.select("id", "lang", "h1", "h2")
-        if unsure.count() * 24 <= broadcast_bytes:
-            counted = _count_named(blocks, hashed.toArrow(), longest)
-        else:
-            counted = _count_all(blocks, hashed, longest)
-        counted = unsure.join(counted, "id").select(*names)
-        found = union.filter("exact").select(*names).unionByName(counted).filter(F.col("a") >= support)
-        return stored(found, "phrases")
-
-    found = mined(1, min(2, longest))
+
+    def alone(shortest: int, longest: int, sent=None) -> DataFrame:
+        """The frequent phrases of some lengths of languages of one small shard."""
+        rows = dealt.filter("alone").select("lang", "n", "seed", "words", "bytes", "data").groupBy("lang")
+        named = rows.applyInArrow(_mine(support, shortest, longest, shard_bytes, sent), "lang string, phrase string, n long, told long")
+        return stored(named.select("lang", "phrase", F.col("n").alias("a")), "phrases")
+
+    def united(shortest: int, longest: int, sent=None) -> DataFrame:
+        """The same of the others, each phrase by a place where it stands."""
+        told = dealt.filter("not alone").select("lang", "group", "seed", "bits", "at", "data").groupBy("lang", "group")
+        told = told.applyInArrow(_tell(shortest, longest, sent), TOLD)
+        found = told.groupBy("lang", "range").applyInArrow(_unite(support), "lang string, group long, place long, k int, a long, h1 long")
+        return stored(found, "union")
+
+    named, found = alone(1, min(2, longest)), united(1, min(2, longest))
     if longest > 2:
-        pairs = found.filter(F.col("phrase").contains(" "))
-        found = found.unionByName(mined(3, longest, docs.sparkSession.sparkContext.broadcast(_bits(pairs, langs))))
-    return found, langs.select("lang", "n")
+        pairs = _hashed(named.filter(F.col("phrase").contains(" "))).unionByName(found.filter("k = 2").select("lang", "h1"))
+        sent = docs.sparkSession.sparkContext.broadcast(_bits(pairs, langs, broadcast_bytes))
+        named, found = named.unionByName(alone(3, longest, sent)), found.unionByName(united(3, longest, sent))
+    found = found.select("lang", "group", "place", "k", "a").groupBy("lang", "group")
+    texts = dealt.filter("not alone").select("lang", "group", "at", "data").groupBy("lang", "group")
+    read = found.cogroup(texts).applyInArrow(_read, "lang string, phrase string, a long")
+    return named.unionByName(stored(read, "phrases")), langs.select("lang", "n")
 
 
 def collocations(docs: DataFrame, top: int = TOP, **mining) -> DataFrame:

@@ -148,3 +148,35 @@ def test_groups_send_only_what_can_reach_their_share(support):
     assert set(cut) >= set(whole)
     for p, (n, rest) in cut.items():
         assert n <= counts[p] <= n + rest and n + rest >= support
+
+
+@pytest.mark.parametrize("shard_bytes", [20000, 4000, 500])
+def test_only_frequent_phrases_leave_the_shards(as_docs, monkeypatch, shard_bytes):
+    """However many shards a language has, what their union names is each frequent phrase once."""
+    monkeypatch.setattr(P.piece_blocks, "__defaults__", (300,))
+    sent, stored = [], P.stored
+    monkeypatch.setattr(P, "stored", lambda df, label, *by: sent.append((label, stored(df, label, *by))) or sent[-1][1])
+    rows = [("en", text) for lang, text in corpus(11) if lang == "en"]
+    found, _ = P.frequent_phrases(as_docs(rows), support=8, shard_bytes=shard_bytes)
+    phrases = [r.phrase for r in found.collect()]
+    assert len(set(phrases)) == len(phrases) > 100
+    assert sum(df.count() for label, df in sent if label == "union") == len(phrases)
+
+
+def test_one_shard_and_many_find_the_same(as_docs, monkeypatch):
+    monkeypatch.setattr(P.piece_blocks, "__defaults__", (300,))
+    docs = as_docs(corpus(12))
+    whole, cut = (sorted(map(tuple, P.frequent_phrases(docs, support=5, shard_bytes=b)[0].collect())) for b in (1 << 20, 2000))
+    assert whole == cut
+
+
+def test_packs_and_hashes_that_collide():
+    first = P.np.array([5, 5, 1 << 63, 5, (1 << 64) - 1], P.np.uint64)
+    second = P.np.array([1, 2, 7, 1, 3], P.np.uint32)
+    order, head = P._equal(first, second)
+    assert P.np.diff(P.np.append(head, 5)).tolist() == [2, 1, 1, 1]
+    assert sorted(order[:2].tolist()) == [0, 3]
+    columns = [P.np.sort(first), second, P.np.arange(5), P.np.arange(5) + 70_000]
+    got = P._unpacked(P._packed(*columns), 5)
+    assert [x.tolist() for x in got] == [x.tolist() for x in columns]
+    assert len(P._unpacked(P._packed(*(x[:0] for x in columns)), 0)[0]) == 0
